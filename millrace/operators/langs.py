@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.status import clean_status, has_hangul, has_hiragana, language_name
+from millrace.plans.storage import materialize
 
 
 def word_array(text: Column) -> Column:
@@ -33,35 +34,34 @@ def lang_profiles(docs: DataFrame, text: str = "text") -> DataFrame:
 def detect_lang(docs: DataFrame, profiles: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key, detected``: the language whose profile makes the text most likely (add-one smoothing).
 
-    A text in Hiragana or Hangul is Japanese or Korean whatever the profiles say.
-    A text without a letter is ``unknown``.
+    Languages that share no trigram with the text are not considered; a text that
+    shares none with any is ``unknown``.  A text in Hiragana or Hangul is Japanese
+    or Korean whatever the profiles say.  The profiles are written out first, so
+    that they are broadcast on their true size if small, and joined by shuffle if not.
     """
+    profiles = materialize(profiles.select("lang", "trigram", "n"), "profiles")
     cleaned = docs.select(key, clean_status(F.col(text)).alias("_text"))
     script = F.when(has_hiragana(F.col("_text")), "ja").when(has_hangul(F.col("_text")), "ko")
+    # A framed word has as many trigrams as letters.
+    letters = F.length(F.regexp_replace(F.lower("_text"), r"\P{L}+", ""))
     grams = (
-        cleaned.select(key, F.explode(word_array(F.col("_text"))).alias("word"))
-        .groupBy(key, "word")
-        .agg(F.count("*").alias("_times"))
-        .select(key, "_times", F.explode(trigrams(F.col("word"))).alias("trigram"))
+        cleaned.withColumn("_letters", letters)
+        .select(key, "_letters", F.explode(word_array(F.col("_text"))).alias("word"))
+        .select(key, "_letters", F.explode(trigrams(F.col("word"))).alias("trigram"))
     )
-    kinds = profiles.agg(F.count_distinct("trigram").alias("_kinds"))
-    totals = profiles.groupBy("lang").agg(F.sum("n").alias("_total")).withColumn("_one", F.lit(1)).join(
-        kinds.withColumn("_one", F.lit(1)), "_one"
-    )
-    floor = totals.select("lang", (-F.log(F.col("_total") + F.col("_kinds"))).alias("_floor"))
-    # A trigram a language lacks scores its floor, which every trigram does as well,
-    # so only known trigrams are joined and the floor is added once per trigram seen.
     weights = profiles.select("lang", "trigram", F.log(F.col("n") + 1).alias("_weight"))
-    known = grams.join(weights, "trigram").groupBy(key, "lang").agg(F.sum(F.col("_times") * F.col("_weight")).alias("_known"))
-    lengths = grams.groupBy(key).agg(F.sum("_times").alias("_length"))
-    # Languages are few (profiles hold one total per language).
+    kinds = profiles.agg(F.count_distinct("trigram")).scalar()
+    floors = profiles.groupBy("lang").agg(F.sum("n").alias("_total")).select("lang", (-F.log(F.col("_total") + kinds)).alias("_floor"))
+    # A trigram a language lacks scores the floor, which every trigram scores as well,
+    # so only known trigrams are joined and the floor is added once per letter.
     scored = (
-        lengths.withColumn("_one", F.lit(1))
-        .join(F.broadcast(floor.withColumn("_one", F.lit(1))), "_one")
-        .join(known, [key, "lang"], "left")
-        .withColumn("_score", F.coalesce("_known", F.lit(0.0)) + F.col("_length") * F.col("_floor"))
+        grams.join(weights, "trigram")
+        .groupBy(key, "_letters", "lang")
+        .agg(F.sum("_weight").alias("_known"))
+        .join(floors, "lang")
+        .withColumn("_score", F.round(F.col("_known") + F.col("_letters") * F.col("_floor"), 6))
     )
-    best = scored.groupBy(key).agg(F.min_by("lang", F.struct(-F.round("_score", 6), F.col("lang"))).alias("_best"))
+    best = scored.groupBy(key).agg(F.min_by("lang", F.struct(-F.col("_score"), F.col("lang"))).alias("_best"))
     return cleaned.select(key, script.alias("_script")).join(best, key, "left").select(
         key, F.coalesce("_script", "_best", F.lit("unknown")).alias("detected")
     )

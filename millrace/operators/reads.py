@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.storage import materialize
+
 CHUNK_RECORDS = 16_384
 SANGER_LIMIT = 60
 ILLUMINA_SHIFT = 31
@@ -49,23 +51,19 @@ def reads_per_region(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("region").agg(F.count("*").alias("n"))
 
 
-def qualities(qual: Column) -> Column:
-    """Base qualities of a quality string, as an array of INT."""
-    return F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33)
-
-
 def quality_encoding(reads: DataFrame, group: str = "grp", qual: str = "qual") -> DataFrame:
     """Adds ``illumina``, ``quals`` and ``bad``: qualities shifted by 31 where a group's largest exceeds 60.
 
     A read whose shifted qualities go below zero is flagged ``bad`` and keeps its numbers.
     """
-    scored = reads.withColumn("quals", qualities(F.col(qual)))
-    # The largest character decides; the array is not needed for that.
-    top = reads.groupBy(group).agg((F.max(F.array_max(F.transform(F.split(qual, ""), F.ascii))) - 33 > SANGER_LIMIT).alias("illumina"))
-    shifted = F.transform("quals", lambda q: F.when(F.col("illumina"), q - ILLUMINA_SHIFT).otherwise(q))
+    # The largest character decides.  The groups are written out, so that the reads
+    # are joined to them by broadcast, unshuffled, if they are as few as usual.
+    largest = F.ascii(F.array_max(F.split(qual, ""))) - 33
+    encodings = materialize(reads.groupBy(group).agg((F.max(largest) > SANGER_LIMIT).alias("illumina")), "encodings")
+    shifted = F.when(F.col("illumina"), ILLUMINA_SHIFT).otherwise(0)
     return (
-        scored.join(top, group)
-        .withColumn("quals", shifted)
+        reads.join(encodings, group)
+        .withColumn("quals", F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33 - shifted))
         .withColumn("bad", F.coalesce(F.array_min("quals") < 0, F.lit(False)))
     )
 

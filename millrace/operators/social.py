@@ -100,21 +100,25 @@ def tag_popularity(windowed: DataFrame, tags: DataFrame) -> DataFrame:
     return windowed.join(counts, ["window_start", "tag"])
 
 
-def tweet_board(statuses: DataFrame, window: int = WINDOW, slide: int = SLIDE, ordered: bool = True) -> DataFrame:
+def tweet_board(
+    statuses: DataFrame, window: int = WINDOW, slide: int = SLIDE, ordered: bool = True, details: bool = True
+) -> DataFrame:
     """Each original in each of its windows, with its first tag's count and its own retweets plus one.
 
     Originals whose first tag is unique in the window and that were not
     retweeted are dropped; those without a tag stay, under ``None`` and count 0.
+    Rows stay narrow while they are joined: user and text come last, and with
+    ``details=False`` are left to ``board_details``, after a top-n for instance.
     """
     shared = retweet_counts(statuses, window, slide).select("window_start", "id", F.col("n").alias("shares"))
     counts = hashtag_counts(statuses, window, slide).select("window_start", F.col("tag").alias("tag_key"), F.col("n").alias("uses"))
-    tag = F.get("hashtags", F.lit(0))
     # A NULL tag would send every untagged status of a window to one task; a key of
     # its own matches no count either, and spreads.
     own_key = F.coalesce(F.col("tag"), F.concat(F.lit("\u0000"), F.col("id").cast("string")))
     rows = (
-        tweet_windows(originals(filter_lang(statuses)), window, slide)
-        .select("window_start", "window_end", "id", "user", "text", tag.alias("tag"))
+        originals(filter_lang(statuses))
+        .select("id", "ts", F.get("hashtags", F.lit(0)).alias("tag"))
+        .transform(tweet_windows, window, slide)
         .join(shared, ["window_start", "id"], "left")
         .withColumn("tag_key", own_key)
         .join(counts, ["window_start", "tag_key"], "left")
@@ -126,14 +130,21 @@ def tweet_board(statuses: DataFrame, window: int = WINDOW, slide: int = SLIDE, o
             F.coalesce("uses", F.lit(0)).alias("hashtagcount"),
             F.coalesce("tag", F.lit(NO_TAG)).alias("hashtag"),
             "id",
-            "user",
             (F.coalesce("shares", F.lit(0)) + 1).alias("retweets"),
-            "text",
         )
     )
+    board = board_details(board, statuses) if details else board
     return board.orderBy(*_board_order()) if ordered else board
 
 
+def board_details(board: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Adds ``user`` and ``text`` of each row's status; rows without an id get NULLs."""
+    texts = originals(statuses).groupBy("id").agg(F.min(F.struct("user", "text")).alias("_status"))
+    return board.join(texts, "id", "left").select(
+        *board.columns, F.col("_status.user").alias("user"), F.col("_status.text").alias("text")
+    )
+
+
 def drop_unique_unshared(board: DataFrame) -> DataFrame:
     return board.filter((F.col("hashtagcount") != 1) | (F.col("retweets") > 1))
 
@@ -171,7 +182,7 @@ def board_preview(board: DataFrame, n: int = 10, per_tag: int = 3) -> DataFrame:
 
 def _mark_overflow(ranked: DataFrame, n: int) -> DataFrame:
     over = F.coalesce(F.col("rank") > n, F.lit(False))
-    blank = {c: F.when(~over, F.col(c)).alias(c) for c in ("id", "user", "retweets", "text")}
+    blank = {c: F.when(~over, F.col(c)).alias(c) for c in ("id", "user", "retweets", "text") if c in ranked.columns}
     return ranked.select(*[blank.get(c, F.col(c)) for c in ranked.columns], over.alias("overflow"))
 
 

@@ -63,7 +63,8 @@ ORACLES["detect_lang"] = _with(
     + "SELECT doc_id, trigram, count(*) AS times FROM grams GROUP BY doc_id, trigram)",
     "sizes AS (SELECT lang, sum(n) + (SELECT count(DISTINCT trigram) FROM profiles) AS size FROM profiles GROUP BY lang)",
     """scored AS (SELECT s.doc_id, z.lang, round(sum(s.times * ln((coalesce(p.n, 0) + 1) / z.size)), 6) AS score
-    FROM seen s CROSS JOIN sizes z LEFT JOIN profiles p ON p.lang = z.lang AND p.trigram = s.trigram GROUP BY s.doc_id, z.lang)""",
+    FROM seen s CROSS JOIN sizes z LEFT JOIN profiles p ON p.lang = z.lang AND p.trigram = s.trigram GROUP BY s.doc_id, z.lang
+    HAVING count(p.n) > 0)""",
     "best AS (SELECT doc_id, lang FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)",
 ) + "SELECT d.doc_id, coalesce(b.lang, 'unknown') AS detected FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id"
 

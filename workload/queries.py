@@ -116,18 +116,18 @@ def tag_popularity(spark, sf):
     return _seconds(rows.select("window_start", "id", "tag", "hashtagcount"))
 
 
-def _board(spark, sf, ordered=False):
-    return social.tweet_board(t.statuses(spark, sf), t.WINDOW, t.SLIDE, ordered=ordered)
+def _board(spark, sf):
+    return social.tweet_board(t.statuses(spark, sf), t.WINDOW, t.SLIDE, ordered=False, details=False)
 
 
 @query
 def tweet_board(spark, sf):
-    return _seconds(_board(spark, sf, ordered=True))
+    return _seconds(social.tweet_board(t.statuses(spark, sf), t.WINDOW, t.SLIDE))
 
 
 @query
 def board_top3(spark, sf):
-    return _seconds(social.board_topn(_board(spark, sf)))
+    return _seconds(social.board_details(social.board_topn(_board(spark, sf)), t.statuses(spark, sf)))
 
 
 @query
@@ -138,7 +138,7 @@ def board_numbered(spark, sf):
 
 @query
 def board_top10(spark, sf):
-    return _seconds(social.board_preview(_board(spark, sf)))
+    return _seconds(social.board_details(social.board_preview(_board(spark, sf)), t.statuses(spark, sf)))
 
 
 # Phone numbers

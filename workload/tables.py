@@ -121,8 +121,8 @@ def contigs(spark: SparkSession, sf: str) -> DataFrame:
     c = F.col("idx")
     name = F.when(c == 0, "chrM").when(c == 23, "chrUn_gl1").otherwise(F.concat(F.lit("chr"), c.cast("string")))
     rows = table(spark, sf, "lineitem").groupBy((F.col("l_suppkey") % 24).cast("int").alias("idx")).agg(F.max("l_partkey").alias("_top"))
-    top = rows.agg(F.max("_top").alias("_all"))
-    return rows.join(F.broadcast(top), F.lit(True)).select("idx", name.alias("name"), ((F.col("_all") + 1) * 50000 + c).alias("length"))
+    top = rows.agg(F.max("_top")).scalar()
+    return rows.select("idx", name.alias("name"), ((top + 1) * 50000 + c).alias("length"))
 
 
 def reads(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,13 +176,11 @@ def film_people(spark: SparkSession, sf: str) -> DataFrame:
 
 def list_lines(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = table(spark, sf, "supplier")
-    last = suppliers.agg(F.max("s_suppkey").alias("_last"))
+    last = suppliers.agg(F.max("s_suppkey")).scalar()
     value = (
         F.when(F.col("s_suppkey") == 2, "Name  Titles")
         .when(F.col("s_suppkey") == 3, "----  ------")
-        .when(F.col("s_suppkey") == F.col("_last") - 2, "-----")
+        .when(F.col("s_suppkey") == last - 2, "-----")
         .otherwise(F.concat_ws("\t", "s_name", F.lit("Film (2012)")))
     )
-    return suppliers.join(F.broadcast(last), F.lit(True)).select(
-        (F.col("s_suppkey") + 1).alias("line_no"), value.alias("value")
-    )
+    return suppliers.select((F.col("s_suppkey") + 1).alias("line_no"), value.alias("value"))
