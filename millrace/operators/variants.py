@@ -59,13 +59,17 @@ def variant_density_chunks(variants: DataFrame, index: DataFrame, size: int = RE
     The rank of a position is the number of distinct positions in earlier bins
     plus its rank in its own bin, so no task holds more than one bin of a contig.
     """
+    # A bin that cannot be NULL, and a count that both uses need, let them share one exchange.
     sites = (
-        variants.groupBy("chrom", "pos").agg(F.count("*").alias("n")).withColumn("_bin", F.floor(F.col("pos") / CHUNK_BIN))
+        variants.filter(F.col("pos").isNotNull())
+        .groupBy("chrom", "pos")
+        .agg(F.count("*").alias("n"))
+        .withColumn("_bin", F.coalesce(F.floor(F.col("pos") / CHUNK_BIN), F.lit(0)))
     )
     earlier = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         sites.groupBy("chrom", "_bin")
-        .agg(F.count("*").alias("_sites"))
+        .agg(F.count_if(F.col("n") > 0).alias("_sites"))
         .select("chrom", "_bin", F.coalesce(F.sum("_sites").over(earlier), F.lit(0)).alias("_before"))
     )
     in_bin = Window.partitionBy("chrom", "_bin").orderBy("pos")

@@ -17,10 +17,13 @@ def merged(df: DataFrame, key: str, start: str, end: str, gap: int, bin_width: i
     travel between bins, both as running maxima over a table with one row per
     bin: the furthest end seen so far, and the latest start that opened an island.
     """
+    # A bin that cannot be NULL lets all uses of this table share one exchange: a
+    # not-NULL test on it would reach the scan of some of them only.
     starts = (
-        df.groupBy(F.col(key).alias("_key"), F.col(start).cast("bigint").alias("_start"))
+        df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(start).cast("bigint").alias("_start"))
         .agg(F.max(F.col(end).cast("bigint")).alias("_end"))
-        .withColumn("_bin", F.floor(F.col("_start") / bin_width))
+        .withColumn("_bin", F.coalesce(F.floor(F.col("_start") / bin_width), F.lit(0)))
     )
     in_bin = Window.partitionBy("_key", "_bin").orderBy("_start")
 

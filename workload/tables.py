@@ -26,6 +26,7 @@ def instant(df: DataFrame, column: str) -> Column:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents over all cores, even while they are one small file: most of the work on them is on their text."""
     return spread(table(spark, sf, "documents"))
 
 
