@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.numbering import numbered
@@ -123,23 +123,33 @@ def people_at_distance(people: DataFrame, distances: DataFrame, distance: int =
 def separation_report(people: DataFrame, distances: DataFrame, edges: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """``section, place, line``: the printed report, in that order."""
     summary = separation_summary(people, distances, edges, max_hops)
+    ratio = lambda part, base: (part.cast("float") / F.col(base).cast("float")).cast("float").cast("string")
+    reach = lambda who, part, base: F.concat(
+        F.format_string(f"Total number of {who} from distance 1 to {max_hops} = %d, ratio = ", part), ratio(part, base)
+    )
+    heading = F.format_string(
+        "Total number of actors = %d, out of which %d (%d%%) are males while %d (%d%%) are females.",
+        "people", "males", "males_percent", "females", "females_percent",
+    )
+    totals = _report_lines({
+        (0, 1): heading,
+        (0, 2): F.format_string("Total number of movies = %d", "movies"),
+        (0, 3): F.lit(""),
+        (2, 0): F.lit(""),
+        (2, 1): reach("actors", F.col("near"), "people"),
+        (2, 2): reach("male actors", F.col("near_males"), "males"),
+        (2, 3): reach("female actors (actresses)", F.col("near_females"), "females"),
+        (3, -1): F.lit(""),
+        (3, 0): F.lit(f"List of male actors at distance {max_hops}:"),
+        (4, -1): F.lit(""),
+        (4, 0): F.lit(f"List of female actors (actresses) at distance {max_hops}:"),
+    })
     percent = lambda part, base: F.format_string("%.1f", F.coalesce(F.try_divide(F.col(part) * 100.0, F.col(base)), F.lit(0.0)))
-    ratio = lambda name: F.col(f"{name}_ratio").cast("float").cast("string")
-    text = lambda section, place, line: F.struct(F.lit(section).alias("section"), F.lit(place).cast("bigint").alias("place"), line.alias("line"))
-    totals = [
-        text(0, 1, F.format_string(
-            "Total number of actors = %d, out of which %d (%d%%) are males while %d (%d%%) are females.",
-            "people", "males", "males_percent", "females", "females_percent")),
-        text(0, 2, F.format_string("Total number of movies = %d", "movies")),
-        text(2, 1, F.concat(F.format_string("Total number of actors from distance 1 to %d = %d, ratio = ", F.lit(max_hops), "near"), ratio("near"))),
-        text(2, 2, F.concat(F.format_string("Total number of male actors from distance 1 to %d = %d, ratio = ", F.lit(max_hops), "near_males"), ratio("near_males"))),
-        text(2, 3, F.concat(F.format_string("Total number of female actors (actresses) from distance 1 to %d = %d, ratio = ", F.lit(max_hops), "near_females"), ratio("near_females"))),
-        text(3, 0, F.lit(f"List of male actors at distance {max_hops}:")),
-        text(4, 0, F.lit(f"List of female actors (actresses) at distance {max_hops}:")),
-    ]
+    everybody = summary.select(F.col("males").alias("all_males"), F.col("females").alias("all_females"), F.lit(1).alias("_one"))
     per_hop = (
         distance_histogram(people, distances, max_hops)
-        .join(summary.select(F.col("males").alias("all_males"), F.col("females").alias("all_females"), F.lit(1).alias("_one")), F.col("_one") == 1)
+        .withColumn("_one", F.lit(1))
+        .join(everybody, "_one")
         .select(
             F.lit(1).alias("section"),
             F.col("distance").cast("bigint").alias("place"),
@@ -153,7 +163,15 @@ def separation_report(people: DataFrame, distances: DataFrame, edges: DataFrame,
     names = people_at_distance(people, distances, max_hops).select(
         F.when(F.col("is_male"), 3).otherwise(4).alias("section"), "place", F.format_string("%d. %s", "place", "name").alias("line")
     )
-    return summary.select(F.inline(F.array(*totals))).unionByName(per_hop).unionByName(names).orderBy("section", "place")
+    return summary.select(totals).unionByName(per_hop).unionByName(names).orderBy("section", "place")
+
+
+def _report_lines(lines: dict) -> Column:
+    rows = [
+        F.struct(F.lit(section).alias("section"), F.lit(place).cast("bigint").alias("place"), line.alias("line"))
+        for (section, place), line in lines.items()
+    ]
+    return F.inline(F.array(*rows))
 
 
 def _all(frontiers: list[DataFrame]) -> DataFrame:

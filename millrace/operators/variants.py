@@ -158,12 +158,12 @@ def variant_missing(a: DataFrame, b: DataFrame) -> DataFrame:
 def variant_concordance(reference: DataFrame, calls: DataFrame) -> DataFrame:
     """One row ``total, matches, diff``: distinct reference calls, those found again, those not.
 
-    Both sets go through one aggregation on the call key.
+    Only contigs with ``chr`` in their name count.  Both sets go through one aggregation on the call key.
     """
     tagged = reference.select(*CALL_KEY, F.lit(True).alias("_expected")).unionByName(
         calls.select(*CALL_KEY, F.lit(False).alias("_expected"))
     )
-    seen = tagged.groupBy(*CALL_KEY).agg(F.max("_expected").alias("expected"), F.min("_expected").alias("only_expected"))
+    seen = tagged.filter(F.contains("chrom", F.lit("chr"))).groupBy(*CALL_KEY).agg(F.max("_expected").alias("expected"), F.min("_expected").alias("only_expected"))
     return seen.filter("expected").agg(
         F.count("*").alias("total"),
         F.count_if(~F.col("only_expected")).alias("matches"),

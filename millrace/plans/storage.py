@@ -8,10 +8,15 @@ broadcast only when the table really is below the session's threshold.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes = threading.local()
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context.
@@ -27,14 +32,49 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="millrace-")
-    context.setCheckpointDir(folder)
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return context.getCheckpointDir().rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below the checkpoint folder and return a scan of what was written."""
+    """Write ``df`` below the checkpoint folder and return a scan of what was written.
+
+    The table stays until ``release``, or until the enclosing ``scratch`` block ends.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/millrace/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(_scopes, "open", []):
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables materialized inside the block when it ends; results must be written by then."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        *_scopes.open, paths = _scopes.open
+        for path in paths:
+            remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application."""
+    remove(spark, _own_folder(spark))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/millrace/{spark.sparkContext.applicationId}"

@@ -58,15 +58,16 @@ def parse_sam(lines: DataFrame, contigs: DataFrame | None = None, value: str = "
     fields = F.split(value, "\t")
     text = lambda i: F.get("_f", F.lit(i))
     number = lambda i, kind: text(i).try_cast(kind)
+    kept = ["file"] if "file" in lines.columns else []
     reads = (
         lines.filter(~F.startswith(value, F.lit("@")))
-        .select(fields.alias("_f"))
+        .select(fields.alias("_f"), *kept)
         .filter(F.size("_f") >= 11)
         .select(
             text(0).alias("qname"), number(1, "int").alias("flag"), text(2).alias("rname"),
             number(3, "bigint").alias("pos"), number(4, "int").alias("mapq"), text(5).alias("cigar"),
             text(6).alias("rnext"), number(7, "bigint").alias("pnext"), number(8, "int").alias("tlen"),
-            text(9).alias("seq"), text(10).alias("qual"),
+            text(9).alias("seq"), text(10).alias("qual"), *kept,
         )
         .withColumns({
             "align_end": F.col("pos") + cigar_span(F.col("cigar")) - 1,
@@ -83,7 +84,8 @@ def parse_sam(lines: DataFrame, contigs: DataFrame | None = None, value: str = "
 
 def scan_sam(spark: SparkSession, path: str | list[str], contigs: DataFrame | None = None) -> DataFrame:
     """Aligned reads of SAM text files or a folder of them, with the file each came from."""
-    return parse_sam(spark.read.text(path), contigs)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    return parse_sam(lines, contigs)
 
 
 def scan_fastq_pair(spark: SparkSession, path1: str, path2: str) -> tuple[DataFrame, DataFrame]:

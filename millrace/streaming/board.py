@@ -16,9 +16,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from millrace.operators import social
+from millrace.plans.storage import exists, remove, scratch
 
 MICROS = 1_000_000
 STATE_SCHEMA = "seen_us bigint, closed_us bigint, last_no bigint, late bigint, live array<struct<batch:bigint,seen_us:bigint>>"
@@ -101,9 +101,10 @@ def _close(spark: SparkSession, out: str, state: BoardState, ripe_us: int, windo
     due = (F.unix_micros("window_end") > state.closed_us) & (F.unix_micros("window_end") <= ripe_us)
     board = social.tweet_board(rows, window, slide, ordered=False, details=False).filter(due)
     limited = social.board_topn(board, top)
-    numbers = social.number_rows(limited, state.last_no).select("window_start", "id", "row_no")
-    numbered = limited.join(numbers, ["window_start", "id"], "left")
-    write_board(social.board_details(numbered, rows), out)
+    with scratch(spark):
+        numbers = social.number_rows(limited, state.last_no).select("window_start", "id", "row_no")
+        numbered = limited.join(numbers, ["window_start", "id"], "left")
+        write_board(social.board_details(numbered, rows), out)
     written = spark.read.parquet(f"{out}/board").filter(
         (F.col("window_end_s") > state.closed_us // MICROS) & (F.col("window_end_s") <= ripe_us // MICROS)
     )
@@ -124,18 +125,20 @@ def late_rows(spark: SparkSession, out: str, batch_id: int) -> int:
 def read_state(spark: SparkSession, out: str, batch_id: int) -> BoardState:
     if batch_id < 0:
         return BoardState()
-    try:
-        row = spark.read.schema(STATE_SCHEMA).parquet(f"{out}/state/batch={batch_id}").first()
-    except AnalysisException:
-        # Nothing precedes the first batch of a stream that starts on a used checkpoint.
+    path = f"{out}/state/batch={batch_id}"
+    if not exists(spark, path):
+        if exists(spark, f"{out}/state"):
+            raise RuntimeError(f"the state of batch {batch_id} is missing below {out}")
+        # A new result folder for a stream whose checkpoint has seen batches.
         return BoardState()
+    row = spark.read.schema(STATE_SCHEMA).parquet(path).first()
     return BoardState(row["seen_us"], row["closed_us"], row["last_no"], row["late"], [tuple(x) for x in row["live"]])
 
 
 def write_state(spark: SparkSession, out: str, batch_id: int, state: BoardState) -> None:
     row = (state.seen_us, state.closed_us, state.last_no, state.late, state.live)
     spark.createDataFrame([row], STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{out}/state/batch={batch_id}")
-    _remove(spark, f"{out}/state/batch={batch_id - 2}")
+    remove(spark, f"{out}/state/batch={batch_id - 2}")
 
 
 def _drop_expired(spark: SparkSession, out: str, state: BoardState, window: int, slide: int) -> None:
@@ -145,10 +148,5 @@ def _drop_expired(spark: SparkSession, out: str, state: BoardState, window: int,
     needed_us = state.closed_us + (slide - window) * MICROS
     for batch_id, seen_us in state.live:
         if seen_us < needed_us:
-            _remove(spark, f"{out}/buffer/batch={batch_id}")
+            remove(spark, f"{out}/buffer/batch={batch_id}")
     state.live = [(b, seen) for b, seen in state.live if seen >= needed_us]
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -158,6 +158,7 @@ def test_sam_and_regions(spark, contigs, tmp_path):
     assert [(r.qname, r.ref_index, r.pos, r.align_end, r.unmapped, r.strand) for r in got.collect()] == [
         ("r1", 1, 100, 114, False, "+"), ("r2", None, 0, -1, True, "+"), ("r3", 3, 7, 13, False, "-"),
     ]
+    assert got.first().file.endswith("a.sam")
     assert sorted(r.qname for r in reads.mapped_reads(got).collect()) == ["r1", "r3"]
     rows = [(i % 3, 1, (i * 7919) % 1000, f"q{i}") for i in range(500)]
     files.write_regions(spark.createDataFrame(rows, "region int, ref_index int, pos bigint, qname string"), str(tmp_path / "reg"))
@@ -211,7 +212,7 @@ def test_encoding(spark):
 
 def test_concordance(spark):
     schema = "chrom string, pos bigint, ref string, alt string"
-    a = spark.createDataFrame([("c", 1, "A", "C"), ("c", 1, "A", "C"), ("c", 2, "A", "C"), ("c", 3, "A", "G")], schema)
-    b = spark.createDataFrame([("c", 1, "A", "C"), ("c", 3, "A", "T"), ("c", 9, "A", "C")], schema)
+    a = spark.createDataFrame([("chr1", 1, "A", "C"), ("chr1", 1, "A", "C"), ("chr1", 2, "A", "C"), ("chr1", 3, "A", "G")], schema)
+    b = spark.createDataFrame([("chr1", 1, "A", "C"), ("chr1", 3, "A", "T"), ("chr1", 9, "A", "C")], schema)
     assert tuple(variants.variant_concordance(a, b).first()) == (3, 1, 2)
     assert variants.variant_common(a, b).count() == 1 and variants.variant_missing(a, b).count() == 2

@@ -79,12 +79,16 @@ def test_report(spark):
     assert [r.line for r in report.collect()] == [
         "Total number of actors = 4, out of which 2 (50%) are males while 2 (50%) are females.",
         "Total number of movies = 3",
+        "",
         "There are 1 (50.0%) actors and 0 (0.0%) actresses at distance 1",
         "There are 0 (0.0%) actors and 1 (50.0%) actresses at distance 2",
+        "",
         "Total number of actors from distance 1 to 2 = 2, ratio = 0.5",
         "Total number of male actors from distance 1 to 2 = 1, ratio = 0.5",
         "Total number of female actors (actresses) from distance 1 to 2 = 1, ratio = 0.5",
+        "",
         "List of male actors at distance 2:",
+        "",
         "List of female actors (actresses) at distance 2:",
         "1. Bo",
     ]

@@ -249,8 +249,8 @@ DENSITY = """density AS (SELECT v.chrom, ci.contig_no AS idx, CAST(pos // 100000
 OFFSETS = """present AS (SELECT DISTINCT idx, chrom FROM density),
 offsets AS (SELECT p.idx, p.chrom, CAST(coalesce(sum(c.length) OVER (ORDER BY p.idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS BIGINT) AS "offset" FROM present p JOIN contigs c ON c.name = p.chrom)"""
-PER_REGION = f"""per AS (SELECT CAST(sum(n) AS BIGINT) AS variants, CAST(ceil(sum(n) / {REGIONS}) AS BIGINT) AS per_region FROM density)"""
-PACK = """bins AS (SELECT row_number() OVER (ORDER BY idx, region) AS rn, n FROM density),
+PER_REGION = f"""per AS MATERIALIZED (SELECT CAST(sum(n) AS BIGINT) AS variants, CAST(ceil(sum(n) / {REGIONS}) AS BIGINT) AS per_region FROM density)"""
+PACK = """bins AS MATERIALIZED (SELECT row_number() OVER (ORDER BY idx, region) AS rn, n FROM density),
 walk AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS size, CAST(0 AS BIGINT) AS parts, CAST(0 AS DOUBLE) AS at,
         CAST(-1 AS INT) AS closed, CAST(NULL AS DOUBLE) AS start, CAST(NULL AS DOUBLE) AS "end"
     UNION ALL SELECT b.rn,
@@ -261,7 +261,7 @@ walk AS (SELECT CAST(0 AS BIGINT) AS rn, CAST(0 AS BIGINT) AS size, CAST(0 AS BI
         CASE WHEN w.size > p.per_region THEN w.at END,
         CASE WHEN w.size > p.per_region THEN w.at + w.parts * 1e6 END
     FROM walk w JOIN bins b ON b.rn = w.rn + 1 CROSS JOIN per p),
-regions AS (SELECT closed AS region, start, "end" FROM walk WHERE start IS NOT NULL)"""
+regions AS MATERIALIZED (SELECT closed AS region, start, "end" FROM walk WHERE start IS NOT NULL)"""
 ASSIGNED = f"""placed AS (SELECT l_orderkey || '_' || l_linenumber AS name, CAST(l_suppkey % 22 + 1 AS INT) AS ref_index,
     l_partkey * 50000 + l_linenumber AS pos FROM lineitem),
 assigned AS (SELECT p.name, p.ref_index, p.pos, CAST(coalesce(r.region, {REGIONS} - 1) AS INT) AS region
