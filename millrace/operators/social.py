@@ -66,17 +66,14 @@ def windowed_counts(rows: DataFrame, key: Column, name: str, window: int, slide:
     buckets = (
         keyed.withColumn("_bucket", F.floor(F.unix_micros("ts") / step)).groupBy("_bucket", name).agg(F.count("*").alias("_n"))
     )
-    starts = F.explode(F.sequence(F.col("_bucket") - (window // slide - 1), F.col("_bucket")))
+    first = F.explode(F.sequence(F.col("_bucket") - (window // slide - 1), F.col("_bucket")))
+    # Grouping by the start itself leaves the result placed as the board's joins need it.
     return (
-        buckets.select(starts.alias("_first"), name, "_n")
-        .groupBy("_first", name)
+        buckets.select(first.alias("_first"), name, "_n")
+        .select(F.timestamp_micros(F.col("_first") * step).alias("window_start"), name, "_n")
+        .groupBy("window_start", name)
         .agg(F.sum("_n").alias("n"))
-        .select(
-            F.timestamp_micros(F.col("_first") * step).alias("window_start"),
-            F.timestamp_micros(F.col("_first") * step + window * 1_000_000).alias("window_end"),
-            name,
-            "n",
-        )
+        .select("window_start", (F.col("window_start") + F.make_dt_interval(secs=F.lit(window))).alias("window_end"), name, "n")
     )
 
 

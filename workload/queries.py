@@ -27,7 +27,7 @@ def _seconds(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.unix_seconds(c) for c in ("window_start", "window_end") if c in df.columns})
 
 
-# Text
+# Text.  A line break ends a segment, so the word operators take whole texts as they are.
 
 
 @query
@@ -44,23 +44,23 @@ def segments(spark, sf):
 
 @query
 def word_counts(spark, sf):
-    return words.word_counts(t.lines(spark, sf))
+    return words.word_counts(t.documents(spark, sf), "text")
 
 
 @query
 def bigram_counts(spark, sf):
-    return words.bigram_counts(t.lines(spark, sf))
+    return words.bigram_counts(t.documents(spark, sf), "text")
 
 
 @query
 def word_freq(spark, sf):
-    return words.word_freq(t.lines(spark, sf))
+    return words.word_freq(t.documents(spark, sf), "text")
 
 
 @query
 def predecessor_lists(spark, sf):
     entry = lambda e: F.concat_ws(":", e["pred"], e["n"].cast("string"))
-    return words.predecessor_lists(t.lines(spark, sf)).select(
+    return words.predecessor_lists(t.documents(spark, sf), "text").select(
         "word", "n", "part", F.concat_ws(" ", F.transform("preds", entry)).alias("preds")
     )
 
