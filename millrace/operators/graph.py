@@ -92,7 +92,7 @@ def separation_summary(people: DataFrame, distances: DataFrame, edges: DataFrame
     row = (
         totals.select("*", one).join(near.select("*", one), "_one").join(movies.select("*", one), "_one").drop("_one")
     )
-    whole = lambda part: F.expr(f"({part} * 100) div people").alias(f"{part}_percent")
+    whole = lambda part: F.expr(f"({part} * 100) div nullif(people, 0)").alias(f"{part}_percent")
     share = lambda part, base: F.round(F.try_divide(part, base), 6)
     return row.select(
         "people",
@@ -123,7 +123,9 @@ def people_at_distance(people: DataFrame, distances: DataFrame, distance: int =
 def separation_report(people: DataFrame, distances: DataFrame, edges: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """``section, place, line``: the printed report, in that order."""
     summary = separation_summary(people, distances, edges, max_hops)
-    ratio = lambda part, base: (part.cast("float") / F.col(base).cast("float")).cast("float").cast("string")
+    ratio = lambda part, base: F.coalesce(
+        F.try_divide(part.cast("float"), F.col(base).cast("float")).cast("float").cast("string"), F.lit("NaN")
+    )
     reach = lambda who, part, base: F.concat(
         F.format_string(f"Total number of {who} from distance 1 to {max_hops} = %d, ratio = ", part), ratio(part, base)
     )
