@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.numbering import numbered
+from millrace.plans.storage import materialize
 
 WINDOW = 120
 SLIDE = 10
@@ -150,8 +151,11 @@ def board_topn(board: DataFrame, n: int = 3) -> DataFrame:
     """The first ``n`` statuses of each hashtag and window, and one ``overflow`` row in place of the rest.
 
     ``None`` is not limited.  The rank filter is pushed below the shuffle, so each
-    task sends at most ``n + 1`` rows of a hashtag however popular it is.
+    task sends at most ``n + 1`` rows of a hashtag however popular it is.  The two
+    kinds of rows take different ways, so the (narrow) board is written out first
+    instead of being computed for each.
     """
+    board = materialize(board, "board")
     untagged = board.filter(F.col("hashtag") == NO_TAG).withColumn("rank", F.lit(None).cast("int"))
     by_tag = Window.partitionBy("window_start", "hashtag").orderBy("id")
     tagged = (
