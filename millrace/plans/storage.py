@@ -7,7 +7,6 @@ broadcast only when the table really is below the session's threshold.
 
 from __future__ import annotations
 
-import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
@@ -21,19 +20,10 @@ _scopes = threading.local()
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context.
 
-    Only a local session without either gets a temporary folder of its own.
+    Where neither is set, intermediates go below the warehouse, which every executor can reach as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
-    return context.getCheckpointDir().rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

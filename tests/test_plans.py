@@ -6,11 +6,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from millrace.operators import graph, people
 from millrace.plans.numbering import numbered
 from millrace.plans.storage import checkpoint_folder, exists, materialize, release, scratch
 from pyspark.sql import functions as F
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 PYTHON = re.compile("BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|PythonRDD|ExistingRDD")
@@ -22,9 +22,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert not PYTHON.search(plan)
     assert "CartesianProduct" not in plan
     # One-row sides only: aggregates without keys.
@@ -36,7 +36,7 @@ def test_no_python_and_no_cross_join(spark, name):
 
 
 def test_scans_read_only_what_they_use(spark):
-    plan = _plan(entry.queries()["variant_density"](spark, SF))
+    plan = _plan(QUERIES["variant_density"](spark, SF))
     schemas = set(re.findall(r"ReadSchema: struct<([^>]*)>", plan))
     assert all("l_quantity" not in s and "l_shipdate" not in s for s in schemas) and schemas
     plan = _plan(people.bipartite_edges(spark.read.parquet(f"{SF}/lineitem.parquet").filter("l_quantity <= 10").select(

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the workload against its SQL on the smallest tables."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.harness import compare, connect
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows(spark):
