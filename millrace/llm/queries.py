@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import sharding
+from millrace.llm import minhash, sharding
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -17,8 +17,13 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf, "documents"))
 
 
+def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf, "documents"), shingle=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_minhash": op2_minhash,
 }
 
 ORACLES: dict[str, str] = {}
