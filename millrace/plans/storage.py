@@ -31,12 +31,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     The table stays until ``release``, or until the enclosing ``scratch`` block ends.
     """
-    spark = df.sparkSession
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path below the checkpoint folder, removed with the intermediate tables."""
     path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     for scope in getattr(_scopes, "open", []):
         scope.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 @contextmanager
