@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minhash, sharding
+from millrace.llm import minhash, packing, sharding, wavelet
+from millrace.plans.storage import fresh_path
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,9 +23,21 @@ def op2_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), shingle=4)
 
 
+def op3_wavelet_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    wavelet.write_tokens(_table(spark, sf, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return wavelet.read_documents(spark, path)
+
+
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), tokens=2048, end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
+    "op3_wavelet_tokens": op3_wavelet_tokens,
+    "op4_packing": op4_packing,
 }
 
 ORACLES: dict[str, str] = {}
