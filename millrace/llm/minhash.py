@@ -6,7 +6,7 @@ densification).  ``rows`` neighbouring bins make a band, and documents that agre
 bucket gives one star of candidate pairs, from a centre to its other members.  Copies of a set are one document here.
 
 A star alone can miss a link between two members that are both unlike the centre.  So, after the stars' components
-are known, pairs of a bucket whose components differ are taken up as well, as far as an upper bound on their
+are known, members of a bucket whose components differ are compared as well, as far as an upper bound on their
 similarity allows: the shingles that a document shares with no other one in question cannot be in an intersection.
 """
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.links import components
-from millrace.llm.words import WordHashes, binary, pieces, windows, words_of
+from millrace.llm.words import WordHashes, binary, mixed, pieces, windows, words_of
 from millrace.plans.storage import materialize
 
 SHINGLE = 5
@@ -85,8 +85,6 @@ def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = RO
 
 
 def _band_hashes(least: np.ndarray) -> np.ndarray:
-    from millrace.llm.words import mixed
-
     out = np.arange(1, len(least) + 1, dtype=np.uint64)
     for k in range(least.shape[1]):
         out = mixed(out + least[:, k])
@@ -142,24 +140,23 @@ def link_groups(reps: DataFrame, docs: DataFrame, shingle: int, pct: int) -> Dat
     links = materialize(confirmed(pairs, sets, pct), "links")
     labels = materialize(components(links), "labels")
 
-    rest = materialize(_unlike_centre(members, labels, sets, pct), "rest")
-    more = confirmed(rest, sets, pct)
+    more = materialize(_unlike_centre(members, labels, sets, pct), "more")
     return components(links.union(more))
 
 
 def _unlike_centre(members: DataFrame, labels: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """Pairs ``a, b`` of one bucket and different components that could still be similar enough.
+    """Links ``a, b`` between different components of one bucket.
 
-    ``m``, the shingles of a document that another document in question has too, bounds every intersection, so a
-    partner of a document with ``n`` shingles has at most ``(100 + pct) * m / pct - n`` of them, and at least
-    ``pct`` percent of ``n``.  Sizes are put in cells 4 percent wide, and a document meets the cells of that range only.
+    ``m``, the shingles of a document that another document in question has too, bounds every intersection.  The full
+    sets are compared inside the join, and only where that bound and the sizes allow a link, so that what comes out
+    are links.  All but the largest component of a bucket ask, all members answer.
     """
     tagged = members.select("bucket", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
     tagged = tagged.withColumn("component", F.coalesce("component", "id"))
     parts = tagged.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    mixed = materialize(mixed.filter("parts > 1").drop("parts"), "mixed")
-    opened = materialize(tagged.join(mixed, "bucket"), "opened")
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
+    split = materialize(split.filter("parts > 1").drop("parts"), "split")
+    opened = materialize(tagged.join(split, "bucket"), "opened")
     asked = opened.select("id").distinct()
     shared = (
         sets.join(asked, "id", "left_semi").select("id", F.explode("shingles").alias("s"))
@@ -169,22 +166,14 @@ def _unlike_centre(members: DataFrame, labels: DataFrame, sets: DataFrame, pct:
     shared = materialize(shared, "own")
     sized = opened.join(shared, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
     sized = sized.filter(100 * F.col("m") >= pct * F.col("n"))
-    cell = lambda c: F.floor(F.log(c) / np.log(1.04)).cast("int")
-    largest = F.greatest((100 + pct) * F.col("m") / pct - F.col("n"), F.lit(1.0))
-    low, high = cell(F.greatest(pct * F.col("n") / 100, F.lit(1.0))) - 1, cell(largest) + 1
-    ask = sized.filter("component <> main").filter(low <= high).select(
-        "bucket", F.col("id").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma"), F.col("component").alias("ca"),
-        F.explode(F.sequence(low, high)).alias("cell"),
-    )
-    have = sized.select(
-        "bucket", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb"), F.col("component").alias("cb"),
-        cell(F.greatest(F.col("n"), F.lit(1))).alias("cell"),
-    )
-    ask, have = materialize(ask, "ask"), materialize(have, "have")
-    both = ask.join(have, ["bucket", "cell"]).filter("ca <> cb").filter(
-        _linked(F.least("ma", "mb"), F.col("na"), F.col("nb"), pct)
-    )
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sized = sized.select("bucket", "id", "n", "m", "component", F.col("component") != F.col("main"))
+    carried = materialize(sized.toDF("bucket", "id", "n", "m", "component", "asks").join(sets, "id"), "carried")
+    ask = carried.filter("asks").select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "m", "component", "shingles")))
+    have = carried.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "m", "component", "shingles")))
+    possible = _linked(F.least("m_a", "m_b"), F.col("n_a"), F.col("n_b"), pct)
+    linked = _linked(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), pct)
+    met = (ask["bucket"] == have["bucket"]) & (F.col("component_a") != F.col("component_b")) & possible & linked
+    return ask.join(have, met).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 
 def near_duplicates(
