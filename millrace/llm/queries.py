@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import minhash, packing, sharding, wavelet
+from millrace.llm import cascade, langid, minhash, packing, sharding, wavelet
 from millrace.plans.storage import fresh_path
 
 
@@ -33,11 +33,21 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), tokens=2048, end_id=1)
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return cascade.quality(_table(spark, sf, "documents")).drop("rule")
+
+
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify_documents(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
     "op3_wavelet_tokens": op3_wavelet_tokens,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
+    "op6_language_id": op6_language_id,
 }
 
 ORACLES: dict[str, str] = {}
