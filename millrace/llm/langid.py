@@ -24,7 +24,7 @@ TRIGRAM_WEIGHT = 60.0  # the evidence of a long text counts as that of so many i
 DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 SMOOTHING = 20.0
 ACCEPT = 0.5  # least posterior of the best language
-FIT = 2.2  # least log-likelihood of a trigram, in nats, over that of a random one
+FIT = -3.0  # least mean log-likelihood of a trigram, in nats, over that of a uniform choice: scripts never seen fall below
 
 
 def trigram_cells(text: bytes | None) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import cascade, langid, minhash, packing, sharding, wavelet
+from millrace.llm import cascade, decontam, langid, minhash, packing, sharding, toxicity, wavelet
 from millrace.plans.storage import fresh_path
 
 
@@ -41,6 +41,15 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify_documents(_table(spark, sf, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return toxicity.scored(docs, toxicity.learnt(docs, _table(spark, sf, "labels"))).drop("passages")
+
+
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -48,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_language_id": op6_language_id,
+    "op7_toxicity": op7_toxicity,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
