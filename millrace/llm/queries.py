@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import cascade, decontam, langid, minhash, packing, sharding, toxicity, wavelet
+from millrace.llm import cascade, decontam, langid, minhash, packing, pii, sharding, toxicity, wavelet
 from millrace.plans.storage import fresh_path
 
 
@@ -50,6 +50,10 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
 
 
+def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(_table(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLES: dict[str, str] = {}
