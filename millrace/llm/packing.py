@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tokens import WordLevelEncoder
+from millrace.llm.tokens import WordLevelEncoder, kept_encoder
 from millrace.llm.words import pieces
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -137,7 +137,7 @@ def pack_documents(
     loss = tokens if loss is None else loss
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = WordLevelEncoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encoder, end = kept_encoder(WordLevelEncoder, tokenizer), np.array([end_id], "<u4").tobytes()
         packer, sequence_id, rows = Packer(tokens, segments, loss), TaskContext.get().partitionId() << 33, []
 
         def placed(sequences: Iterator[list[Piece]]) -> None:

@@ -6,6 +6,7 @@ the whole text; parts seen before come from a dictionary.  Texts with unusual wh
 
 from __future__ import annotations
 
+import sys
 from struct import pack
 
 from tokenizers import Tokenizer
@@ -31,6 +32,14 @@ def _simple(word: str) -> tuple[str, str] | None:
     return (body, mark) if body.isalpha() and (body.isascii() or max(body) <= "\u00ff") else None
 
 
+def kept_encoder(kind: type, path: str):
+    """The encoder of this Python worker, so that later tasks of the worker find the words of earlier ones."""
+    store = sys.__dict__.setdefault("_millrace_encoders", {})
+    if (kind.__name__, path) not in store:
+        store[kind.__name__, path] = kind(path)
+    return store[kind.__name__, path]
+
+
 def _bytes(ids: list[int]) -> bytes:
     return pack(f"<{len(ids)}I", *ids)
 
@@ -42,7 +51,7 @@ class ByteLevelEncoder(dict):
     does.  A key is a word without its leading space, or a line feed and a word.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -75,7 +84,7 @@ class ByteLevelEncoder(dict):
 class WordLevelEncoder(dict):
     """The same for a BPE file with word ends that drops white space: every word stands alone."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.tokens import ByteLevelEncoder
+from millrace.llm.tokens import ByteLevelEncoder, kept_encoder
 from millrace.llm.words import pieces
 
 BLOCK_TOKENS = 1 << 20
@@ -142,7 +142,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, shard = ByteLevelEncoder(tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
+        encoder, end, shard = kept_encoder(ByteLevelEncoder, tokenizer), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId()
         ids, lengths, parts, held, block = [], [], [], 0, 0
 
         def closed() -> pa.RecordBatch:
