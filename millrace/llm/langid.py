@@ -106,7 +106,7 @@ def identify(
     docs: DataFrame, langs: list[str], logs: np.ndarray, host: Column | None = None, declared: Column | None = None,
     suffix: Column | None = None, accept: float = ACCEPT, fit: float = FIT,
 ) -> DataFrame:
-    """``doc_id, language, posterior, fit, kept``: a row for each row of ``docs`` (``doc_id, text``).
+    """``doc_id, body_hash, language, posterior, fit, kept``: a row for each row of ``docs`` (``doc_id, text``).
 
     ``host``, ``declared`` and ``suffix`` are expressions over ``docs``; a NULL or unknown value is no evidence.  The
     parent of a host is what follows its first dot.  ``kept`` is false for a text without words, for one that fits
@@ -116,10 +116,10 @@ def identify(
     none = F.lit(None).cast("string")
     host, declared, suffix = (none if c is None else c for c in (host, declared, suffix))
     if not langs:
-        return docs.select(F.col("doc_id").cast("bigint"), none.alias("language"), F.lit(None).cast("double").alias("posterior"),
+        return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("body_hash"), none.alias("language"), F.lit(None).cast("double").alias("posterior"),
                            F.lit(None).cast("double").alias("fit"), F.lit(False).alias("kept"))
     asked = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", host.alias("host"), F.lower(declared).alias("declared"), F.lower(suffix).alias("suffix")
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("body_hash"), "text", host.alias("host"), F.lower(declared).alias("declared"), F.lower(suffix).alias("suffix")
     )
     seen = materialize(text_evidence(asked, langs, logs), "evidence")
     rows = seen.withColumn("posterior", _softmax(F.col("evidence"))).withColumn(
@@ -145,20 +145,20 @@ def identify(
     near = lambda c, right: F.array(
         *(F.when(c.isNull() | ~c.isin(langs), 0.0).when(c == x, np.log(right)).otherwise(np.log((1 - right) / max(1, len(langs) - 1))) for x in langs)
     )
-    joined = rows.select("doc_id", "host", "declared", "suffix", "evidence", "posterior", "fit").join(priors, "host", "left")
+    joined = rows.select("doc_id", "body_hash", "host", "declared", "suffix", "evidence", "posterior", "fit").join(priors, "host", "left")
     # A document's own share leaves its host's mix, so that it is not its own evidence.
     others = F.zip_with(F.coalesce("own", zeros), "posterior", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     above = F.zip_with(F.coalesce("up", zeros), "posterior", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     prior = smooth(F.when(F.col("own").isNull(), zeros).otherwise(others), smooth(F.when(F.col("own").isNull(), zeros).otherwise(above), corpus))
     fused = joined.select(
-        "doc_id", "fit",
+        "doc_id", "body_hash", "fit",
         _softmax(_added(_added(F.col("evidence"), F.transform(prior, lambda v: F.log(v))), _added(near(F.col("declared"), DECLARED_RIGHT), near(F.col("suffix"), SUFFIX_RIGHT)))).alias("fused"),
     )
     best = F.array_max("fused")
     named = F.get(F.array(*map(F.lit, langs)), (F.array_position(F.col("fused"), best) - 1).cast("int"))
     worded = F.col("fit").isNotNull()
     return fused.select(
-        "doc_id", F.when(worded, named).alias("language"), F.when(worded, best).alias("posterior"), "fit",
+        "doc_id", "body_hash", F.when(worded, named).alias("language"), F.when(worded, best).alias("posterior"), "fit",
         F.coalesce(worded & (F.col("fit") >= fit) & (best >= accept), F.lit(False)).alias("kept"),
     )
 

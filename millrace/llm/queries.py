@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import cascade, decontam, langid, minhash, packing, pii, sharding, toxicity, wavelet
+from millrace.llm import brown, cascade, decontam, langid, minhash, packing, pii, sharding, toxicity, wavelet
 from millrace.plans.storage import fresh_path
 
 
@@ -38,7 +38,7 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
-    return langid.identify_documents(_table(spark, sf, "documents"))
+    return langid.identify_documents(_table(spark, sf, "documents")).drop("body_hash")
 
 
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(_table(spark, sf, "documents")))
 
 
+def op10_class_lm(spark: SparkSession, sf: str) -> DataFrame:
+    return brown.score_documents(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_minhash": op2_minhash,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
     "op9_personal_data": op9_personal_data,
+    "op10_class_lm": op10_class_lm,
 }
 
 ORACLES: dict[str, str] = {}
