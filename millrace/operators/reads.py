@@ -34,15 +34,14 @@ def region_assign(reads: DataFrame, regions: DataFrame, offsets: DataFrame, n_re
         F.col("region").alias("_region"), F.col("start").alias("_from"), F.col("end").alias("_to"),
         F.explode(F.sequence(first, last)).alias("_bin"),
     )
-    # Both lookups have at most one row per contig, or per bin of the genome and region edge.
     starts = offsets.select(F.col("idx").alias("ref_index"), F.col("offset").alias("_offset"))
-    placed = reads.join(F.broadcast(starts), "ref_index", "left").withColumn("_position", F.col("pos") + F.col("_offset"))
+    placed = reads.join(starts, "ref_index", "left").withColumn("_position", F.col("pos") + F.col("_offset"))
     inside = (
         (F.floor(F.col("_position") / bin_size) == F.col("_bin"))
         & (F.col("_position") > F.col("_from"))
         & (F.col("_position") < F.col("_to"))
     )
-    return placed.join(F.broadcast(cut), inside, "left").select(
+    return placed.join(cut, inside, "left").select(
         *reads.columns, F.coalesce("_region", F.lit(n_regions - 1)).cast("int").alias("region")
     )
 
@@ -54,15 +53,18 @@ def reads_per_region(assigned: DataFrame) -> DataFrame:
 def quality_encoding(reads: DataFrame, group: str = "grp", qual: str = "qual") -> DataFrame:
     """Adds ``illumina``, ``quals`` and ``bad``: qualities shifted by 31 where a group's largest exceeds 60.
 
-    A read whose shifted qualities go below zero is flagged ``bad`` and keeps its numbers.
+    A read whose shifted qualities go below zero is flagged ``bad`` and keeps its numbers.  Reads without a group
+    are a group of their own.
     """
     # The largest character decides.  The groups are written out, so that the reads
     # are joined to them by broadcast, unshuffled, if they are as few as usual.
     largest = F.ascii(F.array_max(F.split(qual, ""))) - 33
-    encodings = materialize(reads.groupBy(group).agg((F.max(largest) > SANGER_LIMIT).alias("illumina")), "encodings")
+    encodings = reads.groupBy(F.col(group).alias("_group")).agg((F.max(largest) > SANGER_LIMIT).alias("illumina"))
+    encodings = materialize(encodings, "encodings")
     shifted = F.when(F.col("illumina"), ILLUMINA_SHIFT).otherwise(0)
     return (
-        reads.join(encodings, group)
+        reads.join(encodings, F.col(group).eqNullSafe(F.col("_group")), "left")
+        .drop("_group")
         .withColumn("quals", F.transform(F.split(qual, ""), lambda c: F.ascii(c) - 33 - shifted))
         .withColumn("bad", F.coalesce(F.array_min("quals") < 0, F.lit(False)))
     )
@@ -76,13 +78,17 @@ def read_groups(reads: DataFrame, **tags: str) -> DataFrame:
 def mark_duplicates(reads: DataFrame) -> DataFrame:
     """Adds ``duplicate``: among reads of one ``ref_index, start, strand`` all but the best are duplicates.
 
-    The best has the highest ``score`` (summed quality), then the lowest ``name``;
-    reads that share the winning name are one template and stay.  The best is a
-    maximum, so a deep pile-up is reduced before it is shuffled.
+    The best has the highest ``score`` (summed quality; none is lowest), then the lowest ``name``; reads that share the
+    winning name are one template and stay.  A read without a place is no duplicate.  The best is a minimum, so a deep
+    pile-up is reduced before it is shuffled; it is written, so that the join has plain shuffles, which split the pile-up.
     """
     place = ["ref_index", "start", "strand"]
-    best = reads.groupBy(*place).agg(F.min(F.struct((-F.col("score")).alias("_rank"), F.col("name").alias("_best")))["_best"].alias("_best"))
-    return reads.join(best, place).select(*reads.columns, (F.col("name") != F.col("_best")).alias("duplicate"))
+    placed = F.col("ref_index").isNotNull() & F.col("start").isNotNull() & F.col("strand").isNotNull()
+    rank = F.struct(F.col("score").isNull().alias("_none"), (-F.col("score")).alias("_rank"), F.col("name").alias("_best"))
+    best = reads.filter(placed).groupBy(*place).agg(F.min(rank)["_best"].alias("_best"))
+    best = materialize(best, "best")
+    found = reads.filter(placed).join(best, place).select(*reads.columns, (~F.col("name").eqNullSafe(F.col("_best"))).alias("duplicate"))
+    return found.unionByName(reads.filter(~placed).withColumn("duplicate", F.lit(False)))
 
 
 def interleave_chunks(mates1: DataFrame, mates2: DataFrame, size: int = CHUNK_RECORDS) -> DataFrame:

@@ -80,8 +80,8 @@ def advance(batch: DataFrame, batch_id: int, out: str, window: int, slide: int,
     step = slide * MICROS
     after = BoardState(
         seen_us=max(seen["last"], before.seen_us or seen["last"]),
-        # Before any window is closed, the first one to end is the one that ends after the first event.
-        closed_us=before.closed_us if before.closed_us is not None else seen["first"] // step * step,
+        # Before any window is closed, later batches may still bring rows as old as the watermark of the first event.
+        closed_us=before.closed_us if before.closed_us is not None else (seen["first"] - delay * MICROS) // step * step,
         last_no=before.last_no,
         late=before.late + seen["late"],
         live=[*before.live, (batch_id, seen["last"])],

@@ -22,8 +22,9 @@ def stream_chunks(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        names = chunk_id(batch).filter(F.col("chunk").isNotNull()).select("chunk").distinct()
-        rows = batch.sparkSession.read.parquet(chunks).join(names, "chunk", "left_semi")
+        # The chunks that one batch of markers names, as literals: the scan then lists their folders only.
+        names = [r.chunk for r in chunk_id(batch).filter(F.col("chunk").isNotNull()).select("chunk").distinct().collect()]
+        rows = batch.sparkSession.read.parquet(chunks).filter(F.col("chunk").isin(names))
         record = F.concat_ws("\n", F.concat(F.lit("@"), "name"), "seq", F.lit("+"), "qual")
         piped = pipe_chunks(rows.select("chunk", "slot", record.alias("line")), "chunk", cmd, order="slot")
         piped.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")

@@ -47,7 +47,12 @@ def test_numbered_lines_over_many_blocks(spark, tmp_path):
     assert {(Path(r.file).name, r.line_no): r.value for r in got} == {
         (name, i): x for name, rows in texts.items() for i, x in enumerate(rows, 1)
     }
-    assert scan_lines(spark, str(tmp_path), 6).rdd.getNumPartitions() >= 6
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert scan_lines(spark, str(tmp_path), 6).rdd.getNumPartitions() >= 6
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
 def test_density_round_trip(spark, contigs, tmp_path):
@@ -200,6 +205,24 @@ def test_duplicates_and_groups(spark):
         ("a", "+", False), ("a", "+", False), ("b", "+", True), ("c", "+", True), ("d", "-", False),
     ]
     assert reads.read_groups(marked, rgid="X").first().rgid == "X"
+    odd = rows + [("u", None, 5, "+", 9), ("v", None, 5, "+", 1), ("w", 1, 5, "+", None)]
+    got = reads.mark_duplicates(spark.createDataFrame(odd, "name string, ref_index int, start bigint, strand string, score bigint"))
+    assert {r.name: r.duplicate for r in got.collect() if r.name in "uvw"} == {"u": False, "v": False, "w": True}
+    assert got.count() == len(odd)
+
+
+def test_duplicates_of_scanned_reads(spark, tmp_path):
+    line = lambda name, flag, contig, pos: "\t".join([name, str(flag), contig, str(pos), "60", "4M", "*", "0", "0", "ACGT", "IIII"])
+    (tmp_path / "x.sam").write_text("@HD\n" + "\n".join([line("a", 0, "chr1", 5), line("b", 0, "chr1", 5), line("c", 4, "*", 0), line("d", 4, "*", 0)]) + "\n")
+    contigs = spark.createDataFrame([(0, "chr1", 100)], "idx int, name string, length bigint")
+    aligned = genome.scan_sam(spark, str(tmp_path / "x.sam"), contigs).selectExpr("qname AS name", "ref_index", "pos AS start", "strand", "40L AS score")
+    assert {r.name: r.duplicate for r in reads.mark_duplicates(aligned).collect()} == {"a": False, "b": True, "c": False, "d": False}
+
+
+def test_encoding_of_reads_without_a_group(spark):
+    rows = [(None, "h@"), (None, "?h"), ("s", "!I")]
+    got = reads.quality_encoding(spark.createDataFrame(rows, "grp string, qual string")).collect()
+    assert sorted((r.grp or "", r.illumina, r.quals) for r in got) == [("", True, [-1, 40]), ("", True, [40, 0]), ("s", False, [0, 40])]
 
 
 def test_encoding(spark):
