@@ -22,8 +22,8 @@ MAX_HOPS = 6
 def bfs_distance(edges: DataFrame, root: int, max_hops: int = MAX_HOPS) -> DataFrame:
     """``actor_id, distance`` for everybody; people beyond ``max_hops`` get 100.
 
-    A hop is two semi joins: the titles of the frontier, then the casts of those
-    titles, minus people already reached.  Each frontier is written out, so that
+    A hop is two semi joins: the new titles of the frontier, then the casts of those
+    titles, minus people already reached.  A title is expanded once.  Each frontier is written out, so that
     plans stay short, a lost executor costs one hop at most, and a small frontier
     is broadcast on its true size while a large one is shuffled.
     """
@@ -31,9 +31,13 @@ def bfs_distance(edges: DataFrame, root: int, max_hops: int = MAX_HOPS) -> DataF
     spark = edges.sparkSession
     seed = spark.range(1).select(F.lit(root).cast("bigint").alias("actor_id"), F.lit(0).alias("distance"))
     frontier = materialize(seed, "hop")
-    reached = [frontier]
+    reached, visited = [frontier], []
     for hop in range(1, max_hops + 1):
         titles = edges.join(frontier, "actor_id", "left_semi").select("movie").distinct()
+        if visited:
+            titles = titles.join(_all(visited), "movie", "left_anti")
+        titles = materialize(titles, "titles")
+        visited.append(titles)
         cast = edges.join(titles, "movie", "left_semi").select("actor_id").distinct()
         unseen = cast.join(_all(reached), "actor_id", "left_anti")
         frontier = materialize(unseen.withColumn("distance", F.lit(hop)), "hop")
@@ -63,7 +67,7 @@ def costar_counts(edges: DataFrame) -> DataFrame:
     A person in a title with a cast of k has k - 1 such rows there, so counting
     the casts gives the numbers without pairing anyone.
     """
-    casts = edges.groupBy("movie").agg((F.count("*") - 1).alias("others"))
+    casts = materialize(edges.groupBy("movie").agg((F.count("*") - 1).alias("others")), "casts")
     return edges.join(casts, "movie").groupBy("actor_id").agg(F.count("*").alias("titles"), F.sum("others").alias("shared"))
 
 

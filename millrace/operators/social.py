@@ -94,7 +94,8 @@ def hashtag_counts(
 
 def tag_popularity(windowed: DataFrame, tags: DataFrame) -> DataFrame:
     """Windowed statuses with a first ``tag``, joined with that tag's count in the window."""
-    counts = tags.select("window_start", "tag", F.col("n").alias("hashtagcount"))
+    # Written first: the join then has plain shuffles on both sides, which adaptive execution splits at a hot tag.
+    counts = materialize(tags.select("window_start", "tag", F.col("n").alias("hashtagcount")), "tag_counts")
     return windowed.join(counts, ["window_start", "tag"])
 
 
@@ -108,8 +109,11 @@ def tweet_board(
     Rows stay narrow while they are joined: user and text come last, and with
     ``details=False`` are left to ``board_details``, after a top-n for instance.
     """
+    # Both are written first, see `tag_popularity`.
     shared = retweet_counts(statuses, window, slide).select("window_start", "id", F.col("n").alias("shares"))
+    shared = materialize(shared, "shares")
     counts = hashtag_counts(statuses, window, slide).select("window_start", F.col("tag").alias("tag_key"), F.col("n").alias("uses"))
+    counts = materialize(counts, "uses")
     # A NULL tag would send every untagged status of a window to one task; a key of
     # its own matches no count either, and spreads.
     own_key = F.coalesce(F.col("tag"), F.concat(F.lit("\u0000"), F.col("id").cast("string")))
@@ -138,9 +142,12 @@ def tweet_board(
 def board_details(board: DataFrame, statuses: DataFrame) -> DataFrame:
     """Adds ``user`` and ``text`` of each row's status; rows without an id get NULLs."""
     texts = originals(statuses).groupBy("id").agg(F.min(F.struct("user", "text")).alias("_status"))
-    return board.join(texts, "id", "left").select(
+    named = board.filter("id IS NOT NULL").join(texts, "id", "left").select(
         *board.columns, F.col("_status.user").alias("user"), F.col("_status.text").alias("text")
     )
+    # Rows without an id would meet in one task of the join.
+    none = F.lit(None).cast("string")
+    return named.unionByName(board.filter("id IS NULL").withColumns({"user": none, "text": none}))
 
 
 def drop_unique_unshared(board: DataFrame) -> DataFrame:

@@ -9,16 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.plans.numbering import running_sums
+from millrace.plans.storage import materialize
+
 REGION_SIZE = 1_000_000
 CHUNK_BIN = 1 << 16
-MAX_DENSITY_ROWS = 2_000_000
 CALL_KEY = ["chrom", "pos", "ref", "alt"]
 
 
-def variant_sites(variants: DataFrame) -> DataFrame:
-    return variants.select("chrom", "pos")
-
-
 def contig_index(contigs: DataFrame) -> DataFrame:
     """Numbered and X, Y, M contigs with a dense ``contig_no`` from 0 in dictionary order."""
     # A dictionary has one row per contig of one genome; a single task orders it.
@@ -107,29 +105,22 @@ def variants_per_region(density: DataFrame, regions: int) -> DataFrame:
 def region_pack(density: DataFrame, regions: int, part_size: int = REGION_SIZE) -> DataFrame:
     """``region, start, end``: greedy packing of density rows into regions of about equal variant count.
 
-    A region closes before the row that finds it above its share; what remains at
-    the end is never closed.  The packing is sequential, and runs on the counted
-    table alone: one number per ``part_size`` of genome, about 3 200 for a human.
-    A table beyond that scale is refused rather than packed wrongly.
+    A region closes before the row that finds it above its share; what remains at the end is never closed.  With
+    running sums, a region that starts at some row ends before the first row whose sum exceeds the start's by more
+    than the share: one look-up for each region, of which there are fewer than ``regions``, each over sorted columns.
     """
-    rows = density.groupBy().agg(
-        F.sort_array(F.collect_list(F.struct("idx", "region", F.col("n").cast("bigint").alias("n")))).alias("bins"),
-        F.sum("n").alias("variants"),
-    )
-    guarded = rows.withColumn(
-        "bins",
-        F.when(F.size("bins") > MAX_DENSITY_ROWS, F.raise_error(F.lit("too many density rows: use a larger region size"))).otherwise(F.col("bins")),
-    ).withColumn("per_region", F.ceil(F.col("variants") / regions))
-    closed_type = "array<struct<region:int,start:double,end:double>>"
-    fold = f"""aggregate(bins,
-        named_struct('size', 0L, 'parts', 0, 'at', 0D, 'closed', cast(array() as {closed_type})),
-        (acc, bin) -> if(acc.size > per_region,
-            named_struct('size', bin.n, 'parts', 1, 'at', acc.at + acc.parts * {part_size}D,
-                'closed', array_append(acc.closed, named_struct(
-                    'region', size(acc.closed), 'start', acc.at, 'end', acc.at + acc.parts * {part_size}D))),
-            named_struct('size', acc.size + bin.n, 'parts', acc.parts + 1, 'at', acc.at, 'closed', acc.closed)),
-        acc -> acc.closed)"""
-    return guarded.select(F.inline(F.expr(fold)))
+    spark = density.sparkSession
+    total = density.agg(F.sum("n")).head()[0] or 0
+    share = -(-int(total) // regions)
+    rows = materialize(running_sums(density.select("idx", "region", F.col("n").cast("bigint").alias("n")), [F.col("idx"), F.col("region")], "n"), "running")
+    closed, place, before = [], 0, 0
+    while True:
+        after = rows.filter(F.col("before") > before + share).agg(F.min(F.struct("before", "place")).alias("cut")).head()["cut"]
+        if after is None:
+            break
+        closed.append((len(closed), float(place * part_size), float(after.place * part_size)))
+        place, before = after.place, after.before
+    return spark.createDataFrame(closed, "region int, start double, end double")
 
 
 def chrom_number(variants: DataFrame) -> DataFrame:
@@ -145,6 +136,12 @@ def variant_order(variants: DataFrame) -> DataFrame:
     return chrom_number(variants).filter(F.col("chrom_no").between(1, 24)).orderBy("chrom_no", "pos", *ties)
 
 
+def order_rejects(variants: DataFrame) -> DataFrame:
+    """``chrom, n``: variants that ``variant_order`` leaves out, as their contig is none of 1 to 24."""
+    outside = ~F.coalesce(F.col("chrom_no").between(1, 24), F.lit(False))
+    return chrom_number(variants).filter(outside).groupBy("chrom").agg(F.count("*").alias("n"))
+
+
 def variant_common(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct calls that both sets have."""
     return a.select(*CALL_KEY).intersect(b.select(*CALL_KEY))

@@ -7,9 +7,33 @@ from pyspark.sql import functions as F
 
 from millrace.plans.storage import materialize
 
-# monotonically_increasing_id keeps the partition in the upper bits and the row in the lower 33.
-ROW_BITS = 33
-ROW_MASK = (1 << ROW_BITS) - 1
+
+def _sorted(df: DataFrame, order: list[Column]) -> DataFrame:
+    """One global sort, written out, with the sort partition (``_part``) and an order inside it (``_slot``)."""
+    slots = df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_slot": F.monotonically_increasing_id()})
+    return materialize(slots, "sorted")
+
+
+def _before(rows: DataFrame, amount: Column, name: str) -> DataFrame:
+    """``_part, <name>``: the sum of ``amount`` over earlier sort partitions, of which there are as many as tasks of the sort."""
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.groupBy("_part").agg(amount.alias("_amount")).select(
+        F.col("_part").alias("_own_part"), F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias(name)
+    )
+
+
+def running_sums(df: DataFrame, order: list[Column], value: str) -> DataFrame:
+    """Adds ``place`` (from 0) and ``before``, the sum of ``value`` over all earlier rows in ``order``."""
+    rows = _sorted(df, order)
+    inside = Window.partitionBy("_part").orderBy("_slot")
+    ahead = inside.rowsBetween(Window.unboundedPreceding, -1)
+    here = rows.withColumns({"_place": F.row_number().over(inside) - 1, "_sum": F.coalesce(F.sum(value).over(ahead), F.lit(0))})
+    starts = _before(rows, F.count("*"), "_rows").join(
+        _before(rows, F.sum(value), "_total").withColumnRenamed("_own_part", "_same"), F.col("_own_part") == F.col("_same")
+    )
+    return here.join(starts, F.col("_part") == F.col("_own_part")).select(
+        *df.columns, (F.col("_rows") + F.col("_place")).cast("bigint").alias("place"), (F.col("_total") + F.col("_sum")).cast("bigint").alias("before")
+    )
 
 
 def numbered(
@@ -27,21 +51,13 @@ def numbered(
     rows need.  ``order`` must be a total order for the numbers to be reproducible.
     """
     within = within or []
-    slots = df.orderBy(*within, *order).withColumn("_slot", F.monotonically_increasing_id())
-    slots = materialize(slots, "numbered").withColumn("_part", F.shiftrightunsigned("_slot", ROW_BITS))
-    before = (
-        slots.groupBy("_part")
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            "_part",
-            F.coalesce(
-                F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("_before"),
-        )
-    )
+    slots = _sorted(df, [*map(F.col, within), *order])
     # One row per sort partition: at most spark.sql.shuffle.partitions rows, whatever the data size.
-    placed = slots.join(F.broadcast(before), "_part").withColumn(
-        "_place", F.col("_before") + F.col("_slot").bitwiseAND(F.lit(ROW_MASK))
+    before = slots.groupBy("_part").agg(F.min("_slot").alias("_first_slot")).join(
+        _before(slots, F.count("*"), "_rows"), F.col("_part") == F.col("_own_part")
+    )
+    placed = slots.join(F.broadcast(before.drop("_part")), F.col("_part") == F.col("_own_part")).withColumn(
+        "_place", F.col("_rows") + F.col("_slot") - F.col("_first_slot")
     )
     if within:
         keys = [F.col(c).alias(f"_key_{i}") for i, c in enumerate(within)]
