@@ -2,88 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Language codes and their English names.
-LANGUAGE_NAMES = {
-    "af": "Afrikaans",
-    "am": "Amharic",
-    "ar": "Arabic",
-    "az": "Azerbaijani",
-    "be": "Belarusian",
-    "bg": "Bulgarian",
-    "bn": "Bangla",
-    "bs": "Bosnian",
-    "ca": "Catalan",
-    "cs": "Czech",
-    "cy": "Welsh",
-    "da": "Danish",
-    "de": "German",
-    "el": "Greek",
-    "en": "English",
-    "eo": "Esperanto",
-    "es": "Spanish",
-    "et": "Estonian",
-    "eu": "Basque",
-    "fa": "Persian",
-    "fi": "Finnish",
-    "fr": "French",
-    "ga": "Irish",
-    "gl": "Galician",
-    "gu": "Gujarati",
-    "he": "Hebrew",
-    "hi": "Hindi",
-    "hr": "Croatian",
-    "hu": "Hungarian",
-    "hy": "Armenian",
-    "id": "Indonesian",
-    "is": "Icelandic",
-    "it": "Italian",
-    "ja": "Japanese",
-    "ka": "Georgian",
-    "kk": "Kazakh",
-    "km": "Khmer",
-    "kn": "Kannada",
-    "ko": "Korean",
-    "lo": "Lao",
-    "lt": "Lithuanian",
-    "lv": "Latvian",
-    "mk": "Macedonian",
-    "ml": "Malayalam",
-    "mn": "Mongolian",
-    "mr": "Marathi",
-    "ms": "Malay",
-    "my": "Burmese",
-    "ne": "Nepali",
-    "nl": "Dutch",
-    "no": "Norwegian",
-    "pa": "Punjabi",
-    "pl": "Polish",
-    "ps": "Pashto",
-    "pt": "Portuguese",
-    "ro": "Romanian",
-    "ru": "Russian",
-    "sd": "Sindhi",
-    "si": "Sinhala",
-    "sk": "Slovak",
-    "sl": "Slovenian",
-    "so": "Somali",
-    "sq": "Albanian",
-    "sr": "Serbian",
-    "sv": "Swedish",
-    "sw": "Swahili",
-    "ta": "Tamil",
-    "te": "Telugu",
-    "th": "Thai",
-    "tl": "Tagalog",
-    "tr": "Turkish",
-    "uk": "Ukrainian",
-    "ur": "Urdu",
-    "uz": "Uzbek",
-    "vi": "Vietnamese",
-    "zh": "Chinese",
-}
+
+def language_names(spark: SparkSession) -> dict[str, str]:
+    """English names of all ISO 639 codes, from the JVM's own table."""
+    locale = spark._jvm.java.util.Locale
+    return {code: locale.forLanguageTag(code).getDisplayLanguage(locale.ENGLISH) for code in locale.getISOLanguages()}
 
 
 def clean_status(text: Column) -> Column:
@@ -101,7 +27,7 @@ def has_hangul(text: Column) -> Column:
     return F.regexp_like(text, F.lit(r"\p{IsHangul}"))
 
 
-def language_name(code: Column) -> Column:
+def language_name(code: Column, names: dict[str, str]) -> Column:
     """English name of a code; an unknown code names itself."""
-    names = F.create_map(*[F.lit(x) for pair in LANGUAGE_NAMES.items() for x in pair])
-    return F.coalesce(names[code], code)
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(table[code], code)

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.status import clean_status, has_hangul, has_hiragana, language_name
+from millrace.functions.status import clean_status, has_hangul, has_hiragana, language_name, language_names
 from millrace.plans.storage import materialize
 
 
@@ -48,17 +48,19 @@ def detect_lang(docs: DataFrame, profiles: DataFrame, text: str = "text", key: s
         cleaned.withColumn("_letters", letters)
         .select(key, "_letters", F.explode(word_array(F.col("_text"))).alias("word"))
         .select(key, "_letters", F.explode(trigrams(F.col("word"))).alias("trigram"))
+        .groupBy(key, "_letters", "trigram")
+        .agg(F.count("*").alias("_times"))
     )
-    weights = profiles.select("lang", "trigram", F.log(F.col("n") + 1).alias("_weight"))
     kinds = profiles.agg(F.count_distinct("trigram")).scalar()
     floors = profiles.groupBy("lang").agg(F.sum("n").alias("_total")).select("lang", (-F.log(F.col("_total") + kinds)).alias("_floor"))
+    weights = profiles.join(floors, "lang").select("lang", "trigram", F.log(F.col("n") + 1).alias("_weight"), "_floor")
+    weights = materialize(weights, "weights")
     # A trigram a language lacks scores the floor, which every trigram scores as well,
     # so only known trigrams are joined and the floor is added once per letter.
     scored = (
         grams.join(weights, "trigram")
         .groupBy(key, "_letters", "lang")
-        .agg(F.sum("_weight").alias("_known"))
-        .join(floors, "lang")
+        .agg(F.sum(F.col("_times") * F.col("_weight")).alias("_known"), F.first("_floor").alias("_floor"))
         .withColumn("_score", F.round(F.col("_known") + F.col("_letters") * F.col("_floor"), 6))
     )
     best = scored.groupBy(key).agg(F.min_by("lang", F.struct(-F.col("_score"), F.col("lang"))).alias("_best"))
@@ -69,4 +71,5 @@ def detect_lang(docs: DataFrame, profiles: DataFrame, text: str = "text", key: s
 
 def lang_names(docs: DataFrame) -> DataFrame:
     """Documents per language, with its English name."""
-    return docs.groupBy("lang").agg(F.count("*").alias("n")).select("lang", language_name(F.col("lang")).alias("lang_name"), "n")
+    names = language_names(docs.sparkSession)
+    return docs.groupBy("lang").agg(F.count("*").alias("n")).select("lang", language_name(F.col("lang"), names).alias("lang_name"), "n")

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.phones import AREA_CODES_3, AREA_CODES_4, national_numbers, old_style_numbers
 
-URLS_PER_ROW = 100_000
-
 
 def phone_hits(records: DataFrame, extra_prefixes: Iterable[str] = ()) -> DataFrame:
     """``num, url``: one row per occurrence of a number with a valid area code."""
@@ -28,10 +26,9 @@ def phone_legacy(records: DataFrame) -> DataFrame:
 
 def valid_prefix(nums: DataFrame, prefixes: DataFrame, num: str = "num") -> DataFrame:
     """Rows whose number opens with one of ``prefixes`` (``prefix STRING`` of three or four characters)."""
-    # Codes have at most four digits, so there are never more than 11 000 of them.
     codes = prefixes.select("prefix").distinct()
-    three = F.broadcast(codes.withColumnRenamed("prefix", "_three"))
-    four = F.broadcast(codes.withColumnRenamed("prefix", "_four"))
+    three = codes.withColumnRenamed("prefix", "_three")
+    four = codes.withColumnRenamed("prefix", "_four")
     return (
         nums.join(three, F.substring(F.col(num), 1, 3) == F.col("_three"), "left")
         .join(four, F.substring(F.col(num), 1, 4) == F.col("_four"), "left")
@@ -40,40 +37,23 @@ def valid_prefix(nums: DataFrame, prefixes: DataFrame, num: str = "num") -> Data
     )
 
 
-def phone_index(hits: DataFrame, urls_per_row: int = URLS_PER_ROW) -> DataFrame:
-    """``num, part, urls ARRAY<STRING>``: every page of a number, repeats kept, sorted.
+def phone_index(hits: DataFrame) -> DataFrame:
+    """``num, url, times``: every page of a number and how often it is there.
 
-    A number with at most ``urls_per_row`` hits has one row, ``part`` 0.  A number
-    that fills more (placeholder numbers may hold a large share of a crawl) is
-    spread over several rows by a hash of the page, and a page repeated more often
-    than that is cut as well, so no array grows with the crawl and none is dropped.
+    A row is a page, so the rows of a placeholder number that fills a large share of a crawl are spread like all others.
     """
-    pages = hits.groupBy("num", "url").agg(F.count("*").alias("times"))
-    totals = pages.groupBy("num").agg(F.sum("times").alias("hits"))
-    last = F.ceil(F.col("times") / urls_per_row) - 1
-    piece = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-    length = F.least(F.lit(urls_per_row).cast("bigint"), F.col("times") - F.col("piece") * urls_per_row)
-    parts = F.ceil(F.col("hits") / urls_per_row)
-    return (
-        pages.join(totals, "num")
-        .select("num", "url", "times", "hits", piece.alias("piece"))
-        .select("num", "url", length.cast("int").alias("length"), F.pmod(F.xxhash64("url", "piece"), parts).cast("int").alias("part"))
-        # The join leaves rows placed by number alone; place them anew so that parts spread.
-        .repartition("num", "part")
-        .groupBy("num", "part")
-        .agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("url", F.col("length"))))).alias("urls"))
-    )
+    return hits.groupBy("num", "url").agg(F.count("*").alias("times"))
 
 
 def phone_stats(hits: DataFrame, manifest: DataFrame) -> DataFrame:
     """One row: unique numbers, hits, and the segments listed, processed and failed.
 
-    ``manifest`` is the output of ``split_manifest``.
+    ``manifest`` is the output of ``split_manifest``, with the rejects of a scan in place of their entries.
     """
     found = hits.groupBy("num").agg(F.count("*").alias("times")).agg(
         F.count("*").alias("unique_numbers"), F.coalesce(F.sum("times"), F.lit(0)).alias("hits")
     )
-    failed = F.count_if(F.col("status").isin("invalid", "unknown"))
+    failed = F.count_if(F.col("status").isin("invalid", "unknown", "missing", "unreadable"))
     listed = manifest.agg(
         F.count("*").alias("segments"), (F.count("*") - failed).alias("processed_segments"), failed.alias("failed_segments")
     )

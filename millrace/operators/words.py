@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.words import segment_texts, words_of
-
-PREDS_PER_ROW = 100_000
+from millrace.plans.storage import materialize
 
 
 def segments(lines: DataFrame, text: str = "line") -> DataFrame:
@@ -61,31 +60,11 @@ def word_freq(lines: DataFrame, text: str = "line") -> DataFrame:
     )
 
 
-def predecessor_lists(lines: DataFrame, text: str = "line", per_row: int = PREDS_PER_ROW) -> DataFrame:
-    """``word, n, part, preds ARRAY<STRUCT<pred, n>>``, each array by count, then name.
-
-    A word with at most ``per_row`` distinct predecessors has one row with
-    ``part`` 0.  More frequent words are spread over several rows by a hash of
-    the predecessor, so no array (and no task) grows with the text.
-    """
+def predecessor_lists(lines: DataFrame, text: str = "line") -> DataFrame:
+    """``word, pred, n``: each predecessor of each word; a word that only ever opens segments has NULL ``pred`` and ``n``."""
     pairs, totals = _pairs_and_totals(lines, text)
-    parts = F.greatest(F.ceil(F.col("preds") / per_row), F.lit(1))
-    entry = F.when(F.col("pred").isNotNull(), F.struct((-F.col("pair_n")).alias("rank"), F.col("pred").alias("pred")))
-    return (
-        pairs.join(totals, "word")
-        .filter(F.col("pred").isNotNull() | (F.col("preds") == 0))
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("pred"), parts), F.lit(0)).cast("int"))
-        # The join leaves rows placed by word alone; place them anew so that parts spread.
-        .repartition("word", "part")
-        .groupBy("word", "n", "part")
-        .agg(F.sort_array(F.collect_list(entry)).alias("sorted"))
-        .select(
-            "word",
-            "n",
-            "part",
-            F.transform("sorted", lambda e: F.struct(e["pred"].alias("pred"), (-e["rank"]).alias("n"))).alias("preds"),
-        )
-    )
+    lonely = totals.filter("preds = 0").select("word", F.lit(None).cast("string").alias("pred"), F.lit(None).cast("bigint").alias("n"))
+    return pairs.filter("pred IS NOT NULL").select("word", "pred", F.col("pair_n").alias("n")).unionByName(lonely)
 
 
 def _segments(lines: DataFrame, text: str) -> DataFrame:
@@ -98,6 +77,7 @@ def _pair_counts(lines: DataFrame, text: str) -> DataFrame:
 
 
 def _pairs_and_totals(lines: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    pairs = _pair_counts(lines, text).withColumnRenamed("n", "pair_n")
-    totals = pairs.groupBy("word").agg(F.sum("pair_n").alias("n"), F.count("pred").alias("preds"))
+    """Pair counts and word totals, both written: a join of the two then has plain shuffles, which split a hot word."""
+    pairs = materialize(_pair_counts(lines, text).withColumnRenamed("n", "pair_n"), "pairs")
+    totals = materialize(pairs.groupBy("word").agg(F.sum("pair_n").alias("n"), F.count("pred").alias("preds")), "totals")
     return pairs, totals

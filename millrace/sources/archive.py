@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.plans.storage import exists
+
+# Fixed values of the file format: what opens a record, what ends its header.
 RECORD_SEP = "WARC/1.0\r\n"
 HEADER_END = "\r\n\r\n"
-URL_LIMIT = 2048
 
 
 def parse_wet(raw: DataFrame) -> DataFrame:
-    """``url, content`` (and ``file`` if present) of raw records in ``value``; records without a target are dropped.
-
-    The address is cut to 2048 characters; the text is whole.
-    """
+    """``url, content`` (and ``file`` if present) of raw records in ``value``; records without a target are dropped."""
     ends = F.locate(HEADER_END, F.col("value"))
     header = F.when(ends > 0, F.substr("value", F.lit(1), ends)).otherwise(F.col("value"))
     content = F.when(ends > 0, F.substr("value", ends + len(HEADER_END))).otherwise(F.lit(""))
     url = F.regexp_extract(header, r"WARC-Target-URI: *([^\r\n]*)", 1)
     kept = ["file"] if "file" in raw.columns else []
-    return raw.select(F.substring(url, 1, URL_LIMIT).alias("url"), content.alias("content"), *kept).filter(F.col("url") != "")
+    return raw.select(url.alias("url"), content.alias("content"), *kept).filter(F.col("url") != "")
 
 
 def scan_wet(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``url, content, file`` of archive text files, gzip included: one task per compressed file."""
-    raw = spark.read.text(paths, lineSep=RECORD_SEP).select("value", F.col("_metadata.file_path").alias("file"))
+    # A segment that breaks off keeps what could be read, and does not stop the others.
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    raw = reader.text(paths, lineSep=RECORD_SEP).select("value", F.col("_metadata.file_path").alias("file"))
     return parse_wet(raw)
 
 
@@ -45,13 +46,27 @@ def split_manifest(uris: DataFrame, uri: str = "value") -> DataFrame:
 
 
 def scan_manifest(spark: SparkSession, manifest: str) -> tuple[DataFrame, DataFrame]:
-    """The records of all readable segments a manifest file lists, and its rejected entries.
+    """The records of all segments a manifest lists that are there, and its other entries (``uri, status, path``).
 
-    The list of paths is what any file scan keeps on the driver.
+    A listed segment that does not exist is ``missing``; the rest is read.  The list of paths is what any file scan
+    keeps on the driver.
     """
     entries = split_manifest(spark.read.text(manifest).filter(F.trim("value") != ""))
-    rejects = entries.filter(F.col("path").isNull())
     paths = [row["path"] for row in entries.filter(F.col("path").isNotNull()).select("path").toLocalIterator()]
-    if not paths:
+    gone = [p for p in paths if not exists(spark, p)]
+    rejects = entries.filter(F.col("path").isNull())
+    if gone:
+        missing = spark.createDataFrame([(p,) for p in dict.fromkeys(gone)], "path string")
+        rejects = rejects.unionByName(entries.join(missing, "path").select("uri", F.lit("missing").alias("status"), "path"))
+    there = [p for p in paths if p not in set(gone)]
+    if not there:
         return spark.createDataFrame([], "url string, content string, file string"), rejects
-    return scan_wet(spark, paths), rejects
+    return scan_wet(spark, there), rejects
+
+
+def unreadable(entries: DataFrame, records: DataFrame) -> DataFrame:
+    """Entries with a path that gave no record at all, as rejects of status ``unreadable``."""
+    name = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
+    seen = records.select(name(F.col("file")).alias("_file")).distinct()
+    left = entries.filter("path IS NOT NULL").withColumn("_file", name(F.col("path"))).join(seen, "_file", "left_anti")
+    return left.select("uri", F.lit("unreadable").alias("status"), "path")

@@ -77,8 +77,7 @@ def parse_sam(lines: DataFrame, contigs: DataFrame | None = None, value: str = "
     )
     if contigs is None:
         return reads
-    # One row per contig of one genome.
-    index = F.broadcast(contigs.select(F.col("name").alias("rname"), F.col("idx").alias("ref_index")))
+    index = contigs.select(F.col("name").alias("rname"), F.col("idx").alias("ref_index"))
     return reads.join(index, "rname", "left")
 
 

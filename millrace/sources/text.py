@@ -11,22 +11,14 @@ from pyspark.sql import functions as F
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], min_partitions: int | None = None) -> DataFrame:
-    """``value``: one row per line; ``min_partitions`` redistributes when the files alone give fewer."""
-    lines = spark.read.text(path)
-    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
-        return lines.repartition(min_partitions)
-    return lines
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its files are too small to be split that far by size; large inputs are left alone."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df if size >= cores * split else df.repartition(cores)
+    """``value``: one row per line.
+
+    ``min_partitions`` cuts the files into that many splits at least, as far as their format and size allow; nothing is
+    shuffled.
+    """
+    if min_partitions:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
+    return spark.read.text(path)
 
 
 def scan_records(spark: SparkSession, path: str | list[str], sep: str = "\n\n") -> DataFrame:
@@ -52,8 +44,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .select("file", "block", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
     )
     ranked = lines.mapInArrow(_rank_in_block, "value string, file string, block bigint, rank bigint")
-    # One row per block read: a few tens of bytes for each spark.sql.files.maxPartitionBytes of input.
-    placed = ranked.join(F.broadcast(before), ["file", "block"], "left")
+    placed = ranked.join(before, ["file", "block"], "left")
     known = F.when(F.col("_before").isNull(), F.raise_error(F.lit("input files changed while being numbered"))).otherwise(F.col("_before"))
     return placed.select("file", (known + F.col("rank") + 1).cast("bigint").alias("line_no"), "value")
 

@@ -4,7 +4,7 @@ import gzip
 
 from millrace.operators import phones
 from millrace.sinks.files import write_phone_index
-from millrace.sources.archive import scan_manifest, scan_wet, split_manifest
+from millrace.sources.archive import scan_manifest, scan_wet, split_manifest, unreadable
 
 
 def _record(url, body):
@@ -22,7 +22,7 @@ def _archive(path):
 
 def test_wet_scan(spark, tmp_path):
     rows = {r.url: r.content for r in scan_wet(spark, _archive(tmp_path / "x.warc.wet.gz")).collect()}
-    assert rows == {"http://a.nl/": BODIES[0][1] + "\r\n\r\n", BODIES[2][0][:2048]: BODIES[2][1] + "\r\n\r\n"}
+    assert rows == {"http://a.nl/": BODIES[0][1] + "\r\n\r\n", BODIES[2][0]: BODIES[2][1] + "\r\n\r\n"}
 
 
 def test_manifest(spark, tmp_path):
@@ -38,7 +38,23 @@ def test_manifest(spark, tmp_path):
     }
     assert {r.path for r in entries.collect()} == {good, None, "s3a://b/k"}
     write_phone_index(phones.phone_index(hits), str(tmp_path / "index"))
-    assert {r.num: r.urls for r in spark.read.parquet(str(tmp_path / "index")).collect()}["0201234567"] == ["http://a.nl/"]
+    assert [r.url for r in spark.read.parquet(str(tmp_path / "index")).filter("num = '0201234567'").collect()] == ["http://a.nl/"]
+
+
+def test_segments_that_are_missing_or_broken(spark, tmp_path):
+    good = _archive(tmp_path / "good.warc.wet.gz")
+    broken = tmp_path / "broken.warc.wet.gz"
+    broken.write_bytes((tmp_path / "good.warc.wet.gz").read_bytes()[:40])
+    (tmp_path / "m.txt").write_text(f"file:{good}\nfile:{broken}\nfile:{tmp_path}/none.gz\nftp://x\n")
+    records, rejects = scan_manifest(spark, str(tmp_path / "m.txt"))
+    assert sorted(r.num for r in phones.phone_hits(records).collect()) == ["0201234567", "08001234"]
+    assert sorted((r.status, r.uri) for r in rejects.collect()) == [("missing", f"file:{tmp_path}/none.gz"), ("unknown", "ftp://x")]
+    entries = split_manifest(spark.read.text(str(tmp_path / "m.txt"))).join(rejects.select("uri"), "uri", "left_anti")
+    bad = unreadable(entries, records)
+    assert [(r.status, r.uri) for r in bad.collect()] == [("unreadable", f"file:{broken}")]
+    listed = entries.join(bad.select("uri"), "uri", "left_anti").unionByName(rejects).unionByName(bad)
+    stats = phones.phone_stats(phones.phone_hits(records), listed).first()
+    assert (stats.segments, stats.processed_segments, stats.failed_segments) == (4, 1, 3)
 
 
 def test_nothing_to_read(spark, tmp_path):

@@ -4,8 +4,6 @@ import re
 from collections import Counter
 from pathlib import Path
 
-import pytest
-
 from millrace.operators import words
 from millrace.sinks.files import write_freq
 
@@ -27,6 +25,7 @@ def test_bigrams(spark):
     assert got == {("stop", "don't"), ("b", "a"), ("c", "b")}
 
 
+# The patterns of segments, words and trimming are the definition itself.
 def _by_hand(line):
     for segment in re.split(r"[^\w' *]+", line.lower(), flags=re.A):
         parts = (re.sub(r"^[^a-z0-9]*([\w']*?)[^a-z0-9]*$", r"\1", w, flags=re.A) for w in re.split(r"[^\w']+", segment, flags=re.A))
@@ -47,17 +46,11 @@ def test_against_the_definition(spark):
     assert {r.word: r.n for r in words.word_counts(_lines(spark, *TEXTS)).collect()} == counts
 
 
-@pytest.mark.parametrize("per_row", [1, 2, 1000])
-def test_predecessor_lists_stay_whole(spark, per_row):
+def test_predecessor_lists_stay_whole(spark):
     texts = [f"w{i} hub" for i in range(30)] + ["w1 hub", "lonely"]
-    rows = words.predecessor_lists(_lines(spark, *texts), per_row=per_row).collect()
-    hub = [(p.pred, p.n) for r in rows if r.word == "hub" for p in r.preds]
-    assert Counter(dict(hub)) == Counter({f"w{i}": 1 + (i == 1) for i in range(30)}) and len(hub) == 30
-    assert [r.preds for r in rows if r.word == "lonely"] == [[]]
-    if per_row == 1000:
-        assert hub[0] == ("w1", 2) and hub[1:] == sorted(hub[1:])
-    else:
-        assert len([r for r in rows if r.word == "hub"]) > 5
+    rows = words.predecessor_lists(_lines(spark, *texts)).collect()
+    assert {r.pred: r.n for r in rows if r.word == "hub"} == {f"w{i}": 1 + (i == 1) for i in range(30)}
+    assert [(r.pred, r.n) for r in rows if r.word == "lonely"] == [(None, None)] and len(rows) == 61
 
 
 def test_freq_text(spark, tmp_path):

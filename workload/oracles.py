@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from millrace.functions.phones import AREA_CODES_3, AREA_CODES_4
-from millrace.functions.status import LANGUAGE_NAMES
 from workload.tables import REGIONS, ROOT, SLIDE, WINDOW
 
 ORACLES: dict[str, str] = {}
@@ -35,17 +34,14 @@ ORACLES["word_freq"] = _with(LINES, SEGMENTS, COUNTS, BIGRAMS) + (
     "SELECT c.word, c.n, b.pred, b.n AS pred_n FROM counts c LEFT JOIN bigrams b ON b.word = c.word"
 )
 ORACLES["predecessor_lists"] = _with(LINES, SEGMENTS, COUNTS, BIGRAMS) + (
-    "SELECT c.word, c.n, CAST(0 AS INT) AS part,"
-    " coalesce(string_agg(b.pred || ':' || b.n, ' ' ORDER BY b.n DESC, b.pred), '') AS preds"
-    " FROM counts c LEFT JOIN bigrams b ON b.word = c.word GROUP BY c.word, c.n"
+    "SELECT c.word, b.pred, b.n FROM counts c LEFT JOIN bigrams b ON b.word = c.word"
 )
 ORACLES["clean_status"] = _with(LINES) + r"""SELECT doc_id,
     regexp_replace(regexp_replace(regexp_replace(line, 'RT', ''), '@\p{L}+', '', 'g'), 'https?://\S+\s?', '', 'g') AS cleaned
 FROM a1"""
 ORACLES["lang_names"] = (
-    "SELECT lang, CASE lang "
-    + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in LANGUAGE_NAMES.items())
-    + " ELSE lang END AS lang_name, count(*) AS n FROM documents GROUP BY lang"
+    "SELECT lang, CASE lang WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' WHEN 'es' THEN 'Spanish'"
+    " ELSE lang END AS lang_name, count(*) AS n FROM documents GROUP BY lang"
 )
 GRAMS = r"""grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, length(f) - 1), lambda i: substr(f, i, 3))) AS trigram
     FROM (SELECT doc_id, lang, '_' || unnest(regexp_extract_all(lower({text}), '\p{{L}}+')) || '_' AS f FROM documents))"""
@@ -142,14 +138,14 @@ OLD = r"(?:\D00[()\- ]*3[()\- ]*1|\+[()\- ]*3[()\- ]*1)(?:[()\- ]*\( *?0 *?\))?(
 
 ORACLES["wet_records"] = _with(
     RECORDS, f"raw AS (SELECT 'WARC-Target-URI: ' || url || {CRLF} || content AS value FROM a3)"
-) + rf"""SELECT substr(regexp_extract(value, 'WARC-Target-URI: *([^\r\n]*)', 1), 1, 2048) AS url,
+) + rf"""SELECT regexp_extract(value, 'WARC-Target-URI: *([^\r\n]*)', 1) AS url,
     substr(value, strpos(value, {CRLF}) + 4) AS content FROM raw"""
 ORACLES["manifest_split"] = _with(MANIFEST) + (
     "SELECT uri, status, CASE status WHEN 'file' THEN uri WHEN 's3' THEN 's3a:' || substr(uri, 4) END AS path FROM entries"
 )
 ORACLES["phone_hits"] = _with(RECORDS, HITS) + "SELECT num, url FROM hits"
 ORACLES["phone_index"] = _with(RECORDS, HITS) + (
-    "SELECT num, CAST(0 AS INT) AS part, string_agg(url, chr(10) ORDER BY url) AS urls FROM hits GROUP BY num"
+    "SELECT num, url, count(*) AS times FROM hits GROUP BY num, url"
 )
 ORACLES["phone_legacy"] = _with(
     RECORDS, f"found AS (SELECT doc_id, url, unnest(regexp_extract_all(content, '{OLD}')) AS m FROM a3)"
@@ -169,7 +165,8 @@ FILMS = """a9 AS (SELECT s_name AS name, s_suppkey % 2 = 0 AS is_male, list_tran
 CLEAN = r"""cleaned AS (SELECT name, is_male, list_filter(list_transform(list_filter(titles, lambda x: NOT starts_with(x, '"')),
     lambda x: substr(x, 1, strpos(x, ')'))), lambda x:
     coalesce(TRY_CAST(substr(regexp_extract(x, '\(([^)]*)\)', 1), 1, 4) AS INT) >= 2011, false)) AS titles FROM a9)"""
-EDGES = "e AS MATERIALIZED (SELECT DISTINCT l_partkey AS actor_id, l_orderkey AS movie FROM lineitem WHERE l_quantity <= 10)"
+EDGES = """e AS MATERIALIZED (SELECT DISTINCT l_partkey AS actor_id,
+    l_orderkey * 64 + CAST(floor((l_quantity - 1) / 2) AS BIGINT) AS movie FROM lineitem)"""
 ACTORS = """people AS (SELECT p_partkey AS actor_id, p_name AS name, p_partkey % 2 = 0 AS is_male FROM part
     WHERE p_partkey IN (SELECT actor_id FROM e))"""
 
@@ -211,7 +208,7 @@ ORACLES["people_ids"] = _with(FILMS, CLEAN) + (
 ORACLES["bipartite_edges"] = _with(EDGES) + "SELECT actor_id, movie FROM e"
 ORACLES["costar_pairs"] = _with(EDGES) + (
     "SELECT a.actor_id, b.actor_id AS costar_id, a.movie FROM e a JOIN e b ON b.movie = a.movie"
-    f" WHERE a.actor_id <> b.actor_id AND a.actor_id = {ROOT}"
+    " WHERE a.actor_id <> b.actor_id AND a.actor_id IN (SELECT p_partkey FROM part WHERE p_size = 1)"
 )
 ORACLES["costar_counts"] = _with(EDGES) + (
     "SELECT a.actor_id, count(DISTINCT a.movie) AS titles, count(*) - count(DISTINCT a.movie) AS shared"
@@ -237,7 +234,7 @@ ORACLES["people_at_distance"] = _with(EDGES, ACTORS, BFS) + (
 
 # Variants
 
-VARIANTS = """v AS (SELECT 'chr' || (l_suppkey % 22 + 1) AS chrom, l_partkey * 50000 + l_linenumber AS pos,
+VARIANTS = """v AS (SELECT CASE WHEN l_orderkey % 113 = 0 THEN 'chrUn' ELSE 'chr' || (l_suppkey % 22 + 1) END AS chrom, l_partkey * 50000 + l_linenumber AS pos,
     l_returnflag AS ref, l_linestatus AS alt, l_quantity, l_discount FROM lineitem)"""
 CONTIGS = """contigs AS (SELECT idx, CASE idx WHEN 0 THEN 'chrM' WHEN 23 THEN 'chrUn_gl1' ELSE 'chr' || idx END AS name,
     (SELECT (max(l_partkey) + 1) * 50000 FROM lineitem) + idx AS length
@@ -290,7 +287,13 @@ ORACLES["variant_density_chunks"] = _with(
 ORACLES["contig_offsets"] = _with(VARIANTS, CONTIGS, DENSITY, OFFSETS) + 'SELECT idx, chrom, "offset" FROM offsets'
 ORACLES["variants_per_region"] = _with(VARIANTS, CONTIGS, DENSITY, PER_REGION) + "SELECT variants, per_region FROM per"
 ORACLES["region_pack"] = _with(VARIANTS, CONTIGS, DENSITY, PER_REGION, PACK, recursive=True) + 'SELECT region, start, "end" FROM regions'
-ORACLES["variant_order"] = _with(VARIANTS) + "SELECT CAST(substr(chrom, 4) AS INT) AS chrom_no, chrom, pos, ref, alt FROM v"
+ORACLES["variant_order"] = _with(VARIANTS) + (
+    "SELECT CAST(substr(chrom, 4) AS INT) AS chrom_no, chrom, pos, ref, alt FROM v WHERE chrom <> 'chrUn'"
+)
+ORACLES["order_rejects"] = _with(VARIANTS) + "SELECT chrom, count(*) AS n FROM v WHERE chrom = 'chrUn' GROUP BY chrom"
+ORACLES["density_rejects"] = _with(VARIANTS, CONTIGS) + (
+    "SELECT chrom, count(*) AS n FROM v WHERE chrom NOT IN (SELECT name FROM ci) GROUP BY chrom"
+)
 ORACLES["variant_concordance"] = _with(VARIANTS, CALLS) + f"""SELECT (SELECT count(*) FROM ra) AS total,
     (SELECT count(*) FROM (SELECT {CHROM} FROM ra INTERSECT SELECT {CHROM} FROM rb)) AS matches,
     (SELECT count(*) FROM (SELECT {CHROM} FROM ra EXCEPT SELECT {CHROM} FROM rb)) AS diff"""
@@ -299,7 +302,8 @@ ORACLES["variant_missing"] = _with(VARIANTS, CALLS) + f"SELECT {CHROM} FROM ra E
 
 # Reads and intervals
 
-READS = """r AS (SELECT l_orderkey || '_' || l_linenumber AS name, l_suppkey % 27 AS ref_index, l_partkey * 50 + l_linenumber AS start,
+READS = """r AS (SELECT l_orderkey || '_' || l_linenumber AS name,
+    CASE WHEN l_orderkey % 101 <> 0 THEN l_suppkey % 27 END AS ref_index, l_partkey * 50 + l_linenumber AS start,
     l_partkey * 50 + l_linenumber + CAST(l_quantity AS BIGINT) AS "end", l_returnflag = 'R' AS unmapped,
     CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CAST(l_quantity AS BIGINT) AS score FROM lineitem)"""
 MAPPED = "m AS (SELECT * FROM r WHERE NOT unmapped AND ref_index > 0 AND ref_index <= 24)"
@@ -325,27 +329,27 @@ ORACLES["reads_per_region"] = _with(VARIANTS, CONTIGS, DENSITY, OFFSETS, PER_REG
 ORACLES["covered_intervals"] = _with(READS, MAPPED, COVERED) + 'SELECT ref_index, start, "end" FROM islands'
 ORACLES["merge_overlap"] = _with(
     READS,
-    "named AS (SELECT 'chr' || ref_index AS chrom, start, \"end\" FROM r)",
+    "named AS (SELECT 'chr' || ref_index AS chrom, start, \"end\" FROM r WHERE ref_index IS NOT NULL)",
     _islands("named", "chrom", "NOT (start - 20 < seen)"),
 ) + 'SELECT chrom, CAST(greatest(start - 20, 1) AS BIGINT) AS start, "end" FROM islands'
 ORACLES["interval_intersect"] = _with(
     READS, MAPPED, COVERED, 'tg AS (SELECT p_partkey % 27 AS ref_index, p_partkey * 50 AS start, p_partkey * 50 + p_size * 10 AS "end" FROM part)'
 ) + """SELECT t.ref_index, greatest(t.start, i.start - 1) AS start, least(t."end", i."end") AS "end"
     FROM tg t JOIN islands i ON i.ref_index = t.ref_index AND t.start < i."end" AND i.start - 1 < t."end" """
-ORACLES["quality_encoding"] = """WITH q AS (SELECT o_orderkey AS pair, o_custkey % 40 AS grp,
+ORACLES["quality_encoding"] = """WITH q AS (SELECT o_orderkey AS pair, CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey % 40 END AS grp,
     list_transform(string_split(repeat(chr(CAST(64 + o_custkey % 40 AS INT)), 5), ''), lambda c: ascii(c) - 33) AS raw FROM orders),
 g AS (SELECT grp, max(list_max(raw)) > 60 AS illumina FROM q GROUP BY grp),
 s AS (SELECT q.pair, q.grp, g.illumina, CASE WHEN g.illumina THEN list_transform(raw, lambda x: x - 31) ELSE raw END AS quals
-    FROM q JOIN g ON g.grp = q.grp)
+    FROM q JOIN g ON g.grp IS NOT DISTINCT FROM q.grp)
 SELECT pair, grp, illumina, array_to_string(quals, ',') AS quals, list_min(quals) < 0 AS bad FROM s"""
 ORACLES["read_groups"] = _with(READS) + (
     "SELECT name, ref_index, 'GROUP1' AS rgid, 'LIB1' AS rglb, 'ILLUMINA' AS rgpl, 'UNIT1' AS rgpu, 'SAMPLE1' AS rgsm FROM r"
 )
 ORACLES["mark_duplicates"] = _with(READS) + (
-    "SELECT name, ref_index, start, strand, score, name <> first_value(name) OVER"
+    "SELECT name, ref_index, start, strand, score, ref_index IS NOT NULL AND name <> first_value(name) OVER"
     " (PARTITION BY ref_index, start, strand ORDER BY score DESC, name) AS duplicate FROM r"
 )
 ORACLES["interleave_chunks"] = """WITH mates AS (SELECT o_orderkey AS pair, unnest([0, 1]) AS mate, 'r' || o_orderkey AS name,
     o_orderpriority AS seq, repeat(chr(CAST(64 + o_custkey % 40 AS INT)), 5) AS qual FROM orders)
-SELECT CAST((pair * 2 + mate) // 16384 AS INT) AS chunk, CAST((pair * 2 + mate) % 16384 AS INT) AS slot, pair, mate, name, seq, qual
-FROM mates"""
+SELECT CAST((pair * 2 + mate) // 16384 AS INT) AS chunk, CAST((pair * 2 + mate) % 16384 AS INT) AS slot, pair, mate,
+    name || CASE mate WHEN 1 THEN '/2' ELSE '' END AS name, CASE mate WHEN 1 THEN reverse(seq) ELSE seq END AS seq, qual FROM mates"""

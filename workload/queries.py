@@ -12,6 +12,7 @@ from millrace.operators import graph, intervals, langs, people, phones, reads, s
 from millrace.sources.archive import parse_wet, split_manifest
 from millrace.sources.genome import parse_variants
 from millrace.sources.text import trim_list_file
+from millrace.plans.storage import materialize
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,10 +60,7 @@ def word_freq(spark, sf):
 
 @query
 def predecessor_lists(spark, sf):
-    entry = lambda e: F.concat_ws(":", e["pred"], e["n"].cast("string"))
-    return words.predecessor_lists(t.documents(spark, sf), "text").select(
-        "word", "n", "part", F.concat_ws(" ", F.transform("preds", entry)).alias("preds")
-    )
+    return words.predecessor_lists(t.documents(spark, sf), "text")
 
 
 @query
@@ -161,8 +159,7 @@ def phone_hits(spark, sf):
 
 @query
 def phone_index(spark, sf):
-    index = phones.phone_index(phones.phone_hits(t.records(spark, sf)))
-    return index.withColumn("urls", F.concat_ws("\n", "urls"))
+    return phones.phone_index(phones.phone_hits(t.records(spark, sf)))
 
 
 @query
@@ -212,8 +209,7 @@ def bipartite_edges(spark, sf):
 
 @query
 def costar_pairs(spark, sf):
-    root = spark.range(t.ROOT, t.ROOT + 1).select(F.col("id").alias("actor_id"))
-    return graph.costar_pairs(_edges(spark, sf), root)
+    return graph.costar_pairs(_edges(spark, sf), t.chosen_people(spark, sf))
 
 
 @query
@@ -228,19 +224,19 @@ def bfs_distance(spark, sf):
 
 @query
 def distance_histogram(spark, sf):
-    edges = _edges(spark, sf)
+    edges = materialize(_edges(spark, sf), "edges")
     return graph.distance_histogram(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT))
 
 
 @query
 def separation_summary(spark, sf):
-    edges = _edges(spark, sf)
+    edges = materialize(_edges(spark, sf), "edges")
     return graph.separation_summary(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT), edges)
 
 
 @query
 def people_at_distance(spark, sf):
-    edges = _edges(spark, sf)
+    edges = materialize(_edges(spark, sf), "edges")
     return graph.people_at_distance(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT))
 
 
@@ -294,6 +290,16 @@ def region_pack(spark, sf):
     return variants.region_pack(_density(spark, sf), t.REGIONS)
 
 
+@query
+def order_rejects(spark, sf):
+    return variants.order_rejects(t.variants(spark, sf))
+
+
+@query
+def density_rejects(spark, sf):
+    return variants.density_rejects(t.variants(spark, sf), _index(spark, sf))
+
+
 @query
 def variant_order(spark, sf):
     return variants.variant_order(t.variants(spark, sf)).select("chrom_no", "chrom", "pos", "ref", "alt")
@@ -328,7 +334,7 @@ def reads_filtered(spark, sf):
 
 
 def _assigned(spark, sf):
-    density = _density(spark, sf)
+    density = materialize(_density(spark, sf), "density")
     regions = variants.region_pack(density, t.REGIONS)
     return reads.region_assign(t.axis_reads(spark, sf), regions, _offsets(spark, sf, density), t.REGIONS)
 
@@ -383,4 +389,5 @@ def mark_duplicates(spark, sf):
 @query
 def interleave_chunks(spark, sf):
     mates = t.raw_reads(spark, sf).select("pair", "name", "seq", "qual")
-    return reads.interleave_chunks(mates, mates)
+    second = mates.withColumns({"name": F.concat("name", F.lit("/2")), "seq": F.reverse("seq")})
+    return reads.interleave_chunks(mates, second)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.sources.text import spread
-
 WINDOW = 7200
 SLIDE = 600
 ROOT = 0
@@ -26,8 +24,7 @@ def instant(df: DataFrame, column: str) -> Column:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents over all cores, even while they are one small file: most of the work on them is on their text."""
-    return spread(table(spark, sf, "documents"))
+    return table(spark, sf, "documents")
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,9 +81,13 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def cast_people(spark: SparkSession, sf: str) -> DataFrame:
     """``actor_id, titles``: one title per row, repeats included."""
-    return table(spark, sf, "lineitem").filter("l_quantity <= 10").select(
-        F.col("l_partkey").alias("actor_id"), F.array("l_orderkey").alias("titles")
-    )
+    title = F.col("l_orderkey") * 64 + F.floor((F.col("l_quantity") - 1) / 2)
+    return table(spark, sf, "lineitem").select(F.col("l_partkey").alias("actor_id"), F.array(title).alias("titles"))
+
+
+def chosen_people(spark: SparkSession, sf: str) -> DataFrame:
+    """``actor_id`` of the people of one size, a fiftieth of all."""
+    return table(spark, sf, "part").filter("p_size = 1").select(F.col("p_partkey").alias("actor_id"))
 
 
 def actors(spark: SparkSession, sf: str, edges: DataFrame) -> DataFrame:
@@ -99,7 +100,8 @@ def actors(spark: SparkSession, sf: str, edges: DataFrame) -> DataFrame:
 
 def variants(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
-        F.concat(F.lit("chr"), (F.col("l_suppkey") % 22 + 1).cast("string")).alias("chrom"),
+        F.when(F.col("l_orderkey") % 113 == 0, "chrUn")
+        .otherwise(F.concat(F.lit("chr"), (F.col("l_suppkey") % 22 + 1).cast("string"))).alias("chrom"),
         (F.col("l_partkey") * 50000 + F.col("l_linenumber")).alias("pos"),
         F.col("l_returnflag").alias("ref"),
         F.col("l_linestatus").alias("alt"),
@@ -130,7 +132,7 @@ def reads(spark: SparkSession, sf: str) -> DataFrame:
     start = F.col("l_partkey") * 50 + F.col("l_linenumber")
     return table(spark, sf, "lineitem").select(
         F.concat_ws("_", "l_orderkey", "l_linenumber").alias("name"),
-        (F.col("l_suppkey") % 27).alias("ref_index"),
+        F.when(F.col("l_orderkey") % 101 != 0, F.col("l_suppkey") % 27).alias("ref_index"),
         start.alias("start"),
         (start + F.col("l_quantity").cast("bigint")).alias("end"),
         (F.col("l_returnflag") == "R").alias("unmapped"),
@@ -160,7 +162,7 @@ def raw_reads(spark: SparkSession, sf: str) -> DataFrame:
     grp = F.col("o_custkey") % 40
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("pair"),
-        grp.alias("grp"),
+        F.when(F.col("o_orderkey") % 97 != 0, grp).alias("grp"),
         F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("name"),
         F.col("o_orderpriority").alias("seq"),
         F.repeat(F.char(grp + 64), F.lit(5)).alias("qual"),
