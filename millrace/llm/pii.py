@@ -207,5 +207,5 @@ def masked(docs: DataFrame) -> DataFrame:
 
 
 def _rebuilt(text: Column, pattern: str, shown) -> Column:
-    parts = F.zip_with(F.split(text, pattern, -1), matches(text, pattern), lambda g, m: F.concat(g, F.coalesce(shown(m), F.lit(""))))
+    parts = F.zip_with(F.split(text, pattern, -1), matches(text, pattern), lambda g, m: F.concat(g, F.when(m.isNull(), "").otherwise(shown(m))))
     return F.array_join(parts, "")
