@@ -176,8 +176,9 @@ def _gains(table: np.ndarray, r: np.ndarray, l: np.ndarray, own: float) -> np.nd
     change = (_xlogx(table + r) - _xlogx(table)).sum(1) + (_xlogx(table + l[:, None]) - _xlogx(table)).sum(0)
     d = np.diag(table)
     change += _xlogx(d + r + l + own) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
+    # Wherever the unit goes, its neighbours' rows and columns get their share; its own class gets the unit's as well.
+    rows, columns = rows + l, columns + r
     more_right, more_left = r.sum() + own, l.sum() + own
-    # All rows and columns get other sums only at the class itself, as the unit's neighbours are counted already.
     change -= _xlogx(rows + more_right) - _xlogx(rows) + _xlogx(columns + more_left) - _xlogx(columns)
     return change
 
