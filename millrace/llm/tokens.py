@@ -6,6 +6,7 @@ the whole text; parts seen before come from a dictionary.  Texts with unusual wh
 
 from __future__ import annotations
 
+import re
 import sys
 from struct import pack
 
@@ -20,6 +21,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+# White space other than the space and the line feed.
+OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def _letters(text: str) -> str:
@@ -75,6 +78,8 @@ class ByteLevelEncoder(dict):
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(c in text for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if text.isascii() else OTHER_SPACE.search(text):
+            return self.whole(text)
         words = text.replace("\n", " \n").split(" ")
         if "" in words or "\n" in words:
             return self.whole(text)
