@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import LOWER, binary, pieces
+from millrace.llm.words import LOWER, binary, pieces, small_batches
 from millrace.plans.storage import materialize
 
 CELLS = 1 << 14
@@ -24,7 +24,7 @@ TRIGRAM_WEIGHT = 60.0  # the evidence of a long text counts as that of so many i
 DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.7
 SMOOTHING = 20.0
 ACCEPT = 0.5  # least posterior of the best language
-FIT = -3.0  # least mean log-likelihood of a trigram, in nats, over that of a uniform choice: scripts never seen fall below
+FIT_SHARE = 0.25  # a text fits if it is this far from trigrams never seen towards the typical text of the languages
 
 
 def trigram_cells(text: bytes | None) -> np.ndarray:
@@ -39,7 +39,7 @@ def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, label: str = "lang"
 
     The tables have ``CELLS`` numbers for each language.
     """
-    known = docs.filter(F.col(label).isNotNull())
+    known = small_batches(docs).filter(F.col(label).isNotNull())
     share = min(1.0, sample_rows / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
 
@@ -104,7 +104,7 @@ def _mix(rows: DataFrame, keys: list[str], langs: list[str], name: str) -> DataF
 
 def identify(
     docs: DataFrame, langs: list[str], logs: np.ndarray, host: Column | None = None, declared: Column | None = None,
-    suffix: Column | None = None, accept: float = ACCEPT, fit: float = FIT,
+    suffix: Column | None = None, accept: float = ACCEPT, fit_share: float = FIT_SHARE,
 ) -> DataFrame:
     """``doc_id, body_hash, language, posterior, fit, kept``: a row for each row of ``docs`` (``doc_id, text``).
 
@@ -118,7 +118,9 @@ def identify(
     if not langs:
         return docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("body_hash"), none.alias("language"), F.lit(None).cast("double").alias("posterior"),
                            F.lit(None).cast("double").alias("fit"), F.lit(False).alias("kept"))
-    asked = docs.select(
+    never, typical = logs.min(axis=1).mean(), (np.exp(logs) * logs).sum(axis=1).mean()
+    fit = float(never + fit_share * (typical - never) + np.log(CELLS))
+    asked = small_batches(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("body_hash"), "text", host.alias("host"), F.lower(declared).alias("declared"), F.lower(suffix).alias("suffix")
     )
     seen = materialize(text_evidence(asked, langs, logs), "evidence")
