@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import binary, pieces, words_of
+from millrace.llm.words import binary, pieces, small_batches, words_of
 from millrace.plans.storage import materialize
 
 HEADS, FORMS, CLASSES = 1024, 512, 64
@@ -197,7 +197,7 @@ class Model:
 
 def learnt(texts: DataFrame) -> Model:
     """A model of the rows of ``texts`` (column ``text``)."""
-    vocab = materialize(word_counts(texts), "vocab")
+    vocab = materialize(word_counts(small_batches(texts)), "vocab")
     size = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).head()
     top = vocab.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(COUNTED).select("h", "n", "form").toArrow()
     hashes, n, forms = (top.column(c).to_numpy() for c in ("h", "n", "form"))
@@ -258,7 +258,7 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                 words = Units(heads)
 
     schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, tail array<bigint>, times array<bigint>"
-    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    named = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(named.mapInArrow(score, schema), "rows")
     # Words beyond those whose counts the tasks have: their counts are joined, a row for each text and word.
     asked = rows.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("h"), F.col("t.times").alias("k"))

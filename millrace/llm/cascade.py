@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import pieces
+from millrace.llm.words import pieces, small_batches
 
 SAMPLE_ROWS = 2000
 SPACES, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
@@ -142,7 +142,7 @@ def quality(
     A NULL text is an empty one, which has no words and fails the base; an id may be NULL or repeated; an empty table
     gives no rows.  ``kept`` is false if the base failed or any rule rejects; ``rule`` depends on the order found.
     """
-    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    named = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     order = ordered_rules(named, rules, sample_rows)
     cascade = [(name, rules[name]) for name in order]
     counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

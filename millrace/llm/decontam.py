@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import LOWER, pieces
+from millrace.llm.words import LOWER, pieces, small_batches
 
 Q = 8  # bytes, so that a q-gram is one 64-bit number
 EDIT_SHARE = 0.1
@@ -174,7 +174,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     Places count bytes of the normalized text.  NULL and empty texts hold nothing; rows with NULL or repeated ids are
     searched like all others; equal items under different ids are all reported; empty tables give no rows.
     """
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    named = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = None
     for items in blocks(benchmark, block_bytes):
         part = named.mapInArrow(_search(items), "doc_id bigint, " + SPAN)
@@ -194,7 +194,7 @@ def _search(items: Items):
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no item within its edit budget."""
-    columns = docs.columns
+    columns = small_batches(docs).columns
     body = columns.index("text")
 
     def keep(items: Items):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.links import components
-from millrace.llm.words import WordHashes, binary, mixed, pieces, windows, words_of
+from millrace.llm.words import WordHashes, binary, mixed, pieces, small_batches, windows, words_of
 from millrace.plans.storage import materialize
 
 SHINGLE = 5
@@ -186,7 +186,7 @@ def near_duplicates(
     text has none and is linked with nothing.  Rows that share an id are one document and share its component.  A row
     without an id is linked with nothing, has no component, and is kept.  An empty table gives no rows.
     """
-    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    named = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = materialize(signatures(named, shingle), "signatures")
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = materialize(

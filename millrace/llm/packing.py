@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import WordLevelEncoder, kept_encoder
-from millrace.llm.words import pieces
+from millrace.llm.words import pieces, small_batches
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 WINDOW = 256
@@ -162,7 +162,7 @@ def pack_documents(
         placed(packer.rest())
         yield _batch(rows)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(pack, SCHEMA)
+    return small_batches(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(pack, SCHEMA)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

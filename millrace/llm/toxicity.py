@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import LOWER, binary, pieces
+from millrace.llm.words import LOWER, binary, pieces, small_batches
 from millrace.plans.storage import materialize
 
 SAMPLE_ROWS = 40_000  # labelled rows that are learnt from, about
@@ -97,7 +97,7 @@ def learnt(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     chosen = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
     chosen = materialize(chosen, "labelled")
     # The sample has a documented bound, about 16 bytes a row.
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    texts = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     texts = materialize(texts.filter("text IS NOT NULL").dropDuplicates(["text"]), "sample")
     tuned = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0
     model = _word_scores(texts.filter(~tuned))
@@ -209,5 +209,5 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
                 passages.append([dict(zip(("first", "last", "score", "chance"), g, strict=True)) for g in graded if g[3] <= SIGNIFICANT])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(passages, kind)], ["doc_id", "score", "passages"])
 
-    found = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(grade, schema)
+    found = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(grade, schema)
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"), "passages")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import ByteLevelEncoder, kept_encoder
-from millrace.llm.words import pieces
+from millrace.llm.words import pieces, small_batches
 
 BLOCK_TOKENS = 1 << 20
 STEP = 512  # bits between two entries of a rank directory
@@ -165,7 +165,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
         if ids:
             yield closed()
 
-    ordered = docs.select(F.col("doc_id").cast("bigint"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 

@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
 
+BATCH_ROWS = 1000
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -19,7 +21,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
@@ -58,7 +60,13 @@ def binary(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def pieces(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session hands rows to Python in batches of ``BATCH_ROWS``, so that texts take little memory outside the heap."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
+def pieces(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes, one row at least."""
     rows = max(1, min(batch.num_rows, int(batch.num_rows * most / max(1, batch.nbytes))))
     for at in range(0, batch.num_rows, rows):
