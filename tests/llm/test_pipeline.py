@@ -23,7 +23,7 @@ def corpus(spark, tmp_path_factory):
     rows = [r for r in rows if r[0] is not None]
     item = prose(rng, 20)
     rows += [(300, f"{prose(rng, 20, 'bcdfg')} {item.upper()} {prose(rng, 20, 'bcdfg')}", "aa", "host0", 0)]
-    rows += [(301, prose(rng, 30, "bcdfg") + " mail a.b@c.example.org end", "aa", "host0", 0), (302, "日本語の文章です" * 9, "aa", "host9", 0)]
+    rows += [(301, prose(rng, 30, "bcdfg") + " mail a.b@c.example.org end", "aa", "host0", 0), (302, "日本語の文章です" * 9, None, "host9", 0)]
     spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(str(folder / "documents.parquet"))
     spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(folder / "benchmark.parquet"))
     return str(folder), rows
