@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from millrace.operators import graph
+from millrace.operators import graph, reads, social, words
 from millrace.plans.numbering import numbered
 from millrace.plans.storage import checkpoint_folder, exists, materialize, release, scratch
 from pyspark.sql import functions as F
@@ -73,3 +73,47 @@ def test_intermediate_tables_can_be_removed(spark):
     assert path.startswith("file:") and checkpoint_folder(spark) in path
     release(spark)
     assert not exists(spark, path)
+
+
+SKEW = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _split(df) -> bool:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split(skewed):
+    spark = skewed
+    lines = spark.range(0, 4000, 1, 8).select(F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" hub")).alias("line"))
+    assert _split(words.word_freq(lines))
+    edges = spark.range(0, 6000, 1, 8).select(F.col("id").alias("actor_id"), F.when(F.col("id") % 5 > 0, F.lit(1)).otherwise(F.col("id")).alias("movie"))
+    assert _split(graph.costar_counts(edges))
+    reads_ = spark.range(0, 6000, 1, 8).select(
+        F.concat(F.lit("r"), "id").alias("name"), F.lit(1).alias("ref_index"), F.when(F.col("id") % 5 > 0, 7).otherwise(F.col("id")).alias("start"),
+        F.lit("+").alias("strand"), F.col("id").alias("score"))
+    assert _split(reads.mark_duplicates(reads_))
+
+
+def test_rows_without_an_id_are_not_joined(skewed):
+    board = skewed.range(3000).select(F.when(F.col("id") % 9 == 0, F.col("id")).alias("id"), F.lit(1).alias("n"))
+    statuses = skewed.range(10).selectExpr(
+        "id", "timestamp_seconds(id) AS ts", "'u' AS user", "'t' AS text", "'en' AS lang", "array('a') AS hashtags",
+        "cast(null AS struct<id:bigint,user:string,text:string>) AS retweet_of")
+    got = social.board_details(board, statuses)
+    assert got.count() == 3000 and got.filter("user IS NOT NULL").count() == 2
