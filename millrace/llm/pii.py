@@ -1,8 +1,9 @@
 """Personal data in texts: fixed patterns, and identifiers discovered from the contexts of those.
 
-Native throughout: expressions and joins only.  The fixed patterns give seeds.  Every token that looks like an identifier
-is an instance, the words beside it are its patterns.  A pattern scores by the share of its distinct instances that are
-known and by their number; instances that trusted patterns agree on become known, and so in rounds.
+Native throughout: expressions and joins only.  Every valid span of a fixed pattern is a seed.  Every token that looks
+like an identifier is an instance, the words beside it are its patterns.  A pattern scores by the share of its distinct
+instances that are known and by their number; instances that trusted patterns agree on become known, and so in rounds
+until no instance is added.
 """
 
 from __future__ import annotations
@@ -23,13 +24,21 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}  # a text without it has no match
-# A phone or an e-mail address, else a run of letters and digits, at least six of them, with a digit among them.
+# A phone or an e-mail address; an IBAN in blocks; digit groups of six digits or more; else parts of letters and digits
+# with a digit among them, six characters or more, or five where letters and digits mix.  Such parts begin at the first
+# of them or behind a match, so that a run without a match is searched once.
+GROUP = r"(?:\([0-9]++\)|[0-9]++)"
+GROUPS = rf"{GROUP}(?:[./-]?{GROUP})*+(?![._-]?[A-Za-z0-9])"
+CHAR = r"(?:[A-Za-z0-9][._-]?)"
 INSTANCE = (
     rf"{PATTERNS['phone']}|{PATTERNS['email']}"
-    r"|(?<![A-Za-z0-9])(?=[A-Za-z0-9]{6})(?=[A-Za-z]*+[0-9])[A-Za-z0-9]++(?:[._-][A-Za-z0-9]++)*+"
+    r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}(?![A-Za-z0-9])){2,7}+(?: [A-Z0-9]{1,3}(?![A-Za-z0-9]))?+"
+    rf"|(?<![A-Za-z0-9])(?=\(?[0-9](?:\)?(?: {{1,2}}|[./-])?\(?[0-9]){{5}}){GROUPS}(?: {{1,2}}{GROUPS})*+"
+    r"|(?<![A-Za-z0-9])(?:(?<![A-Za-z0-9][._-])|(?<=\G[._-]))(?=[A-Za-z]*+(?:[._-][A-Za-z]++)*+[._-]?[0-9])"
+    rf"(?:(?={CHAR}{{6}})|(?={CHAR}{{5}})(?=(?:[0-9]++[._-]?)*+[A-Za-z]))"
+    r"[A-Za-z0-9]++(?:[._-][A-Za-z0-9]++)*+"
 )
 BLOCK = 256
-ROUNDS = 3
 LEAST_KNOWN = 3
 LEAST_SHARE = 0.6
 ACCEPT = 0.8
@@ -68,7 +77,7 @@ def valid(kind: str, m: Column) -> Column:
 
 
 def _searched(docs: DataFrame) -> DataFrame:
-    """``doc_id, body_hash, base`` (valid spans ``kind, start, end``), ``seen`` (instances with contexts) of every row."""
+    """``doc_id, body_hash, base`` (valid spans ``kind, start, end``), ``seen`` (seeds and instances with contexts) of every row."""
     body = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), body.alias("body")).withColumn(
         "digits", F.regexp_like("body", F.lit("[0-9]"))
@@ -90,19 +99,29 @@ def _searched(docs: DataFrame) -> DataFrame:
         return F.transform(kept, lambda p: _span(p["s"], KINDS.index(kind), p["s"] + F.length(p["m"])))
 
     word = r"[^\x20\x09-\x0D]+"
-    def context(m: Column, i: Column) -> Column:
-        left, right = F.get("g_seen", i), F.get("g_seen", i + 1)
-        two = F.regexp_extract(F.right(left, F.lit(200)), rf"({word})[\x20\x09-\x0D]+({word})[\x20\x09-\x0D]*$", 0)
-        one = F.regexp_extract(F.right(left, F.lit(200)), rf"({word})[\x20\x09-\x0D]*$", 0)
-        after = F.regexp_extract(F.left(right, F.lit(200)), rf"^[\x20\x09-\x0D]*({word})", 0)
-        tidy = lambda c: F.lower(F.trim(F.regexp_replace(c, r"[\x20\x09-\x0D]+", " ")))
-        return F.struct(
-            m.alias("instance"), F.get("s_seen", i).alias("start"), _kind_of(m).alias("kind"),
-            F.when(two != "", F.concat(F.lit("l:"), tidy(two))).alias("left"),
-            F.when((one != "") & (after != ""), F.concat(F.lit("b:"), tidy(one), F.lit(" _ "), tidy(after))).alias("beside"),
-        )
-
-    rows = rows.withColumn("base", F.array_sort(F.concat(*map(spans, KINDS)))).withColumn("seen", F.transform("m_seen", context))
+    tidy = lambda c: F.lower(F.trim(F.regexp_replace(c, r"[\x20\x09-\x0D]+", " ")))
+
+    def contexts(name: str, kind: Column | None) -> Column:
+        """Matches with the words beside them in the text, whatever else matches there, so that all kinds compare."""
+        part = lambda x, i: F.coalesce(F.get(f"{x}_{name}", i), F.lit(""))
+
+        def context(m: Column, i: Column) -> Column:
+            left = F.right(F.concat(part("m", i - 2), part("g", i - 1), part("m", i - 1), part("g", i)), F.lit(200))
+            right = F.left(F.concat(part("g", i + 1), part("m", i + 1), part("g", i + 2)), F.lit(200))
+            two = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]+({word})[\x20\x09-\x0D]*$", 0)
+            one = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]*$", 0)
+            after = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word})", 0)
+            return F.struct(
+                m.alias("instance"), F.get(f"s_{name}", i).alias("start"), (_kind_of(m) if kind is None else kind).cast("int").alias("kind"),
+                F.when(two != "", F.concat(F.lit("l:"), tidy(two))).alias("left"),
+                F.when((one != "") & (after != ""), F.concat(F.lit("b:"), tidy(one), F.lit(" _ "), tidy(after))).alias("beside"),
+            )
+
+        found = F.transform(f"m_{name}", context)
+        return found if kind is None else F.filter(found, lambda s: valid(name, s["instance"]))
+
+    seeds = [contexts(kind, F.lit(k)) for k, kind in enumerate(KINDS)]
+    rows = rows.withColumn("base", F.array_sort(F.concat(*map(spans, KINDS)))).withColumn("seen", F.concat(*seeds, contexts("seen", None)))
     return rows.select("doc_id", F.xxhash64("body").alias("body_hash"), "base", "seen")
 
 
@@ -120,18 +139,19 @@ def _kind_of(m: Column) -> Column:
     return whole
 
 
-def discovered(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def discovered(seen: DataFrame) -> DataFrame:
     """``instance, kind``: identifiers that no fixed pattern knows, for rows of ``instance, kind, left, beside``.
 
     A pattern's score is its share of known instances, if at least ``LEAST_KNOWN`` distinct ones are known and the share is
     ``LEAST_SHARE`` or more.  An instance is accepted if ``1 - product(1 - score)`` over its patterns reaches ``ACCEPT``;
-    it takes the kind that most of the score stands for, the first listed on a tie.
+    it takes the kind that most of the score stands for, the first listed on a tie.  Scores only grow as more is known,
+    so that the rounds end.
     """
     pairs = seen.select("instance", F.explode(F.array("left", "beside")).alias("pattern")).filter("pattern IS NOT NULL")
     edges = materialize(pairs.distinct(), "edges")
     known = materialize(seen.filter("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind")), "known")
-    seeds = known
-    for _ in range(rounds):
+    seeds, before, added = known, -1, 0
+    while added > before:
         marked = edges.join(known, "instance", "left")
         scores = marked.groupBy("pattern").agg(
             F.count("*").alias("n"), F.count("kind").alias("k"), F.expr("mode(kind, true)").alias("pattern_kind")
@@ -143,8 +163,10 @@ def discovered(seen: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             F.sum("doubt").alias("doubt"), F.min_by("pattern_kind", F.struct("doubt", "pattern_kind")).alias("kind")
         ).filter(1 - F.exp("doubt") >= ACCEPT)
         fresh = agreed.select("instance", "kind").join(seeds, "instance", "left_anti")
-        known = materialize(seeds.unionByName(fresh), "known")
-    return known.join(seeds, "instance", "left_anti")
+        fresh = materialize(fresh, "fresh")
+        before, added = added, fresh.count()
+        known = seeds.unionByName(fresh)
+    return fresh
 
 
 def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -74,6 +74,48 @@ def test_contexts_of_seeds_discover_other_identifiers(spark):
     assert rows[14][1][span.start : span.end] == "handle77" and pii.KINDS[span.kind] == "email" and not found[102].base
 
 
+def test_separated_identifiers_are_instances(spark):
+    whole = ["123-45-6789", "555-123-4567", "020 7946 0958", "(555) 123-4567", "ABCDEF-12345", "A1234", "EMP-004512", "GB29 NWBK 6016 1331 9268 19",
+             "handle77", "4111 1111 1111 1111", "12-AB-3456", "123-456-AB7", "10.20.30.40", "+31 20 555 7713", "a.b@c.d"]
+    texts = [f"so {x} it was" for x in whole] + ["at 10am on 12 may, well-known", "a@b.c_d12345", "a-" * 40_000, "1-" * 40_000 + "x", "1 " * 40_000 + "1-1x"]
+    got = [r.m for r in spark.createDataFrame(enumerate(texts), "i int, t string").select("i", pii.matches(pii.F.col("t"), pii.INSTANCE).alias("m")).orderBy("i").collect()]
+    n = len(whole)
+    assert got[:n] == [[x] for x in whole] and got[n : n + 3] == [[], ["a@b.c", "d12345"], []]
+    assert got[n + 3] == [texts[n + 3]] and got[n + 4] == ["1 " * 39_999 + "1"]
+
+
+def _card(i):
+    digits = f"4{i:03d}0011223344{i % 10}"
+    digits += next(str(c) for c in range(10) if _luhn(digits + str(c)))
+    return " ".join(digits[k : k + 4] for k in range(0, 16, 4))
+
+
+def test_addresses_cards_and_phones_are_seeds(spark):
+    """Identifiers in the places of IPv4 addresses, cards in blocks and phones are found; a second round needs the first."""
+    rng = random.Random(8)
+    seeds = {1: ("traffic from node", lambda i: f"10.0.{i}.7"), 2: ("charge the card", _card), 3: ("ring the number", lambda i: f"+1 (017) 555-77{i + 10}")}
+    new = {"db-node-17": 1, "ABCDEF-12345": 2, "123-45-6789": 2, "555-123-4567": 3, "020 7946 0958": 3}
+    texts = [f"{prose(rng, 9)} {words} {of(i)} today {prose(rng, 5)}" for words, of in seeds.values() for i in range(12)]
+    texts += [f"{prose(rng, 9)} {seeds[k][0]} {x} today {prose(rng, 5)}" for x, k in new.items()]
+    # The two numbers and one of their kind stand in other words: three known there are found only after a round.
+    texts += [f"{prose(rng, 9)} patient file {x} closed" for x in ("123-45-6789", "555-123-4567", "020 7946 0958", "db-node-17", "ABCDEF-12345", "987-65-4321")]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    found = pii.find_personal_data(table(spark, rows)).collect()
+    got = {(rows[r.doc_id][1][s.start : s.end], s.kind) for r in found for s in r.spans if s not in r.base}
+    assert got == {*new.items(), *((x, k) for x, k in got if x == "987-65-4321")} and len(got) == len(new) + 1
+    texts = [r.text for r in pii.masked(table(spark, rows)).collect()]
+    assert not any(x in t for t in texts for x in [*new, "987-65-4321"])
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    """A chain: each identifier is known only by the words it shares with those before it."""
+    sizes = [40, 24, 14, 8, 4, 1]
+    names = [(f"code{k + d}-{x}", k) for k in range(5) for d in (0, 1) for x in range(sizes[k + d])]
+    rows = [(name, 0 if name.startswith("code0") else None, f"l:{k}", f"b:{k}") for name, k in names]
+    got = {r.instance for r in pii.discovered(spark.createDataFrame(rows, "instance string, kind int, left string, beside string")).collect()}
+    assert got == {r[0] for r in rows if r[1] is None}
+
+
 def test_masking(spark):
     rows = _contexts() + documents() + [(500, "a@b.c, 1.2.3.4; 4111111111111111 +1 (017) 555-7713; 4111111111111112", None, None, None), (None, "x@y.z", None, None, None)]
     docs = table(spark, rows)
