@@ -1,9 +1,11 @@
 """Class-based bigram language model: exchange clustering of words, class transitions and word emissions.
 
-A text is its lower-cased words and an end.  Clustering works on units: the most frequent words one by one, all other
-words by their form (a hash of the last letters and the length), so that every word has a class and the table of unit
-bigrams has one bound for any corpus.  Units move to the class that raises the likelihood of the class bigrams most, until
-none moves.  ``P(word | previous word) = P(class | previous class) * P(word | class)``, both smoothed.
+A text is its lower-cased words and an end.  Units are the words that occur ``LEAST`` times or more, one by one, and the
+forms (a hash of the last letters and the length) of rarer and unseen words.  The ``HEADS`` most frequent words and the
+forms of all others are exchanged first, one after another, until none moves.  From these classes on all units move, half of
+them at a time, each to the class that raises the likelihood of the class bigrams most, while it rises by ``GAIN`` or more.
+Counts of neighbouring units lie in buckets on Spark; a unit's class, a byte, and its hash travel to the tasks.
+``P(word | previous word) = P(class | previous class) * P(word | class)``, both smoothed.
 
 Counts are complete: the most frequent words' counts travel to the tasks, those of all other words are joined.
 """
@@ -24,7 +26,12 @@ from millrace.llm.words import binary, pieces, small_batches, words_of
 from millrace.plans.storage import materialize
 
 HEADS, FORMS, CLASSES = 1024, 512, 64
-UNITS = HEADS + FORMS + 1  # the end of a text is the last unit
+UNITS = HEADS + FORMS + 1  # of the first exchange; the end of a text is the last unit
+LEAST = 5  # occurrences of a word that is a unit by itself
+BUCKET = 1 << 18  # tokens for a bucket of pairs
+PAIRS = 1 << 18  # pairs that a task adds up at a time
+TOGETHER = 256  # units whose gains are computed at a time
+GAIN = 1e-4  # of the likelihood of the class bigrams, in two halves
 COUNTED = 1 << 17  # words whose counts travel to the tasks
 MOST = 500_000  # words that a task holds at a time
 END = np.int64(-1)  # in place of a hash
@@ -87,40 +94,122 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return parts.groupBy("h").agg(F.first("form").alias("form"), F.sum("n").alias("n"))
 
 
+class Heads:
+    """The units of hashes: words in order of their frequency, the forms behind the first ``HEADS`` of them, the end last."""
+
+    def __init__(self, hashes: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.numbers = np.where(order < HEADS, order, order + FORMS).astype(np.int32)
+        self.size = HEADS + FORMS + max(0, len(hashes) - HEADS) + 1
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def of(self, hashes: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return otherwise
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.numbers[at], otherwise)
+
+    def get(self, h: int, otherwise: int) -> int:
+        return int(self.of(np.array([h], np.int64), np.array([otherwise]))[0])
+
+
 class Units(Words):
     """Words numbered, with their units."""
 
-    def __init__(self, heads: dict[int, int]):
+    def __init__(self, heads: Heads):
         super().__init__()
         self.heads = heads
 
     def units(self) -> np.ndarray:
-        found = (self.heads.get(h, HEADS + f) for h, f in zip(self.hashes, self.forms, strict=True))
-        return np.fromiter(found, np.int64, len(self))
+        return self.heads.of(np.array(self.hashes, np.int64), HEADS + np.array(self.forms, np.int64))
 
 
-def unit_bigrams(texts: DataFrame, heads: dict[int, int]) -> np.ndarray:
-    """Counts of neighbouring units, ``UNITS`` by ``UNITS``; a text follows an end."""
+def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order with their sums."""
+    keys, n = np.concatenate(keys), np.concatenate(n)
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+SIDES = ["keys0", "n0", "keys1", "n1"]
+
+
+def unit_pairs(texts: DataFrame, heads: Heads, tokens: int) -> DataFrame:
+    """``keys0, n0, keys1, n1``: counts of neighbouring units, packed; a text follows an end.
+
+    A key is a unit times the number of units plus the unit to its right (``keys0``) or left (``keys1``).  A row is a
+    bucket of units, with all pairs of each; as ends stand around the texts, each unit has both.
+    """
+    size, buckets = heads.size, max(8, -(-tokens // BUCKET))
+    schema = "bucket int, side int, keys binary, n binary"
+
+    def rows(found: Iterator[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found, strict=True)) or [[]] * 4
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "side", "keys", "n"])
+
+    def packed(keys: list[np.ndarray], n: list[np.ndarray]) -> Iterator[tuple]:
+        keys, n = _summed(keys, n)
+        for side, own in ((0, keys), (1, keys % size * size + keys // size)):
+            bucket = own // size % buckets
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for k in np.flatnonzero(np.diff(ends)):
+                at = order[ends[k] : ends[k + 1]]
+                yield int(k), side, own[at].tobytes(), n[at].astype(np.int32).tobytes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cells = Units(heads), np.zeros(UNITS * UNITS, np.int64)
+        words, keys, n, held = Units(heads), [], [], 0
         for batch in (p for b in batches for p in pieces(b)):
             coded = [words.of(text) for text in binary(batch.column(0))]
-            of = np.append(words.units(), UNITS - 1)
+            of = np.append(words.units(), size - 1)
             ended = np.concatenate([np.append(c, len(of) - 1) for c in coded])
-            units = of[np.concatenate([[len(of) - 1], ended])]
-            pairs, n = np.unique(units[:-1] * UNITS + units[1:], return_counts=True)
-            cells[pairs] += n
+            units = of[np.concatenate([[len(of) - 1], ended])].astype(np.int64)
+            pairs, times = np.unique(units[:-1] * size + units[1:], return_counts=True)
+            keys, n, held = [*keys, pairs], [*n, times], held + len(pairs)
+            if held > PAIRS:
+                yield rows(packed(keys, n))
+                keys, n, held = [], [], 0
             if len(words) > MOST:
                 words = Units(heads)
-        at = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], ["cell", "n"])
+        if held:
+            yield rows(packed(keys, n))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[tuple[int, int], tuple[list, list]] = {}
+        for batch in batches:
+            for bucket, side, keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                part = parts.setdefault((bucket, side), ([], []))
+                part[0].append(np.frombuffer(keys, np.int64))
+                part[1].append(np.frombuffer(n, np.int32).astype(np.int64))
+        for bucket in sorted({b for b, _ in parts}):
+            sides = [x for side in (0, 1) for x in _summed(*parts.pop((bucket, side)))]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sides], SIDES)
+
+    parts = texts.select("text").mapInArrow(count, schema).repartition(min(buckets, 4096), "bucket")
+    return materialize(parts.mapInArrow(merge, ", ".join(f"{c} binary" for c in SIDES)), "pairs")
+
+
+def table_of(pairs: DataFrame, size: int, of: np.ndarray, width: int) -> np.ndarray:
+    """Counts of pairs of the groups ``of`` units, of which there are ``width``."""
 
-    parts = texts.select("text").mapInArrow(count, "cell bigint, n bigint")
-    sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # UNITS squared at most
-    table = np.zeros(UNITS * UNITS)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keys = np.frombuffer(keys, np.int64)
+                cells, sums = _summed([of[keys // size].astype(np.int64) * width + of[keys % size]], [np.frombuffer(n, np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums)], ["cell", "n"])
+
+    parts = pairs.select("keys0", "n0").mapInArrow(count, "cell bigint, n bigint")
+    sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # width squared at most
+    table = np.zeros(width * width)
     table[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
-    return table.reshape(UNITS, UNITS)
+    return table.reshape(width, width)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -183,12 +272,87 @@ def _gains(table: np.ndarray, r: np.ndarray, l: np.ndarray, own: float) -> np.nd
     return change
 
 
+def best_classes(table: np.ndarray, r: np.ndarray, l: np.ndarray, own: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The best class of each unit, now of classes ``a``; rows of ``r``, ``l`` are its neighbours by class, itself (``own``) included.
+
+    The same choice as in ``exchanged`` for each unit alone, over the classes that it has counts in.
+    """
+    i, r, l, own = np.arange(len(a)), r.copy(), l.copy(), own[:, None]
+    r[i, a] -= own[:, 0]
+    l[i, a] -= own[:, 0]
+    gains = np.zeros_like(r)
+    # Neighbours of other classes than the unit's: only its own class has lost counts there.
+    for x, t in ((r, table), (l, table.T)):
+        k, c = np.nonzero(x)
+        k, c = k[c != a[k]], c[c != a[k]]
+        if len(k):
+            n, e = x[k, c], np.arange(len(k))
+            each = _xlogx(t.T[c] + n[:, None]) - _xlogx(t).T[c]
+            each[e, a[k]] = _xlogx(t[a[k], c]) - _xlogx(t[a[k], c] - n)
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            gains[k[first]] += np.add.reduceat(each, first, axis=0)
+    for x, y, t in ((r, l, table.T[a]), (l, r, table[a])):  # neighbours of its own class
+        t = t - y
+        t[i, a] -= x[i, a] + own[:, 0]
+        gains += _xlogx(t + x[i, a][:, None]) - _xlogx(t)
+    d = np.tile(np.diag(table), (len(a), 1))
+    d[i, a] -= r[i, a] + l[i, a] + own[:, 0]
+    gains += _xlogx(d + r + l + own) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
+    for x, sums in ((r, table.sum(1)), (l, table.sum(0))):
+        more, sums = x.sum(1, keepdims=True) + own, np.tile(sums, (len(a), 1))
+        sums[i, a] -= more[:, 0]
+        gains -= _xlogx(sums + more) - _xlogx(sums)
+    gains = gains[:, :-1]  # the last class is the end's
+    b = gains.argmax(1)
+    return np.where(gains[i, b] > gains[i, a] + 1e-9, b, a)
+
+
+def likelihood(table: np.ndarray) -> float:
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
+
+
+def all_exchanged(pairs: DataFrame, size: int, of: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each unit, from the classes ``of`` on, and the counts of the class bigrams."""
+    of = of.astype(np.uint8)
+    table = table_of(pairs, size, of, classes)
+    def moves(of: np.ndarray, table: np.ndarray, half: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    k0, n0, k1, n1 = (np.frombuffer(batch.column(c)[row].as_py(), np.int64) for c in SIDES)
+                    units, at = np.unique(k0 // size, return_inverse=True)
+                    v, back = k0 % size, np.searchsorted(units, k1 // size)
+                    count = lambda i, x, n: np.bincount(i * classes + of[x], n, len(units) * classes).reshape(-1, classes)
+                    r, l = count(at, v, n0), count(back, k1 % size, n1)
+                    own = np.bincount(at, n0 * (v == units[at]), len(units))
+                    rows = np.flatnonzero((units < size - 1) & (units * 0x9E3779B1 >> 16 & 1 == half))
+                    parts = [rows[k : k + TOGETHER] for k in range(0, len(rows), TOGETHER)]
+                    best = [best_classes(table, r[p], l[p], own[p], of[units[p]].astype(np.int64)) for p in parts]
+                    to, chosen = np.concatenate([np.zeros(0, np.int64), *best]), units[rows]
+                    moved = to != of[chosen]
+                    yield pa.RecordBatch.from_arrays([pa.array(chosen[moved]), pa.array(to[moved])], ["unit", "to"])
+
+        return run
+
+    while True:
+        before, moved = likelihood(table), 0
+        for half in (0, 1):
+            found = pairs.mapInArrow(moves(of, table, half), "unit bigint, to bigint").toArrow()
+            trial = of.copy()
+            trial[found.column("unit").to_numpy()] = found.column("to").to_numpy()
+            new = table_of(pairs, size, trial, classes)
+            if found.num_rows and likelihood(new) > likelihood(table):
+                of, table, moved = trial, new, moved + found.num_rows
+        if not moved or likelihood(table) - before < GAIN * abs(before):
+            return of.astype(np.int64), table
+
+
 @dataclass
 class Model:
     vocab: DataFrame  # h, n, class
     tokens: int
     types: int
-    heads: dict[int, int]
+    heads: Heads
     counts: dict[int, int]
     classes: np.ndarray
     transition: np.ndarray  # log10, class by class
@@ -199,22 +363,28 @@ def learnt(texts: DataFrame) -> Model:
     """A model of the rows of ``texts`` (column ``text``)."""
     vocab = materialize(word_counts(small_batches(texts)), "vocab")
     size = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).head()
-    top = vocab.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(COUNTED).select("h", "n", "form").toArrow()
-    hashes, n, forms = (top.column(c).to_numpy() for c in ("h", "n", "form"))
-    heads = {int(h): k for k, h in enumerate(hashes[:HEADS])}
+    top = vocab.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(COUNTED).select("h", "n").toArrow()
+    hashes, n = (top.column(c).to_numpy() for c in ("h", "n"))
+    frequent = vocab.filter((F.col("h") != int(END)) & (F.col("n") >= LEAST)).orderBy(F.desc("n"), "h").select("h", "n", "form").toArrow()
+    own, own_n, own_forms = (frequent.column(c).to_numpy() for c in ("h", "n", "form"))
+    heads = Heads(own)
     by_form = vocab.groupBy("form").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()  # FORMS + 1 rows
-    unit_n, unit_v = np.zeros(UNITS), np.zeros(UNITS)
+    unit_n, unit_v = np.zeros(heads.size), np.zeros(heads.size)
     for r in by_form:
-        unit_n[HEADS + r.form], unit_v[HEADS + r.form] = r.n, r.v
-    k = len(heads)
-    np.subtract.at(unit_n, HEADS + forms[:k], n[:k])
-    np.subtract.at(unit_v, HEADS + forms[:k], 1)
-    unit_n[:k], unit_v[:k] = n[:k], 1
-    bigrams = unit_bigrams(texts, heads)
-    classes = exchanged(bigrams)
-    member = np.zeros((UNITS, CLASSES))
-    member[np.arange(UNITS), classes] = 1
-    pairs = member.T @ bigrams @ member
+        unit = HEADS + r.form if r.form < FORMS else heads.size - 1
+        unit_n[unit], unit_v[unit] = r.n, r.v
+    np.subtract.at(unit_n, HEADS + own_forms, own_n)
+    np.subtract.at(unit_v, HEADS + own_forms, 1)
+    numbers = np.where(np.arange(len(own)) < HEADS, np.arange(len(own)), np.arange(len(own)) + FORMS)
+    unit_n[numbers], unit_v[numbers] = own_n, 1
+    coarse = np.arange(heads.size)
+    coarse[numbers[HEADS:]] = HEADS + own_forms[HEADS:]
+    coarse[-1] = UNITS - 1
+    packed = unit_pairs(texts, heads, int(size.n or 0))
+    first = exchanged(table_of(packed, heads.size, coarse, UNITS))
+    classes, pairs = all_exchanged(packed, heads.size, first[coarse])
+    member = np.zeros((heads.size, CLASSES))
+    member[np.arange(heads.size), classes] = 1
     share = (pairs.sum(0) + 1) / (pairs.sum() + CLASSES)
     transition = np.log10((pairs + MU * share) / (pairs.sum(1, keepdims=True) + MU))
     weight = np.log10(member.T @ unit_n + ALPHA * (member.T @ unit_v + 1))

@@ -54,6 +54,58 @@ def test_exchange_finds_the_classes_that_made_the_text():
     assert all(len({of[i] for i in range(30) if truth[i] == c}) == 1 for c in range(3)) and of[30] == 3
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_the_best_class_is_that_of_the_likelihood(seed):
+    rng = np.random.default_rng(seed)
+    bigrams = rng.integers(0, 3, (9, 9)) * rng.integers(0, 2, (9, 9)) * 1.0
+    of = np.array([0, 1, 2, 0, 1, 2, 0, 1, 3])
+    member = np.eye(4)[of]
+    table = member.T @ bigrams @ member
+    got = brown.best_classes(table, (bigrams @ member)[:8], (bigrams.T @ member)[:8], np.diag(bigrams)[:8], of[:8])
+    for u in range(8):
+        likelihoods = [_likelihood(bigrams, np.where(np.arange(9) == u, c, of), 4) for c in range(3)]
+        assert likelihoods[got[u]] >= max(likelihoods) - 1e-9
+    assert np.isclose(brown.likelihood(table), _likelihood(bigrams, of, 4))
+
+
+def test_all_frequent_words_are_clustered_one_by_one(spark):
+    """Four kinds of 700 words that end alike; the next word's kind is certain, so no class should hold two kinds."""
+    rng = random.Random(13)
+    kinds = [[f"{k * 700 + i:05d}zzz" for i in range(700)] for k in range(4)]
+    rows = [(i, " ".join(rng.choice(kinds[(i + k) % 4]) for k in range(120)), None, None, None) for i in range(500)]
+    model = brown.learnt(spark.createDataFrame(rows, DOCS).repartition(3).select("text"))
+    frequent = {r.h: r.n for r in model.vocab.collect() if r.n >= brown.LEAST and r.h != int(brown.END)}
+    assert len(frequent) > 2700 and len(model.heads) == len(frequent)
+    held = Counter()
+    for k, words in enumerate(kinds):
+        for h in (brown.xxhash.xxh3_64_intdigest(w.encode()) for w in words):
+            h = h - (1 << 64) if h >> 63 else h
+            if h in frequent:
+                held[model.classes[model.heads.get(h, 0)], k] += 1
+    largest = {c: max(held[c, k] for k in range(4)) for c, _ in held}
+    assert sum(largest.values()) > 0.99 * len(frequent)
+
+
+def test_pairs_of_units_are_exact(spark, monkeypatch):
+    """Over several flushes and buckets."""
+    monkeypatch.setattr(brown, "PAIRS", 50)
+    monkeypatch.setattr(brown, "BUCKET", 100)
+    texts = [t for _, t, *_ in documents()]
+    model = brown.learnt(table(spark, documents()).select("text"))
+    size, h = model.heads.size, brown.Words()
+    unit = lambda w: model.heads.get(h.hashes[h[w]], brown.HEADS + h.forms[h[w]])
+    want = Counter()
+    for t in texts:
+        chain = [size - 1, *(unit(w) for w in brown.words_of((t or "").encode())), size - 1]
+        want.update(zip(chain[:-1], chain[1:], strict=True))
+    for side in (0, 1):
+        got = Counter()
+        for r in brown.unit_pairs(table(spark, documents()).select("text"), model.heads, 5000).collect():
+            for key, n in zip(np.frombuffer(r[f"keys{side}"], np.int64).tolist(), np.frombuffer(r[f"n{side}"], np.int64).tolist(), strict=True):
+                got[divmod(key, size)[:: -1 if side else 1]] += n
+        assert got == want
+
+
 @pytest.mark.parametrize("counted", [5, 1 << 17])
 def test_counts_and_base_scores_are_exact(spark, monkeypatch, counted):
     """``counted`` words travel to the tasks, the rest is joined; small vocabularies in the tasks are dealt with as well."""
