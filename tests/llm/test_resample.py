@@ -1,0 +1,73 @@
+"""Importance resampling against a plain version."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from millrace.llm import resample
+from tests.llm.rows import documents, table
+
+
+def plain(docs, target, longest=1, buckets=10_000, least=20, percent=10, seed=2024):
+    lower = {c: c + 32 for c in range(65, 91)}
+
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(lower))
+        return len(words), [" ".join(words[i : i + k]) for k in range(1, longest + 1) for i in range(len(words) - k + 1)]
+
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    s = Counter(bucket(f) for _, t in docs for f in features(t)[1])
+    t = Counter(bucket(f) for x in target for f in features(x)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    rows = []
+    for doc_id, text in docs:
+        n, own = features(text)
+        weight = sum(math.floor(1000 * math.log((t[b] + 1) * (s_all + buckets) / ((s[b] + 1) * (t_all + buckets)))) for b in map(bucket, own))
+        h = int(hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        rows.append((doc_id, n, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0, r[2], r[3]))
+    drawn = len(able) * percent // 100
+    out = [(r[0], *r[2:], k if k <= drawn else None) for k, r in enumerate(able, 1)]
+    return Counter(out + [(r[0], *r[2:], None) for r in rows if r[1] < least])
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.select("doc_id", "n_features", "weight", "score", "rank").collect())
+
+
+def test_against_plain(spark, monkeypatch):
+    rows = documents(n=120) + [(900, "Ça VA?été-42x\x00y", None, None, 0), (901, "İ İ ſ ABC" * 30, None, None, 0)]
+    target = [rows[3][1], None, "", rows[8][1] + " éé 漢字"]
+    docs, bench = table(spark, rows), spark.createDataFrame([(i, x) for i, x in enumerate(target)], "item_id int, text string")
+    flat = [(r[0], r[1]) for r in rows]
+    assert rows_of(resample.resampled(docs, bench)) == plain(flat, target)
+    monkeypatch.setattr(resample, "HELD", 100)
+    got = rows_of(resample.resampled(docs, bench, longest=3, buckets=97, least_words=5, percent=40, seed=7))
+    assert got == plain(flat, target, 3, 97, 5, 40, 7)
+
+
+def test_empty_tables(spark):
+    rows = documents()
+    docs, bench = table(spark, rows), spark.createDataFrame([], "item_id int, text string")
+    assert rows_of(resample.resampled(docs, bench)) == plain([(r[0], r[1]) for r in rows], [])
+    assert resample.resampled(docs.limit(0), bench).count() == 0
+
+
+def test_the_draw_leans_to_the_target(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 30), i -> concat(if(id % 4 = 0, 'near', 'far'), (i * id) % 17)))").alias("text"))
+    bench = spark.sql("SELECT 0 AS item_id, concat_ws(' ', transform(sequence(1, 200), i -> concat('near', i % 17))) AS text")
+    drawn = [r.doc_id for r in resample.resampled(docs, bench).filter("rank IS NOT NULL").collect()]
+    assert len(drawn) == 40 and all(d % 4 == 0 for d in drawn)
+
+
+def test_words_are_those_of_the_pattern():
+    text = "".join(map(chr, range(0x250))) + " Aé٣漢ß"
+    want = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    n, found = resample.features_of(text.encode())
+    assert (n, found) == (len(want), [zlib.crc32(w.encode()) for w in want])
