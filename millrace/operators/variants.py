@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.plans.numbering import running_sums
+from millrace.plans.numbering import chained, next_above, running_sums
 from millrace.plans.storage import materialize
 
 REGION_SIZE = 1_000_000
@@ -107,20 +107,16 @@ def region_pack(density: DataFrame, regions: int, part_size: int = REGION_SIZE)
 
     A region closes before the row that finds it above its share; what remains at the end is never closed.  With
     running sums, a region that starts at some row ends before the first row whose sum exceeds the start's by more
-    than the share: one look-up for each region, of which there are fewer than ``regions``, each over sorted columns.
+    than the share.  That row is looked up for every row at once, and the chain of looked-up rows from the first one
+    on is followed by doubling, so the number of jobs grows with the logarithm of ``regions``.
     """
-    spark = density.sparkSession
     total = density.agg(F.sum("n")).head()[0] or 0
     share = -(-int(total) // regions)
-    rows = materialize(running_sums(density.select("idx", "region", F.col("n").cast("bigint").alias("n")), [F.col("idx"), F.col("region")], "n"), "running")
-    closed, place, before = [], 0, 0
-    while True:
-        after = rows.filter(F.col("before") > before + share).agg(F.min(F.struct("before", "place")).alias("cut")).head()["cut"]
-        if after is None:
-            break
-        closed.append((len(closed), float(place * part_size), float(after.place * part_size)))
-        place, before = after.place, after.before
-    return spark.createDataFrame(closed, "region int, start double, end double")
+    counts = density.select("idx", "region", F.col("n").cast("bigint").alias("n"))
+    rows = materialize(running_sums(counts, [F.col("idx"), F.col("region")], "n").select("place", "before"), "running")
+    # A closed region holds more than a share, so there are fewer than `regions`.
+    return chained(next_above(rows, "before", share), 0, regions).select(
+        F.col("step").alias("region"), (F.col("place") * part_size).cast("double").alias("start"), (F.col("next") * part_size).cast("double").alias("end"))
 
 
 def chrom_number(variants: DataFrame) -> DataFrame:

@@ -67,3 +67,39 @@ def numbered(
             same = same & placed[c].eqNullSafe(first[f"_key_{i}"])
         placed = placed.join(first, same).withColumn("_place", F.col("_place") - F.col("_first"))
     return placed.select(*df.columns, (F.col("_place") + F.lit(start + 1)).cast("bigint").alias(name))
+
+
+def next_above(rows: DataFrame, key: str, ahead: int, place: str = "place") -> DataFrame:
+    """``place, next``: for each row the first place whose ``key`` exceeds the row's own by more than ``ahead``.
+
+    ``key`` does not fall as ``place`` rises.  Keys and the values to be exceeded go through one global sort, in which the
+    answer of a row is the next key behind it; where a sort partition has none left, the first one of a later partition is.
+    Rows that nothing exceeds are left out.
+    """
+    keys = rows.select(F.col(key).alias("_key"), F.lit(0).alias("_kind"), F.col(place).alias("_place"))
+    asked = rows.select((F.col(key) + ahead).alias("_key"), F.lit(1).alias("_kind"), F.col(place).alias("_place"))
+    merged = _sorted(keys.unionByName(asked), [F.col("_key"), F.col("_kind"), F.col("_place")])
+    found = F.when(F.col("_kind") == 0, F.col("_place"))
+    later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    carried = merged.groupBy("_part").agg(F.min(found).alias("_first")).select(F.col("_part").alias("_own_part"), F.min("_first").over(later).alias("_carried"))
+    behind = Window.partitionBy("_part").orderBy("_slot").rowsBetween(1, Window.unboundedFollowing)
+    here = merged.withColumn("_here", F.min(found).over(behind)).filter("_kind = 1")
+    answered = here.join(carried, F.col("_part") == F.col("_own_part")).select(F.col("_place").alias(place), F.coalesce("_here", "_carried").alias("next"))
+    return answered.filter("next IS NOT NULL")
+
+
+def chained(jumps: DataFrame, start: int, most: int, place: str = "place") -> DataFrame:
+    """``place, next, step``: the rows that the chain of ``jumps`` (``place, next``) meets from ``start``, with their step from 0.
+
+    Pointers double: round k joins the jumps of 2^k rows with themselves, and the rows met so far with them.  ``most`` is a
+    bound of the chain's length, so there are log2(most) rounds whatever the number of rows.
+    """
+    spark = jumps.sparkSession
+    jumps = doubled = materialize(jumps.select(place, "next"), "jumps")
+    met = spark.range(1).select(F.lit(start).cast("bigint").alias(place), F.lit(0).alias("step"))
+    for k in range(max(1, most).bit_length()):
+        further = met.join(doubled, place).select(F.col("next").alias(place), (F.col("step") + (1 << k)).alias("step"))
+        met = materialize(met.unionByName(further), "met")
+        on = doubled.select(F.col(place).alias("next"), F.col("next").alias("_after"))
+        doubled = materialize(doubled.join(on, "next").select(place, F.col("_after").alias("next")), "doubled")
+    return met.join(jumps, place).select(place, "next", "step")
