@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.phones import AREA_CODES_3, AREA_CODES_4, national_numbers, old_style_numbers
+from millrace.plans.storage import materialize
+from millrace.sources.archive import wet_columns
+from millrace.sources.segments import BROKEN, COMPLETE, MISSING, UNREACHABLE
 
 
 def phone_hits(records: DataFrame, extra_prefixes: Iterable[str] = ()) -> DataFrame:
@@ -19,6 +22,27 @@ def phone_hits(records: DataFrame, extra_prefixes: Iterable[str] = ()) -> DataFr
     return records.select(F.explode(national_numbers(F.col("content"), codes)).alias("num"), "url")
 
 
+def crawl(segments: DataFrame, extra_prefixes: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``num, url`` of every hit, and a row for each segment with its status, counts and seconds, out of one read.
+
+    ``segments`` is the output of ``scan_segments``.  The read is written out: numbers and statuses only, no texts.
+    """
+    codes = [*AREA_CODES_3, *AREA_CODES_4, *extra_prefixes]
+    url, content = wet_columns(F.col("value"))
+    found = F.when(url != "", national_numbers(content, codes))
+    closing = ["file", "status", "records", "bytes", "fetch_s", "decompress_s", "parse_s"]
+    rows = segments.select(*closing, url.alias("url"), F.explode_outer(found).alias("num"))
+    rows = materialize(rows.filter("num IS NOT NULL OR status IS NOT NULL"), "crawl")
+    return rows.filter("num IS NOT NULL").select("num", "url"), rows.filter("status IS NOT NULL").select(*closing)
+
+
+def segment_totals(segments: DataFrame) -> DataFrame:
+    """One row: segments by status, records, bytes, and the seconds that tasks spent on each step."""
+    by_status = [F.count_if(F.col("status") == s).alias(f"{s}_segments") for s in (COMPLETE, BROKEN, MISSING, UNREACHABLE)]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("records", "bytes", "fetch_s", "decompress_s", "parse_s")]
+    return segments.filter("status IS NOT NULL").agg(F.count("*").alias("segments"), *by_status, *sums)
+
+
 def phone_legacy(records: DataFrame) -> DataFrame:
     """``num, url`` by the older pattern, each number once per record."""
     return records.select(F.explode(old_style_numbers(F.col("content"))).alias("num"), "url")
@@ -48,12 +72,12 @@ def phone_index(hits: DataFrame) -> DataFrame:
 def phone_stats(hits: DataFrame, manifest: DataFrame) -> DataFrame:
     """One row: unique numbers, hits, and the segments listed, processed and failed.
 
-    ``manifest`` is the output of ``split_manifest``, with the rejects of a scan in place of their entries.
+    ``manifest`` is the output of ``split_manifest``, or of ``entry_statuses`` once the segments were read.
     """
     found = hits.groupBy("num").agg(F.count("*").alias("times")).agg(
         F.count("*").alias("unique_numbers"), F.coalesce(F.sum("times"), F.lit(0)).alias("hits")
     )
-    failed = F.count_if(F.col("status").isin("invalid", "unknown", "missing", "unreadable"))
+    failed = F.count_if(F.col("status").isin("invalid", "unknown", BROKEN, MISSING, UNREACHABLE))
     listed = manifest.agg(
         F.count("*").alias("segments"), (F.count("*") - failed).alias("processed_segments"), failed.alias("failed_segments")
     )

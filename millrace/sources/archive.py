@@ -2,31 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.plans.storage import exists
+from millrace.sources.segments import COMPLETE, scan_segments
 
 # Fixed values of the file format: what opens a record, what ends its header.
 RECORD_SEP = "WARC/1.0\r\n"
 HEADER_END = "\r\n\r\n"
 
 
+def wet_columns(value: Column) -> tuple[Column, Column]:
+    """Target address (empty where there is none) and content of a raw record."""
+    ends = F.locate(HEADER_END, value)
+    header = F.when(ends > 0, F.substr(value, F.lit(1), ends)).otherwise(value)
+    content = F.when(ends > 0, F.substr(value, ends + len(HEADER_END))).otherwise(F.lit(""))
+    return F.regexp_extract(header, r"WARC-Target-URI: *([^\r\n]*)", 1), content
+
+
 def parse_wet(raw: DataFrame) -> DataFrame:
     """``url, content`` (and ``file`` if present) of raw records in ``value``; records without a target are dropped."""
-    ends = F.locate(HEADER_END, F.col("value"))
-    header = F.when(ends > 0, F.substr("value", F.lit(1), ends)).otherwise(F.col("value"))
-    content = F.when(ends > 0, F.substr("value", ends + len(HEADER_END))).otherwise(F.lit(""))
-    url = F.regexp_extract(header, r"WARC-Target-URI: *([^\r\n]*)", 1)
+    url, content = wet_columns(F.col("value"))
     kept = ["file"] if "file" in raw.columns else []
     return raw.select(url.alias("url"), content.alias("content"), *kept).filter(F.col("url") != "")
 
 
 def scan_wet(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``url, content, file`` of archive text files, gzip included: one task per compressed file."""
-    # A segment that breaks off keeps what could be read, and does not stop the others.
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    raw = reader.text(paths, lineSep=RECORD_SEP).select("value", F.col("_metadata.file_path").alias("file"))
+    """``url, content, file`` of archive text files, gzip included: one task per compressed file.
+
+    A file that is missing or broken stops the job; ``scan_manifest`` and ``millrace.operators.phones.crawl`` go on without it.
+    """
+    raw = spark.read.text(paths, lineSep=RECORD_SEP).select("value", F.col("_metadata.file_path").alias("file"))
     return parse_wet(raw)
 
 
@@ -45,28 +51,33 @@ def split_manifest(uris: DataFrame, uri: str = "value") -> DataFrame:
     )
 
 
-def scan_manifest(spark: SparkSession, manifest: str) -> tuple[DataFrame, DataFrame]:
-    """The records of all segments a manifest lists that are there, and its other entries (``uri, status, path``).
+def manifest_entries(spark: SparkSession, manifest: str) -> DataFrame:
+    """``split_manifest`` of a file, without its empty lines."""
+    return split_manifest(spark.read.text(manifest).filter(F.trim("value") != ""))
+
+
+def listed_segments(entries: DataFrame) -> DataFrame:
+    """The scan of all entries with a path, in the order of the list; see ``millrace.sources.segments``.
 
-    A listed segment that does not exist is ``missing``; the rest is read.  The list of paths is what any file scan
-    keeps on the driver.
+    The list of paths is what any file scan keeps on the driver.  Whether a segment is there is found by the task that reads it.
     """
-    entries = split_manifest(spark.read.text(manifest).filter(F.trim("value") != ""))
     paths = [row["path"] for row in entries.filter(F.col("path").isNotNull()).select("path").toLocalIterator()]
-    gone = [p for p in paths if not exists(spark, p)]
-    rejects = entries.filter(F.col("path").isNull())
-    if gone:
-        missing = spark.createDataFrame([(p,) for p in dict.fromkeys(gone)], "path string")
-        rejects = rejects.unionByName(entries.join(missing, "path").select("uri", F.lit("missing").alias("status"), "path"))
-    there = [p for p in paths if p not in set(gone)]
-    if not there:
-        return spark.createDataFrame([], "url string, content string, file string"), rejects
-    return scan_wet(spark, there), rejects
-
-
-def unreadable(entries: DataFrame, records: DataFrame) -> DataFrame:
-    """Entries with a path that gave no record at all, as rejects of status ``unreadable``."""
-    name = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
-    seen = records.select(name(F.col("file")).alias("_file")).distinct()
-    left = entries.filter("path IS NOT NULL").withColumn("_file", name(F.col("path"))).join(seen, "_file", "left_anti")
-    return left.select("uri", F.lit("unreadable").alias("status"), "path")
+    return scan_segments(entries.sparkSession, paths)
+
+
+def entry_statuses(entries: DataFrame, segments: DataFrame) -> DataFrame:
+    """``uri, status, path`` with the status of the read (``complete``, ``broken``, ``missing``, ``unreachable``) where there was one."""
+    read = segments.filter("status IS NOT NULL").groupBy("file").agg(F.max("status").alias("_read"))
+    return entries.join(read, F.col("path") == F.col("file"), "left").select("uri", F.coalesce("_read", "status").alias("status"), "path")
+
+
+def scan_manifest(spark: SparkSession, manifest: str) -> tuple[DataFrame, DataFrame]:
+    """The records of all segments that a manifest lists, and its entries that were not read whole (``uri, status, path``).
+
+    Records before the point where a segment breaks off are kept, and its entry is ``broken``.  Either result reads the
+    segments when it is used; ``millrace.operators.phones.crawl`` gets both out of one read.
+    """
+    entries = manifest_entries(spark, manifest)
+    scan = listed_segments(entries)
+    rejects = entry_statuses(entries, scan).filter(F.col("status") != COMPLETE)
+    return parse_wet(scan.filter("value IS NOT NULL").select("value", "file")), rejects

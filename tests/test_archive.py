@@ -4,7 +4,8 @@ import gzip
 
 from millrace.operators import phones
 from millrace.sinks.files import write_phone_index
-from millrace.sources.archive import scan_manifest, scan_wet, split_manifest, unreadable
+from millrace.sources import segments
+from millrace.sources.archive import entry_statuses, listed_segments, manifest_entries, scan_manifest, scan_wet, split_manifest
 
 
 def _record(url, body):
@@ -43,18 +44,53 @@ def test_manifest(spark, tmp_path):
 
 def test_segments_that_are_missing_or_broken(spark, tmp_path):
     good = _archive(tmp_path / "good.warc.wet.gz")
-    broken = tmp_path / "broken.warc.wet.gz"
-    broken.write_bytes((tmp_path / "good.warc.wet.gz").read_bytes()[:40])
-    (tmp_path / "m.txt").write_text(f"file:{good}\nfile:{broken}\nfile:{tmp_path}/none.gz\nftp://x\n")
+    whole = (tmp_path / "good.warc.wet.gz").read_bytes()
+    first = len(gzip.compress(_record(*BODIES[0])))
+    cuts = {"start": whole[:40], "half": whole[: first + 30], "damaged": whole[:first] + b"\x1f\x8b\x08garbage", "empty": b"", "padded": whole + bytes(512)}
+    for name, data in cuts.items():
+        (tmp_path / f"{name}.gz").write_bytes(data)
+    (tmp_path / "plain.wet").write_bytes(b"".join(_record(u, b) for u, b in BODIES))
+    names = [good, *(f"{tmp_path}/{n}.gz" for n in [*cuts, "none"]), f"{tmp_path}/plain.wet"]
+    (tmp_path / "m.txt").write_text("".join(f"file:{n}\n" for n in names) + "ftp://x\n")
+    entries = manifest_entries(spark, str(tmp_path / "m.txt"))
+    scan = listed_segments(entries)
+    assert scan.rdd.getNumPartitions() == len(names)
+    hits, closed = phones.crawl(scan)
+    got = {r.file.rsplit("/", 1)[1]: (r.status, r.records) for r in closed.collect()}
+    assert got == {"good.warc.wet.gz": ("complete", 3), "start.gz": ("broken", 0), "half.gz": ("broken", 1), "damaged.gz": ("broken", 0),
+                   "empty.gz": ("complete", 0), "padded.gz": ("complete", 3), "none.gz": ("missing", 0), "plain.wet": ("complete", 3)}
+    assert sorted(r.num for r in hits.collect()) == ["0201234567"] * 4 + ["08001234"] * 3
+    statuses = entry_statuses(entries, closed)
+    stats = phones.phone_stats(hits, statuses).first()
+    assert (stats.unique_numbers, stats.hits, stats.segments, stats.processed_segments, stats.failed_segments) == (2, 7, 9, 4, 5)
+    totals = phones.segment_totals(closed).first()
+    assert (totals.segments, totals.complete_segments, totals.broken_segments, totals.missing_segments, totals.unreachable_segments, totals.records) == (8, 4, 3, 1, 0, 10)
+    assert totals.bytes > 3000 and min(totals.fetch_s, totals.decompress_s, totals.parse_s) > 0
     records, rejects = scan_manifest(spark, str(tmp_path / "m.txt"))
-    assert sorted(r.num for r in phones.phone_hits(records).collect()) == ["0201234567", "08001234"]
-    assert sorted((r.status, r.uri) for r in rejects.collect()) == [("missing", f"file:{tmp_path}/none.gz"), ("unknown", "ftp://x")]
-    entries = split_manifest(spark.read.text(str(tmp_path / "m.txt"))).join(rejects.select("uri"), "uri", "left_anti")
-    bad = unreadable(entries, records)
-    assert [(r.status, r.uri) for r in bad.collect()] == [("unreadable", f"file:{broken}")]
-    listed = entries.join(bad.select("uri"), "uri", "left_anti").unionByName(rejects).unionByName(bad)
-    stats = phones.phone_stats(phones.phone_hits(records), listed).first()
-    assert (stats.segments, stats.processed_segments, stats.failed_segments) == (4, 1, 3)
+    assert records.count() == 3 * 2 + 1 and rejects.count() == 5
+    assert {r.status for r in rejects.collect()} == {"broken", "missing", "unknown"}
+
+
+def test_half_a_segment_of_many_records(spark, tmp_path):
+    """What stands before the break is kept, counted, and the rest is not lost in silence."""
+    data = b"".join(gzip.compress(_record(f"http://x/{i}", f"tel +31 20 {i:07d}.")) for i in range(4000))
+    (tmp_path / "a.gz").write_bytes(data)
+    (tmp_path / "b.gz").write_bytes(data[: len(data) // 2])
+    hits, closed = phones.crawl(segments.scan_segments(spark, [f"{tmp_path}/a.gz", f"file:{tmp_path}/b.gz"]))
+    rows = {r.file.rsplit("/", 1)[1]: r for r in closed.collect()}
+    assert rows["a.gz"].records == 4000 and rows["a.gz"].status == "complete" and rows["b.gz"].status == "broken"
+    assert hits.count() == 4000 + rows["b.gz"].records and 1900 < rows["b.gz"].records < 2100
+
+
+def test_records_and_members_at_any_chunk_border(monkeypatch, tmp_path):
+    data = b"".join(gzip.compress(_record(u, b)) for u, b in BODIES)
+    (tmp_path / "x.gz").write_bytes(data)
+    want = [_record(u, b)[len(segments.RECORD_SEP):] for u, b in BODIES]
+    for size in (1, 2, 3, 7, 64, 1 << 20):
+        monkeypatch.setattr(segments, "CHUNK", size)
+        monkeypatch.setattr(segments, "BATCH", max(1, size // 2))
+        clock = segments.Clock()
+        assert list(segments.split_records(segments.unpacked(segments.fetched(f"{tmp_path}/x.gz", clock), clock), clock)) == want
 
 
 def test_nothing_to_read(spark, tmp_path):
