@@ -20,10 +20,15 @@ _scopes = threading.local()
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context.
 
-    Where neither is set, intermediates go below the warehouse, which every executor can reach as well.
+    Where neither is set, intermediates go below the warehouse.  A warehouse in a local folder is refused on a cluster, as
+    executors on other machines would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share, not {folder}")
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -66,6 +71,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The whole numbers ``n`` of the folders ``<column>=<n>`` below ``path``; none where it does not exist."""
+    if not exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+    return [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}=")]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -15,10 +15,13 @@ def job_metrics(df: DataFrame, name: str, **failed) -> tuple[DataFrame, Observat
 
 
 class Progress(StreamingQueryListener):
-    """Totals over all queries of a session: batches, input rows, failures."""
+    """Totals over all queries of a session: batches, input rows, rows that came too late for their windows, failures.
+
+    Late rows are counted as Spark's state operators do: after the rows of a batch have been added up by window and key.
+    """
 
     def __init__(self) -> None:
-        self.batches = self.rows = self.failed = self.running = 0
+        self.batches = self.rows = self.late = self.failed = self.running = 0
 
     def onQueryStarted(self, event) -> None:
         self.running += 1
@@ -26,6 +29,7 @@ class Progress(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         self.batches += 1
         self.rows += event.progress.numInputRows
+        self.late += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
 
     def onQueryIdle(self, event) -> None:
         pass

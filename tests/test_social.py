@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.status import clean_status, has_hangul, has_hiragana
 from millrace.operators import langs, social
-from millrace.streaming.board import advance, late_rows, stream_board
+from millrace.streaming.board import report_text, stream_board, write_windows
 from millrace.streaming.progress import Progress, drain, job_metrics
 from millrace.streaming.sources import STATUS_SCHEMA, stream_markers, stream_statuses
 
@@ -77,55 +77,91 @@ def _batch_board(st, window, slide, last_end):
     return sorted(map(repr, top.join(numbers, ["window_start", "id"], "left").select(*SHOWN).collect()))
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    rows = _random_statuses(240)
-    _write_in_steps(spark, rows, str(tmp_path / "in"), 4)
+def _stream(spark, tmp_path, batches, window=60, slide=20, delay=20):
+    """The boards of a stream that reads one batch of rows after the other, and its progress."""
+    from pathlib import Path
+
+    for i, rows in enumerate(batches):
+        part = spark.createDataFrame(rows, STATUS_SCHEMA)
+        part.coalesce(1).write.json(str(tmp_path / f"part{i}"))
+        file = next(Path(tmp_path / f"part{i}").glob("part-*.json"))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i:03d}.json").write_bytes(file.read_bytes())
     progress = Progress()
     spark.streams.addListener(progress)
     st = stream_statuses(spark, str(tmp_path / "in"), files_per_batch=1)
     out = str(tmp_path / "out")
-    query = stream_board(st, out, str(tmp_path / "cp"), window=60, slide=20, delay=20)
+    query = stream_board(st, out, str(tmp_path / "cp"), window=window, slide=slide, delay=delay)
     query.awaitTermination()
     spark.streams.removeListener(progress)
-    last = max(r[1] for r in rows) - timedelta(seconds=20)
-    whole = spark.createDataFrame(rows, STATUS_SCHEMA)
-    want = _batch_board(whole, 60, 20, last.replace(tzinfo=None))
-    got = sorted(map(repr, spark.read.parquet(f"{out}/board").select(*SHOWN).collect()))
-    assert got == want and len(got) > 50
-    assert not (tmp_path / "out" / "buffer" / "batch=0").exists()
-    assert progress.rows == len(rows) and progress.failed == 0
-
-
-def test_rows_out_of_order_between_batches(spark, tmp_path):
-    """An on-time row of a later batch that is older than the first event still gets all its windows."""
-    rows = [_status(1, 1000), _status(2, 950), _status(3, 2000)]
-    out = str(tmp_path / "out")
-    for i, r in enumerate(rows):
-        advance(spark.createDataFrame([r], STATUS_SCHEMA), i, out, 60, 20, 60)
-    got = spark.read.parquet(f"{out}/board").filter("id = 2").count()
-    assert got == 3 and late_rows(spark, out, 2) == 0
+    assert query.exception() is None
+    return out, progress
 
 
-def test_batch_that_runs_again_changes_nothing(spark, tmp_path):
-    rows = _random_statuses(120)
-    out = str(tmp_path / "out")
-    parts = [spark.createDataFrame(rows[i : i + 40], STATUS_SCHEMA) for i in (0, 40, 80)]
-    read = lambda: sorted(map(repr, spark.read.parquet(f"{out}/board").select(*SHOWN).collect()))
-    for i, part in enumerate(parts):
-        advance(part, i, out, 60, 20, 0)
-    once = read()
-    advance(parts[2], 2, out, 60, 20, 0)
-    assert read() == once and len(once) > 20
+def _read(spark, out):
+    return sorted(map(repr, spark.read.parquet(f"{out}/board").select(*SHOWN).collect()))
+
+
+def _closed(rows, delay):
+    return (max(r[1] for r in rows) - timedelta(seconds=delay)).replace(tzinfo=None)
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    rows = _random_statuses(240)
+    out, progress = _stream(spark, tmp_path, [rows[i : i + 60] for i in range(0, 240, 60)])
+    got = _read(spark, out)
+    assert got == _batch_board(spark.createDataFrame(rows, STATUS_SCHEMA), 60, 20, _closed(rows, 20)) and len(got) > 50
+    assert progress.rows >= len(rows) and progress.failed == progress.late == 0
+
+
+def test_stream_equals_batch_out_of_order(spark, tmp_path):
+    """Rows up to ``delay`` seconds behind the latest one lose no window, whichever batch brings them."""
+    rng = random.Random(5)
+    rows = _random_statuses(200, seed=6)
+    mixed = sorted(rows, key=lambda r: r[1] + timedelta(seconds=rng.uniform(0, 39)))
+    batches = [mixed[i : i + 40] for i in range(0, 200, 40)]
+    out, progress = _stream(spark, tmp_path, batches, delay=40)
+    assert mixed != rows and progress.late == 0
+    assert _read(spark, out) == _batch_board(spark.createDataFrame(rows, STATUS_SCHEMA), 60, 20, _closed(rows, 40))
 
 
 def test_late_rows_are_counted_and_left_out(spark, tmp_path):
+    batches = [[_status(1, 10), _status(2, 100)], [_status(6, 101)], [_status(3, 39), _status(4, 81), _status(5, 300)], [_status(9, 400)]]
+    out, progress = _stream(spark, tmp_path, batches)
+    shown = spark.read.parquet(f"{out}/board").filter("id IS NOT NULL")
+    # Behind 100 seconds less the delay of 20, all three windows of second 39 have ended; those of second 81 are open.
+    assert {r.id for r in shown.collect()} == {1, 2, 4, 5, 6} and progress.late > 0
+    assert shown.filter("id = 4").count() == 3
+
+
+def test_windows_that_are_written_again_change_nothing(spark, tmp_path):
+    rows = _random_statuses(150)
+    st = spark.createDataFrame(rows, STATUS_SCHEMA)
+    boards = social.tweet_board(st, 60, 20, ordered=False)
+    ends = sorted(r.window_end for r in boards.select("window_end").distinct().collect())
+    parts = [boards.filter(F.col("window_end").isin(ends[i : i + 5])) for i in range(0, len(ends), 5)]
     out = str(tmp_path / "out")
-    make = lambda *rows: spark.createDataFrame(list(rows), STATUS_SCHEMA)
-    advance(make(_status(1, 10), _status(2, 100)), 0, out, 60, 20, 20)
-    advance(make(_status(3, 79), _status(4, 80), _status(5, 300)), 1, out, 60, 20, 20)
-    advance(spark.createDataFrame([], STATUS_SCHEMA), 2, out, 60, 20, 20)
-    assert late_rows(spark, out, 2) == 1
-    assert {r.id for r in spark.read.parquet(f"{out}/board").collect()} == {1, 2, 4}
+    for part in parts:
+        write_windows(part, out)
+    once, text = _read(spark, out), [tuple(r) for r in report_text(spark, out).collect()]
+    write_windows(parts[-1], out)
+    write_windows(parts[-1].limit(0), out)
+    assert _read(spark, out) == once == _batch_board(st, 60, 20, datetime(2100, 1, 1))
+    assert [tuple(r) for r in report_text(spark, out).collect()] == text and len(once) > 20
+
+
+def test_report_of_windows(spark, tmp_path):
+    rows = [*ONE_WINDOW, *(_status(40 + i, 70 + i, ["hot"]) for i in range(5)), _status(50, 71), _status(51, 72, of=50)]
+    out = str(tmp_path / "out")
+    write_windows(social.tweet_board(spark.createDataFrame(rows, STATUS_SCHEMA), 60, 60, ordered=False), out)
+    text = "\n".join(r.value for r in report_text(spark, out).collect())
+    rule, line, dots = "=" * 50, "-" * 50, "." * 50
+    assert text.split("\n") == [
+        rule, " Time: Mon Jan 01 00:01:00 UTC 2024", rule,
+        "1. 2 x:u1:2 text 1", line, "2. 2 x:u2:1 text 2", line, "3. 0 None:u5:1 text 5", line,
+        rule, " Time: Mon Jan 01 00:02:00 UTC 2024", rule,
+        "4. 5 hot:u40:1 text 40", line, "5. 5 hot:u41:1 text 41", line, "6. 5 hot:u42:1 text 42", line, dots, "7. 0 None:u50:2 text 50", line,
+    ]
 
 
 def test_native_windowed_counts(spark, tmp_path):
