@@ -42,6 +42,12 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify_documents(_table(spark, sf, "documents")).drop("body_hash")
 
 
+def page_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The operator of op6 where all its evidence is there: markup, addresses and hosts of pages."""
+    found = langid.identify_pages(_table(spark, sf, "pages"), _table(spark, sf, "documents"))
+    return found.withColumnRenamed("doc_id", "page_id").drop("body_hash")
+
+
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     return toxicity.scored(docs, toxicity.learnt(docs, _table(spark, sf, "labels"))).drop("passages")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_hard_negatives": op11_hard_negatives,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_resampling": op13_resampling,
+    "page_language_id": page_language_id,
 }
 
 # The crc32 table by its rule: eight halvings of each byte, with the fixed polynomial.

@@ -68,3 +68,56 @@ def test_nothing_to_learn_and_empty_table(spark):
     assert langs == [] and [r.kept for r in langid.identify(spark.createDataFrame(documents()[:2], DOCS), langs, logs).collect()] == [False, False]
     langs, logs = langid.trained(spark.createDataFrame(documents(), DOCS))
     assert langid.identify(spark.createDataFrame([], DOCS), langs, logs).count() == 0
+
+
+def test_a_rare_language_does_not_swallow_foreign_texts(spark):
+    """Unequal training sizes: trigrams that no language has seen speak for none, and every language has its own floor."""
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 60, "bcdfg"), "aa", "h", 0) for i in range(400)] + [(1000 + i, prose(rng, 60, "prstv"), "cc", "h", 0) for i in range(4)]
+    langs, logs = langid.trained(spark.createDataFrame(rows, DOCS))
+    assert abs(logs[0].min() - logs[1].min()) < 1e-9
+    foreign = [(1, "これは日本語の文章です。" * 20), (2, "Это предложение написано по-русски и довольно длинное. " * 5), (3, "ÿþ×÷ " * 40)]
+    own = [(10, prose(rng, 60, "bcdfg")), (11, prose(rng, 60, "prstv"))]
+    docs = spark.createDataFrame([(d, t, None, "h", 0) for d, t in foreign + own], DOCS)
+    got = {r.doc_id: r for r in langid.identify(docs, langs, logs, F.col("source")).collect()}
+    assert [got[i].kept for i in (1, 2, 3)] == [False] * 3
+    assert [(got[i].language, got[i].kept) for i in (10, 11)] == [("aa", True), ("cc", True)]
+
+
+def test_sample_of_rows_that_share_an_id(spark):
+    """The sample is dealt by id and text: many rows without an id are neither all in nor all out."""
+    rng = random.Random(4)
+    rows = [(None, prose(rng, 20, "bcdfg"), "aa", "h", 0) for _ in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    _, logs = langid.trained(docs, sample_rows=200)
+    _, whole = langid.trained(docs, sample_rows=10_000)
+    assert 1e-6 < abs(logs - whole).max()  # a part
+    assert logs.max() > langid.smoothed(__import__("numpy").zeros((1, langid.CELLS))).max()  # and not nothing
+
+
+def test_evidence_of_addresses_and_markup(spark):
+    rows = [
+        ("http://www.example.de/x", '<!DOCTYPE html><html class="a" lang="DE-at">', "de", "www.example.de", "de"),
+        ("https://u@news.co.uk:8080", "<html LANG=en>", "en", "news.co.uk", "en"),
+        ("http://example.jp.", "<html xml:lang='fr'>", "ja", "example.jp.", None),
+        ("ftp://x.example.com/a.de", "<p lang='es'>", None, "x.example.com", None),
+        ("no address.de", "<htmlx lang='es'>", None, None, None), (None, None, None, None, None),
+    ]
+    got = spark.createDataFrame(rows, "url string, html string, suffix string, host string, declared string").select(
+        "*", langid.address_language(F.array("url")).alias("s"), langid.host_of(F.col("url")).alias("h"), langid.declared_language(F.col("html")).alias("d")).collect()
+    assert [(r.s, r.h, r.d) for r in got] == [r[2:] for r in rows]
+    many = spark.createDataFrame([("see http://a.at/ and http://b.de: or http://c.fr, (http://d.com)",)], "text string")
+    addresses = F.regexp_extract_all("text", F.lit(r"https?://[A-Za-z0-9.-]+"), F.lit(0))
+    assert many.select(langid.address_language(addresses).alias("s")).head().s == "de"
+
+
+def test_pages_use_all_evidence(spark):
+    train = spark.createDataFrame(documents(1, 120), DOCS)
+    rng = random.Random(6)
+    page = lambda i, letters, lang, url: (i, url, f"<html lang='{lang}'><script>x</script><body><p>{prose(rng, 40, letters)}</p></body></html>")
+    rows = [page(i, "hklmn", "bb", f"http://s.one.bb/{i}") for i in range(20)] + [page(100, "bcdfg", "aa", "http://t.two.aa/")]
+    rows += [(200, "http://s.one.bb/y", "<html><body>x</body></html>"), (201, "http://q.com/", "<html lang=cc>x</html>"), (202, None, "<p></p>"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.doc_id: r for r in langid.identify_pages(pages, train).collect()}
+    assert all(got[i].language == "bb" and got[i].kept for i in range(20)) and got[100].language == "aa"
+    assert got[200].language == "bb" and got[201].language == "cc" and got[202].language is None and not got[202].kept and len(got) == len(rows)
