@@ -7,44 +7,57 @@ of k would turn into k squared rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.numbering import numbered
-from millrace.plans.storage import materialize
+from millrace.plans.storage import bucketed, materialize
 
 UNREACHED = 100
 MAX_HOPS = 6
 
 
-def bfs_distance(edges: DataFrame, root: int, max_hops: int = MAX_HOPS) -> DataFrame:
+@dataclass
+class Clustered:
+    """Edges written twice, bucketed by person and by title, so that joins on either move only the other side."""
+
+    by_actor: DataFrame
+    by_movie: DataFrame
+
+
+def clustered(edges: DataFrame, buckets: int | None = None) -> Clustered:
+    """Write ``edges`` in both clusterings, in as many buckets as a shuffle has partitions unless told otherwise."""
+    spark = edges.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_actor = bucketed(edges.select("actor_id", "movie"), "actor_id", count, "edges_by_actor")
+    return Clustered(by_actor, bucketed(by_actor, "movie", count, "edges_by_movie"))
+
+
+def bfs_distance(edges: DataFrame | Clustered, root: int, max_hops: int = MAX_HOPS) -> DataFrame:
     """``actor_id, distance`` for everybody; people beyond ``max_hops`` get 100.
 
-    A hop is two semi joins: the new titles of the frontier, then the casts of those
-    titles, minus people already reached.  A title is expanded once.  Each frontier is written out, so that
-    plans stay short, a lost executor costs one hop at most, and a small frontier
-    is broadcast on its true size while a large one is shuffled.
+    A hop is two semi joins: the titles of the frontier, then the casts of those titles, minus people already reached.
+    Edges are clustered for both joins, so a hop moves the frontier and its titles, never the edges.  A title comes up for
+    the people who found it and once more for its cast.  Each frontier is written out, so that plans stay short, a lost
+    executor costs one hop at most, and a small frontier is broadcast on its true size while a large one is shuffled.
     """
-    edges = materialize(edges.select("actor_id", "movie"), "edges")
-    spark = edges.sparkSession
+    edges = edges if isinstance(edges, Clustered) else clustered(edges)
+    spark = edges.by_actor.sparkSession
     seed = spark.range(1).select(F.lit(root).cast("bigint").alias("actor_id"), F.lit(0).alias("distance"))
     frontier = materialize(seed, "hop")
-    reached, visited = [frontier], []
+    reached = [frontier]
     for hop in range(1, max_hops + 1):
-        titles = edges.join(frontier, "actor_id", "left_semi").select("movie").distinct()
-        if visited:
-            titles = titles.join(_all(visited), "movie", "left_anti")
-        titles = materialize(titles, "titles")
-        visited.append(titles)
-        cast = edges.join(titles, "movie", "left_semi").select("actor_id").distinct()
+        titles = edges.by_actor.join(frontier, "actor_id", "left_semi").select("movie").distinct()
+        cast = edges.by_movie.join(titles, "movie", "left_semi").select("actor_id").distinct()
         unseen = cast.join(_all(reached), "actor_id", "left_anti")
         frontier = materialize(unseen.withColumn("distance", F.lit(hop)), "hop")
         if frontier.isEmpty():
             break
         reached.append(frontier)
-    people = edges.select("actor_id").distinct()
+    people = edges.by_actor.select("actor_id").distinct()
     return people.join(_all(reached), "actor_id", "left").select(
         "actor_id", F.coalesce("distance", F.lit(UNREACHED)).alias("distance")
     )
@@ -67,6 +80,7 @@ def costar_counts(edges: DataFrame) -> DataFrame:
     A person in a title with a cast of k has k - 1 such rows there, so counting
     the casts gives the numbers without pairing anyone.
     """
+    edges = materialize(edges.select("actor_id", "movie"), "edges")
     casts = materialize(edges.groupBy("movie").agg((F.count("*") - 1).alias("others")), "casts")
     return edges.join(casts, "movie").groupBy("actor_id").agg(F.count("*").alias("titles"), F.sum("others").alias("shared"))
 

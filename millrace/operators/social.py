@@ -109,22 +109,10 @@ def tweet_board(
     Rows stay narrow while they are joined: user and text come last, and with
     ``details=False`` are left to ``board_details``, after a top-n for instance.
     """
-    # Both are written first, see `tag_popularity`.
-    shared = retweet_counts(statuses, window, slide).select("window_start", "id", F.col("n").alias("shares"))
-    shared = materialize(shared, "shares")
-    counts = hashtag_counts(statuses, window, slide).select("window_start", F.col("tag").alias("tag_key"), F.col("n").alias("uses"))
-    counts = materialize(counts, "uses")
-    # A NULL tag would send every untagged status of a window to one task; a key of
-    # its own matches no count either, and spreads.
-    own_key = F.coalesce(F.col("tag"), F.concat(F.lit("\u0000"), F.col("id").cast("string")))
-    rows = (
-        originals(filter_lang(statuses))
-        .select("id", "ts", F.get("hashtags", F.lit(0)).alias("tag"))
-        .transform(tweet_windows, window, slide)
-        .join(shared, ["window_start", "id"], "left")
-        .withColumn("tag_key", own_key)
-        .join(counts, ["window_start", "tag_key"], "left")
-    )
+    if window % slide:
+        rows = _expanded_board(statuses, window, slide)
+    else:
+        rows = _bucketed_board(statuses, window, slide)
     board = drop_unique_unshared(
         rows.select(
             "window_start",
@@ -139,6 +127,71 @@ def tweet_board(
     return board.orderBy(*_board_order()) if ordered else board
 
 
+# A NULL tag would send every untagged status of a window to one task; a key of its own matches no count either, and spreads.
+def _own_key() -> Column:
+    return F.coalesce(F.col("tag"), F.concat(F.lit("\u0000"), F.col("id").cast("string")))
+
+
+def _expanded_board(statuses: DataFrame, window: int, slide: int) -> DataFrame:
+    """The board's rows with ``uses`` and ``shares``, each status in each of its windows before the joins."""
+    # Both are written first, see `tag_popularity`.
+    shared = retweet_counts(statuses, window, slide).select("window_start", "id", F.col("n").alias("shares"))
+    shared = materialize(shared, "shares")
+    counts = hashtag_counts(statuses, window, slide).select("window_start", F.col("tag").alias("tag_key"), F.col("n").alias("uses"))
+    counts = materialize(counts, "uses")
+    return (
+        originals(filter_lang(statuses))
+        .select("id", "ts", F.get("hashtags", F.lit(0)).alias("tag"))
+        .transform(tweet_windows, window, slide)
+        .join(shared, ["window_start", "id"], "left")
+        .withColumn("tag_key", _own_key())
+        .join(counts, ["window_start", "tag_key"], "left")
+    )
+
+
+def _bucketed_board(statuses: DataFrame, window: int, slide: int) -> DataFrame:
+    """The same, a status once in both joins; its windows are made inside its row at the end.
+
+    What happens is counted by slide-wide bucket.  A status in bucket ``b`` lies in the ``window / slide`` windows that begin
+    from ``b - window / slide + 1`` to ``b``, and finds the counts of all of them in one array.
+    """
+    step, spans = slide * 1_000_000, window // slide
+    bucket = F.floor(F.unix_micros("ts") / step)
+    spoken = filter_lang(statuses)
+    own = originals(spoken).select("id", bucket.alias("bucket"), "hashtags")
+    tags = own.select("bucket", F.explode("hashtags").alias("key"))
+    shared = retweets(spoken).select(bucket.alias("bucket"), F.col("retweet_of.id").alias("key"))
+    uses = _by_window(tags, tags.select("key", "bucket"), spans, "uses")
+    shares = _by_window(shared, own.select(F.col("id").alias("key"), "bucket"), spans, "shares")
+    statuses = own.select("id", "bucket", F.get("hashtags", F.lit(0)).alias("tag")).withColumn("tag_key", _own_key())
+    joined = (
+        statuses.join(shares.withColumnRenamed("key", "id"), ["id", "bucket"], "left")
+        .join(uses.withColumnRenamed("key", "tag_key"), ["tag_key", "bucket"], "left")
+        .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(spans - 1))))
+    )
+    start = F.timestamp_micros((F.col("bucket") - (spans - 1) + F.col("_k")) * step)
+    return joined.select(
+        "id", "tag", start.alias("window_start"), (start + F.make_dt_interval(secs=F.lit(window))).alias("window_end"),
+        F.get("uses", F.col("_k")).alias("uses"), F.nullif(F.get("shares", F.col("_k")), F.lit(0)).alias("shares"),
+    )
+
+
+def _by_window(events: DataFrame, asked: DataFrame, spans: int, name: str) -> DataFrame:
+    """``key, bucket, <name>``: for each asked key and bucket, the key's events in each of the ``spans`` windows over the bucket.
+
+    Counted buckets send their count to the buckets whose windows they share, at most ``2 * spans - 1`` of them; an asked
+    bucket adds up what reaches it, so nothing grows with a key's events or its span of time.
+    """
+    counted = events.groupBy("key", "bucket").agg(F.count("*").alias("n")).filter("key IS NOT NULL AND bucket IS NOT NULL")
+    near = F.sequence(F.col("bucket") - (spans - 1), F.col("bucket") + (spans - 1))
+    sent = counted.select("key", F.explode(near).alias("to"), "bucket", "n").select(
+        "key", F.col("to").alias("bucket"), (F.col("bucket") - F.col("to")).alias("off"), "n")
+    # Window k of an asked bucket covers offsets k - spans + 1 to k.
+    sums = [F.coalesce(F.sum(F.when(F.col("off").between(k - spans + 1, k), F.col("n"))), F.lit(0)).alias(f"_{k}") for k in range(spans)]
+    return sent.join(asked.distinct(), ["key", "bucket"], "left_semi").groupBy("key", "bucket").agg(*sums).select(
+        "key", "bucket", F.array(*(f"_{k}" for k in range(spans))).alias(name))
+
+
 def board_details(board: DataFrame, statuses: DataFrame) -> DataFrame:
     """Adds ``user`` and ``text`` of each row's status; rows without an id get NULLs."""
     texts = originals(statuses).groupBy("id").agg(F.min(F.struct("user", "text")).alias("_status"))

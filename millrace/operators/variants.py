@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.plans.islands import carried, same_part
 from millrace.plans.numbering import chained, next_above, running_sums
 from millrace.plans.storage import materialize
 
 REGION_SIZE = 1_000_000
-CHUNK_BIN = 1 << 16
 CALL_KEY = ["chrom", "pos", "ref", "alt"]
 
 
@@ -54,27 +54,23 @@ def density_rejects(variants: DataFrame, index: DataFrame) -> DataFrame:
 def variant_density_chunks(variants: DataFrame, index: DataFrame, size: int = REGION_SIZE) -> DataFrame:
     """``chrom, idx, chunk, n``: variants per run of ``size`` distinct positions, from 0, by position.
 
-    The rank of a position is the number of distinct positions in earlier bins
-    plus its rank in its own bin, so no task holds more than one bin of a contig.
+    Positions are sorted over all tasks; the rank of one is its rank in its sort partition plus the positions of its contig
+    in earlier partitions, which come from a table with a row for each partition and contig.
     """
-    # A bin that cannot be NULL, and a count that both uses need, let them share one exchange.
     sites = (
         variants.filter(F.col("pos").isNotNull())
-        .groupBy("chrom", "pos")
+        .groupBy(F.col("chrom").alias("_key"), "pos")
         .agg(F.count("*").alias("n"))
-        .withColumn("_bin", F.coalesce(F.floor(F.col("pos") / CHUNK_BIN), F.lit(0)))
+        .repartitionByRange("_key", "pos")
+        .withColumn("_part", F.spark_partition_id())
     )
-    earlier = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        sites.groupBy("chrom", "_bin")
-        .agg(F.count_if(F.col("n") > 0).alias("_sites"))
-        .select("chrom", "_bin", F.coalesce(F.sum("_sites").over(earlier), F.lit(0)).alias("_before"))
-    )
-    in_bin = Window.partitionBy("chrom", "_bin").orderBy("pos")
+    sites = materialize(sites, "sites")
+    before = carried(sites, F.count("*"), "_before", F.sum)
+    inside = Window.partitionBy("_key", "_part").orderBy("pos")
     chunks = (
-        sites.join(before, ["chrom", "_bin"])
-        .withColumn("chunk", F.floor((F.col("_before") + F.row_number().over(in_bin) - 1) / size).cast("int"))
-        .groupBy("chrom", "chunk")
+        sites.join(before, same_part("_before"))
+        .withColumn("chunk", F.floor((F.coalesce("_before", F.lit(0)) + F.row_number().over(inside) - 1) / size).cast("int"))
+        .groupBy(F.col("_key").alias("chrom"), "chunk")
         .agg(F.sum("n").alias("n"))
     )
     names = index.select(F.col("name").alias("chrom"), F.col("contig_no").alias("idx"))
@@ -116,7 +112,7 @@ def region_pack(density: DataFrame, regions: int, part_size: int = REGION_SIZE)
     rows = materialize(running_sums(counts, [F.col("idx"), F.col("region")], "n").select("place", "before"), "running")
     # A closed region holds more than a share, so there are fewer than `regions`.
     return chained(next_above(rows, "before", share), 0, regions).select(
-        F.col("step").alias("region"), (F.col("place") * part_size).cast("double").alias("start"), (F.col("next") * part_size).cast("double").alias("end"))
+        F.col("step").alias("region"), (F.col("place") * part_size).cast("double").alias("start"), (F.col("next") * part_size).cast("double").alias("end")).orderBy("region")
 
 
 def chrom_number(variants: DataFrame) -> DataFrame:

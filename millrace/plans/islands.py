@@ -2,43 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BIN_WIDTH = 1 << 16
+from millrace.plans.storage import materialize
 
 
-def merged(df: DataFrame, key: str, start: str, end: str, gap: int, bin_width: int = BIN_WIDTH) -> DataFrame:
-    """Union of the intervals of each ``key``; the next one joins while ``start <= furthest end + gap``.
+def merged(df: DataFrame, key: str, start: str, end: str, gap: int) -> DataFrame:
+    """Union of the intervals of each ``key``; the next one joins while ``start <= furthest end + gap``.  Rows with a NULL are left out.
 
-    A window over a whole ``key`` would hold one contig in one task, so the axis
-    is cut into bins of start positions.  Copies collapse first, to one row per
-    distinct start, which bounds a bin at ``bin_width`` rows.  Only two numbers
-    travel between bins, both as running maxima over a table with one row per
-    bin: the furthest end seen so far, and the latest start that opened an island.
+    A two-level scan.  Copies of a start collapse to one row, and rows are dealt to ranges of key and start over all tasks.
+    Running maxima are taken inside each sort partition, and only two numbers for each partition and key travel on, both as
+    running maxima over a table with one row for each of them: the furthest end seen so far, and the latest start that opened
+    an island.  Partitions hold alike many rows however the starts are spread, so neither a long nor a sparse key meets in
+    one task.
     """
-    # A bin that cannot be NULL lets all uses of this table share one exchange: a
-    # not-NULL test on it would reach the scan of some of them only.
     starts = (
-        df.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(start).cast("bigint").alias("_start"))
-        .agg(F.max(F.col(end).cast("bigint")).alias("_end"))
-        .withColumn("_bin", F.coalesce(F.floor(F.col("_start") / bin_width), F.lit(0)))
+        df.filter(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull())
+        .select(F.col(key).alias("_key"), F.col(start).cast("bigint").alias("_start"), F.col(end).cast("bigint").alias("_end"))
+        .groupBy("_key", "_start")
+        .agg(F.max("_end").alias("_end"))
+        .repartitionByRange("_key", "_start")
+        .withColumn("_part", F.spark_partition_id())
     )
-    in_bin = Window.partitionBy("_key", "_bin").orderBy("_start")
+    starts = materialize(starts, "starts")
+    inside = Window.partitionBy("_key", "_part").orderBy("_start")
 
-    reach = _carried(starts, F.max("_end"), "_reach")
-    seen = F.max("_end").over(in_bin.rowsBetween(Window.unboundedPreceding, -1))
+    reach = carried(starts, F.max("_end"), "_reach")
+    seen = F.max("_end").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     flagged = (
-        starts.join(reach, ["_key", "_bin"])
+        starts.join(reach, same_part("_reach"))
         .withColumn("_seen", F.greatest(seen, "_reach"))
         .withColumn("_opens", F.when(F.col("_seen").isNull() | (F.col("_start") > F.col("_seen") + gap), F.col("_start")))
+        .select("_key", "_part", "_start", "_end", "_opens")
     )
 
-    opened = _carried(flagged, F.max("_opens"), "_opened")
-    here = F.max("_opens").over(in_bin.rowsBetween(Window.unboundedPreceding, 0))
+    opened = carried(flagged, F.max("_opens"), "_opened")
+    here = F.max("_opens").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        flagged.join(opened, ["_key", "_bin"])
+        flagged.join(opened, same_part("_opened"))
         .withColumn("_island", F.coalesce(here, "_opened"))
         .groupBy("_key", "_island")
         .agg(F.max("_end").alias("_far"))
@@ -46,9 +50,17 @@ def merged(df: DataFrame, key: str, start: str, end: str, gap: int, bin_width: i
     )
 
 
-def _carried(rows: DataFrame, summary: Column, name: str) -> DataFrame:
-    """Per bin, the largest ``summary`` over all earlier bins of the same key."""
-    earlier = Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.groupBy("_key", "_bin").agg(summary.alias("_summary")).select("_key", "_bin", F.max("_summary").over(earlier).alias(name))
+def same_part(name: str) -> Column:
+    """The join of rows with what ``carried`` brings to their key and sort partition."""
+    return (F.col("_key") == F.col(f"{name}_key")) & (F.col("_part") == F.col(f"{name}_part"))
+
+
+def carried(rows: DataFrame, summary: Column, name: str, added: Callable[[str], Column] = F.max) -> DataFrame:
+    """For each key and sort partition, ``summary`` of all earlier partitions of the key, put together by ``added``.
+
+    There is one row for each key and partition it lies in: at most the keys plus the partitions.
+    """
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.groupBy("_key", "_part").agg(summary.alias("_summary")).select(
+        F.col("_key").alias(f"{name}_key"), F.col("_part").alias(f"{name}_part"), added("_summary").over(earlier).alias(name)
     )

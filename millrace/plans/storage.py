@@ -41,6 +41,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """``materialize`` in ``buckets`` files by a hash of ``column``: joins and groupings on it need no shuffle of these rows.
+
+    Spark keeps bucketing in its catalog, so the table has a name there until the application ends or drops it.
+    """
+    path, name = fresh_path(df.sparkSession, label), f"millrace_{label}_{uuid.uuid4().hex}"
+    df.repartition(buckets, column).write.bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the checkpoint folder, removed with the intermediate tables."""
     path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"

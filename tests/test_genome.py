@@ -127,12 +127,37 @@ def _merge_by_hand(rows, gap):
     return sorted(tuple(x) for x in out)
 
 
-@pytest.mark.parametrize("width", [1, 7, 64, 1 << 16])
+@pytest.fixture(params=[1, 3, 16])
+def sort_partitions(spark, request):
+    """Scans over so many sort partitions, however few rows there are."""
+    names = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_ranks_of_positions_over_sort_partitions(spark, sort_partitions):
+    rng = random.Random(sort_partitions)
+    rows = [(rng.choice(["chr1", "chr2", "chrX"]), rng.choice([rng.randrange(50), rng.randrange(10**9)])) for _ in range(400)]
+    index = spark.createDataFrame([(0, "chr1", 9), (1, "chr2", 9)], "contig_no int, name string, length bigint")
+    got = variants.variant_density_chunks(spark.createDataFrame(rows, "chrom string, pos bigint"), index, size=10)
+    want = {}
+    for k, name in enumerate(["chr1", "chr2"]):
+        ranks = {p: i // 10 for i, p in enumerate(sorted({p for c, p in rows if c == name}))}
+        for c, p in rows:
+            if c == name:
+                want[name, k, ranks[p]] = want.get((name, k, ranks[p]), 0) + 1
+    assert {(r.chrom, r.idx, r.chunk): r.n for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("gap", [0, 3, 51])
-def test_merging_over_bins(spark, width, gap):
-    rng = random.Random(width + gap)
+def test_merging_over_sort_partitions(spark, sort_partitions, gap):
+    rng = random.Random(sort_partitions + gap)
     rows = [("k", s, s + rng.choice([0, 1, 5, 40, 300])) for s in (rng.randrange(4000) for _ in range(120))] + [("j", 1, 900), ("j", 5, 6), ("j", 960, 970)]
-    got = merged(spark.createDataFrame(rows, "key string, start bigint, end bigint"), "key", "start", "end", gap, width)
+    got = merged(spark.createDataFrame(rows, "key string, start bigint, end bigint"), "key", "start", "end", gap)
     assert sorted(map(tuple, got.collect())) == _merge_by_hand(rows, gap)
 
 
@@ -239,3 +264,16 @@ def test_concordance(spark):
     b = spark.createDataFrame([("chr1", 1, "A", "C"), ("chr1", 3, "A", "T"), ("chr1", 9, "A", "C")], schema)
     assert tuple(variants.variant_concordance(a, b).first()) == (3, 1, 2)
     assert variants.variant_common(a, b).count() == 1 and variants.variant_missing(a, b).count() == 2
+
+
+def test_long_intervals_meet_short_ones_in_few_rows(spark):
+    """Lengths from 1 to a whole contig on both sides, against all pairs; a long interval makes a handful of rows."""
+    rng = random.Random(8)
+    make = lambda n: [(rng.randrange(2), s, s + rng.choice([1, 7, 500, 40_000, 3_000_000, 240_000_000])) for s in (rng.randrange(250_000_000) for _ in range(n))]
+    rows = {"a": make(150) + [(0, 5, 5), (1, -7, 3)], "b": make(120) + [(0, 0, 250_000_000)]}
+    dfs = {k: spark.createDataFrame(v, "chrom int, start bigint, end bigint") for k, v in rows.items()}
+    want = sorted((c, max(s, t), min(e, f)) for c, s, e in rows["a"] for d, t, f in rows["b"] if c == d and s < e and t < f and max(s, t) < min(e, f))
+    assert sorted(map(tuple, intervals.interval_intersect(dfs["a"], dfs["b"]).collect())) == want
+    homes = sorted({r["_home"] for r in intervals._at_home(dfs["a"], "chrom", intervals.OVERLAP_BIN).collect()})
+    whole = spark.createDataFrame([(0, 0, 250_000_000)], "chrom int, start bigint, end bigint")
+    assert intervals._in_bins(intervals._at_home(whole, "chrom", intervals.OVERLAP_BIN), "b", "chrom", homes, intervals.OVERLAP_BIN).count() <= 2 * len(homes)

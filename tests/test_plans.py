@@ -75,6 +75,12 @@ def test_intermediate_tables_can_be_removed(spark):
     assert not exists(spark, path)
 
 
+def QUERY_STATUSES(spark):
+    from workload import tables
+
+    return tables.statuses(spark, SF)
+
+
 SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
@@ -117,3 +123,56 @@ def test_rows_without_an_id_are_not_joined(skewed):
         "cast(null AS struct<id:bigint,user:string,text:string>) AS retweet_of")
     got = social.board_details(board, statuses)
     assert got.count() == 3000 and got.filter("user IS NOT NULL").count() == 2
+
+
+def _exchanged_tables(plan: str) -> list[str]:
+    """Tables that are read below an exchange of rows (not a broadcast)."""
+    found, open_at = [], []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        open_at = [d for d in open_at if d < depth]
+        if re.search(r"\bExchange (hash|range|Round|Single)", line):
+            open_at.append(depth)
+        if "FileScan" in line and open_at:
+            found.append(line)
+    return found
+
+
+def test_a_hop_moves_no_edges(spark):
+    """Joins on person or title read bucketed edges in place, with a frontier too large to broadcast as well."""
+    pairs = spark.range(2000).select(F.col("id").alias("actor_id"), (F.col("id") % 50).alias("movie"))
+    edges = graph.clustered(pairs)
+    frontier = materialize(spark.range(500).select(F.col("id").alias("actor_id")), "frontier")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        titles = edges.by_actor.join(frontier, "actor_id", "left_semi").select("movie")
+        cast = edges.by_movie.join(frontier.withColumnRenamed("actor_id", "movie"), "movie", "left_semi").select("actor_id")
+        for df, table in ((titles, "edges_by_actor"), (cast, "edges_by_movie")):
+            plan = _plan(df)
+            assert table in plan and not any(table in line for line in _exchanged_tables(plan))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert graph.bfs_distance(edges, 0).filter("distance = 1").count() == 39
+
+
+def test_statuses_are_not_multiplied_before_the_joins(spark):
+    """Windows of a status are made above both joins of the board."""
+    rows = social.tweet_board(QUERY_STATUSES(spark), 7200, 600, ordered=False, details=False)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    made = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+    joins = [i for i, x in enumerate(lines) if re.search(r"Join LeftOuter", x)]
+    assert len(joins) == 2 and all(i > made and depth(lines[i]) > depth(lines[made]) for i in joins)
+
+
+def test_one_long_key_is_scanned_by_many_tasks(skewed):
+    """Islands and ranks of one sparse contig: sort partitions share its rows alike."""
+    from millrace.plans.islands import merged
+
+    df = skewed.range(0, 40_000, 1, 8).selectExpr("1 AS k", "id * 1000003 AS s", "id * 1000003 + if(id % 4 = 0, 1000003, 5) AS e")
+    got = merged(df, "k", "s", "e", 0)
+    assert got.count() == 30_000
+    written = {f.rsplit("/", 1)[0] for f in got.inputFiles() if "/starts-" in f}
+    sizes = [r["count"] for r in skewed.read.parquet(written.pop()).groupBy("_part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 3 * 40_000 / len(sizes)

@@ -224,20 +224,20 @@ def bfs_distance(spark, sf):
 
 @query
 def distance_histogram(spark, sf):
-    edges = materialize(_edges(spark, sf), "edges")
-    return graph.distance_histogram(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT))
+    edges = graph.clustered(_edges(spark, sf))
+    return graph.distance_histogram(t.actors(spark, sf, edges.by_actor), graph.bfs_distance(edges, t.ROOT))
 
 
 @query
 def separation_summary(spark, sf):
-    edges = materialize(_edges(spark, sf), "edges")
-    return graph.separation_summary(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT), edges)
+    edges = graph.clustered(_edges(spark, sf))
+    return graph.separation_summary(t.actors(spark, sf, edges.by_actor), graph.bfs_distance(edges, t.ROOT), edges.by_movie)
 
 
 @query
 def people_at_distance(spark, sf):
-    edges = materialize(_edges(spark, sf), "edges")
-    return graph.people_at_distance(t.actors(spark, sf, edges), graph.bfs_distance(edges, t.ROOT))
+    edges = graph.clustered(_edges(spark, sf))
+    return graph.people_at_distance(t.actors(spark, sf, edges.by_actor), graph.bfs_distance(edges, t.ROOT))
 
 
 # Variants
