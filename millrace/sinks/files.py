@@ -10,10 +10,10 @@ def write_phone_index(index: DataFrame, out: str) -> None:
     index.write.mode("overwrite").parquet(out)
 
 
-def write_freq(freq: DataFrame, out: str) -> None:
-    """Nested text of a ``word_freq`` result: ``word:n``, then ``<tab>pred:n`` for each predecessor.
+def freq_lines(freq: DataFrame) -> DataFrame:
+    """``value``: nested lines of a ``word_freq`` result, ``word:n``, then ``<tab>pred:n`` for each predecessor, in order.
 
-    One sort orders both kinds of line; files in name order read as one text.
+    One sort orders both kinds of line.
     """
     heads = freq.select("word", "n").distinct().withColumns({
         "pred": F.lit(None).cast("string"), "pred_n": F.lit(None).cast("bigint"), "level": F.lit(0),
@@ -23,14 +23,21 @@ def write_freq(freq: DataFrame, out: str) -> None:
         F.concat(F.lit("\t"), F.concat_ws(":", "pred", "pred_n"))
     )
     ordered = heads.unionByName(rows).orderBy(F.desc("n"), "word", "level", F.desc("pred_n"), "pred")
-    ordered.select(line.alias("value")).write.mode("overwrite").text(out)
+    return ordered.select(line.alias("value"))
+
+
+def write_freq(freq: DataFrame, out: str) -> None:
+    """The lines of ``freq_lines``; files in name order read as one text."""
+    write_lines(freq_lines(freq), out)
+
+
+def density_lines(density: DataFrame) -> DataFrame:
+    """``value``: ``chrom, idx, region, n`` by contig and region, tab separated."""
+    return density.orderBy("idx", "region").select(F.concat_ws("\t", "chrom", "idx", "region", "n").alias("value"))
 
 
 def write_density(density: DataFrame, out: str) -> None:
-    """``chrom, idx, region, n`` by contig and region, tab separated."""
-    density.orderBy("idx", "region").select(F.concat_ws("\t", "chrom", "idx", "region", "n").alias("value")).write.mode(
-        "overwrite"
-    ).text(out)
+    write_lines(density_lines(density), out)
 
 
 def write_variants(ordered: DataFrame, out: str) -> None:

@@ -353,3 +353,39 @@ ORACLES["interleave_chunks"] = """WITH mates AS (SELECT o_orderkey AS pair, unne
     o_orderpriority AS seq, repeat(chr(CAST(64 + o_custkey % 40 AS INT)), 5) AS qual FROM orders)
 SELECT CAST((pair * 2 + mate) // 16384 AS INT) AS chunk, CAST((pair * 2 + mate) % 16384 AS INT) AS slot, pair, mate,
     name || CASE mate WHEN 1 THEN '/2' ELSE '' END AS name, CASE mate WHEN 1 THEN reverse(seq) ELSE seq END AS seq, qual FROM mates"""
+
+# Lines as the writers put them, and the parsers of single lines
+
+ORACLES["multiword_segments"] = _with(LINES, SEGMENTS) + "SELECT array_to_string(w, ' ') AS segment FROM ws WHERE len(w) > 1"
+ORACLES["script_tests"] = _with(LINES) + r"""SELECT doc_id, regexp_matches(line, '[\x{3040}-\x{309F}]') OR length(line) % 5 = 0 AS hiragana,
+    regexp_matches(line, '\p{Hangul}') OR length(line) % 5 = 1 AS hangul FROM a1"""
+ORACLES["word_freq_lines"] = _with(LINES, SEGMENTS, COUNTS, BIGRAMS) + (
+    "SELECT word || ':' || n AS value FROM counts UNION ALL SELECT chr(9) || b.pred || ':' || b.n FROM counts c JOIN bigrams b ON b.word = c.word"
+)
+ORACLES["density_text"] = _with(VARIANTS, CONTIGS, DENSITY) + "SELECT concat_ws(chr(9), chrom, idx, region, n) AS value FROM density"
+ORACLES["bed_lines"] = _with(READS, MAPPED, COVERED) + 'SELECT concat_ws(chr(9), ref_index, start - 1, "end") AS value FROM islands'
+ORACLES["bed_lines_compatible"] = _with(READS, MAPPED, COVERED) + 'SELECT concat_ws(chr(9), ref_index, start - 1, "end" - 1) AS value FROM islands'
+ORACLES["region_strings"] = _with(READS, MAPPED, COVERED) + "SELECT ref_index || ':' || start || '-' || \"end\" AS value FROM islands"
+ORACLES["sam_reads"] = _with(CONTIGS) + """SELECT l_orderkey || '_' || l_linenumber AS qname,
+    CAST(CASE WHEN l_returnflag = 'R' THEN 4 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 16 ELSE 0 END AS INT) AS flag,
+    'chr' || (l_suppkey % 27) AS rname, l_partkey * 50 + l_linenumber AS pos, 60 AS mapq,
+    CAST(l_quantity AS BIGINT) || 'M2I' || l_linenumber || 'D3S' AS cigar, '=' AS rnext, l_partkey * 50 + l_linenumber AS pnext, 0 AS tlen,
+    'ACGT' AS seq, repeat(l_returnflag, 4) AS qual,
+    CAST(l_partkey * 50 + l_linenumber + CAST(l_quantity AS BIGINT) + l_linenumber - 1 AS BIGINT) AS align_end,
+    l_returnflag = 'R' AS unmapped, CASE WHEN l_linestatus = 'F' THEN '-' ELSE '+' END AS strand, c.idx AS ref_index
+FROM lineitem LEFT JOIN contigs c ON c.name = 'chr' || (l_suppkey % 27) WHERE l_linenumber NOT IN (6, 7)"""
+ORACLES["people_records"] = """SELECT s_name AS name, true AS is_male,
+    'Film (' || (2000 + s_suppkey % 20) || ')' || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE '|Two' END AS titles FROM supplier WHERE s_suppkey % 11 <> 0"""
+ORACLES["chunk_ids"] = """SELECT CASE WHEN o_orderkey % 9 = 0 THEN 'done.txt' ELSE printf('fastq_%06d.fq', o_orderkey) END AS value,
+    CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderkey AS INT) END AS chunk FROM orders"""
+ORACLES["separation_lines"] = _with(
+    EDGES, ACTORS, BFS, HISTOGRAM,
+    "sums AS (SELECT count(*) AS p, count(*) FILTER (is_male) AS m, count(*) FILTER (NOT is_male) AS f FROM people)",
+    "last6 AS (SELECT p.is_male, row_number() OVER (PARTITION BY p.is_male ORDER BY p.name, p.actor_id) AS place, p.name"
+    " FROM people p JOIN dist d USING (actor_id) WHERE d.distance = 6)",
+) + """SELECT printf('Total number of actors = %d, out of which %d (%d%%) are males while %d (%d%%) are females.', p, m, m * 100 // p, f, f * 100 // p) AS line FROM sums
+UNION ALL SELECT 'Total number of movies = ' || count(DISTINCT movie) FROM e
+UNION ALL SELECT unnest(['', '', '', 'List of male actors at distance 6:', 'List of female actors (actresses) at distance 6:'])
+UNION ALL SELECT printf('There are %d (%.1f%%) actors and %d (%.1f%%) actresses at distance %d', males, males * 100.0::DOUBLE / m, females, females * 100.0::DOUBLE / f, distance)
+    FROM histogram, sums
+UNION ALL SELECT place || '. ' || name FROM last6"""

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.status import clean_status
+from millrace.functions.status import clean_status, has_hangul, has_hiragana
 from millrace.operators import graph, intervals, langs, people, phones, reads, social, variants, words
 from millrace.sources.archive import parse_wet, split_manifest
-from millrace.sources.genome import parse_variants
+from millrace.sinks.files import density_lines, freq_lines, to_bed, to_region_strings
+from millrace.sources.genome import parse_sam, parse_variants
 from millrace.sources.text import trim_list_file
 from millrace.plans.storage import materialize
 from workload import tables as t
@@ -391,3 +392,64 @@ def interleave_chunks(spark, sf):
     mates = t.raw_reads(spark, sf).select("pair", "name", "seq", "qual")
     second = mates.withColumns({"name": F.concat("name", F.lit("/2")), "seq": F.reverse("seq")})
     return reads.interleave_chunks(mates, second)
+
+
+# Lines as the writers put them, and the parsers of single lines
+
+
+@query
+def multiword_segments(spark, sf):
+    return words.multiword(words.segments(t.lines(spark, sf))).select(F.concat_ws(" ", "words").alias("segment"))
+
+
+@query
+def script_tests(spark, sf):
+    lines = t.foreign_lines(spark, sf)
+    return lines.select("doc_id", has_hiragana(F.col("line")).alias("hiragana"), has_hangul(F.col("line")).alias("hangul"))
+
+
+@query
+def word_freq_lines(spark, sf):
+    return freq_lines(words.word_freq(t.documents(spark, sf), "text"))
+
+
+@query
+def density_text(spark, sf):
+    return density_lines(_density(spark, sf))
+
+
+@query
+def bed_lines(spark, sf):
+    return to_bed(_covered(spark, sf), chrom="ref_index")
+
+
+@query
+def bed_lines_compatible(spark, sf):
+    return to_bed(_covered(spark, sf), chrom="ref_index", bed_compat=True)
+
+
+@query
+def region_strings(spark, sf):
+    return to_region_strings(_covered(spark, sf), chrom="ref_index")
+
+
+@query
+def sam_reads(spark, sf):
+    return parse_sam(t.sam_lines(spark, sf), t.contigs(spark, sf))
+
+
+@query
+def people_records(spark, sf):
+    return people.parse_people(t.people_records(spark, sf), True).withColumn("titles", F.concat_ws("|", "titles"))
+
+
+@query
+def chunk_ids(spark, sf):
+    return reads.chunk_id(t.marker_names(spark, sf))
+
+
+@query
+def separation_lines(spark, sf):
+    edges = graph.clustered(_edges(spark, sf))
+    report = graph.separation_report(t.actors(spark, sf, edges.by_actor), graph.bfs_distance(edges, t.ROOT), edges.by_movie)
+    return report.filter("section IN (0, 1, 3, 4)").select("line")

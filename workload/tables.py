@@ -187,3 +187,33 @@ def list_lines(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat_ws("\t", "s_name", F.lit("Film (2012)")))
     )
     return suppliers.select((F.col("s_suppkey") + 1).alias("line_no"), value.alias("value"))
+
+
+def sam_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Reads as SAM lines: a header line in place of some, too few fields in others, contig names that no dictionary has."""
+    start = F.col("l_partkey") * 50 + F.col("l_linenumber")
+    flag = F.when(F.col("l_returnflag") == "R", 4).otherwise(0) + F.when(F.col("l_linestatus") == "F", 16).otherwise(0)
+    name = F.concat_ws("_", "l_orderkey", "l_linenumber")
+    cigar = F.concat(F.col("l_quantity").cast("bigint"), F.lit("M2I"), "l_linenumber", F.lit("D3S"))
+    row = F.concat_ws("\t", name, flag, F.concat(F.lit("chr"), F.col("l_suppkey") % 27), start, F.lit(60), cigar, F.lit("="), start, F.lit(0), "l_shipmode_", "l_qual_")
+    lines = table(spark, sf, "lineitem").withColumns({"l_shipmode_": F.lit("ACGT"), "l_qual_": F.repeat(F.col("l_returnflag"), F.lit(4))})
+    value = F.when(F.col("l_linenumber") == 6, F.concat(F.lit("@CO\t"), name)).when(F.col("l_linenumber") == 7, F.concat_ws("\t", name, F.lit("0"))).otherwise(row)
+    return lines.select(value.alias("value"))
+
+
+def people_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw people records: a name, blank fields and line breaks between tabs, titles."""
+    value = "s_name || chr(9) || chr(9) || 'Film (' || (2000 + s_suppkey % 20) || ')' || chr(10) || chr(9) || case when s_suppkey % 3 = 0 then '' else 'Two' end || chr(9)"
+    return table(spark, sf, "supplier").selectExpr(f"case when s_suppkey % 11 = 0 then chr(9) || chr(9) else {value} end as value")
+
+
+def marker_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of chunk files, some without a number."""
+    key = F.col("o_orderkey")
+    return table(spark, sf, "orders").select(F.when(key % 9 == 0, "done.txt").otherwise(F.format_string("fastq_%06d.fq", key.cast("bigint"))).alias("value"))
+
+
+def foreign_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of documents, some with a letter of another script in front."""
+    letter = F.when(F.length("line") % 5 == 0, "あ").when(F.length("line") % 5 == 1, "한").when(F.length("line") % 5 == 2, "ア").otherwise("")
+    return lines(spark, sf).select("doc_id", F.concat(letter, F.col("line")).alias("line"))
