@@ -165,6 +165,68 @@ def pack_documents(
     return small_batches(docs).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(pack, SCHEMA)
 
 
+TURNS = "conv_id bigint, turn bigint, start bigint, length bigint, loss_tokens bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
+
+
+def pack_conversations(
+    turns: DataFrame, tokenizer: str, tokens: int = 2048, segments: int = 16, loss: int = 1024, end_id: int = 1, trained: tuple[str, ...] = ("assistant",)
+) -> DataFrame:
+    """``conv_id, turn, start, length, loss_tokens, ids_crc32, sequence_id, offset``: one row for each piece of a conversation.
+
+    ``turns`` has ``conv_id, turn, role, text``.  The ids of a conversation are those of its turns in order, each with
+    ``end_id`` behind it; the ids of turns of the ``trained`` roles and their ends bear loss.  A sequence holds at most
+    ``tokens`` ids, ``segments`` pieces and ``loss`` loss-bearing ids, whichever is reached first.  ``start`` counts from the
+    first turn of a piece's stretch (``turn``): a conversation that one task does not hold whole, or that reaches ``tokens``
+    ids, goes on as a further stretch.  NULL texts are empty, NULL roles bear no loss, rows with equal numbers go by role and
+    text, rows without a conversation are one conversation each; an empty table gives no rows.
+    """
+    names = [c.split()[0] for c in TURNS.split(", ")]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = kept_encoder(WordLevelEncoder, tokenizer), np.array([end_id], "<u4").tobytes()
+        packer, sequence_id, rows = Packer(tokens, segments, loss), TaskContext.get().partitionId() << 33, []
+        key, held, flags = None, [], []
+
+        def placed(sequences: Iterator[list[Piece]]) -> None:
+            nonlocal sequence_id
+            for sequence in sequences:
+                at = 0
+                for p in sequence:
+                    rows.append((*p.key, p.start, p.length, p.losses, zlib.crc32(p.ids), sequence_id, at))
+                    at += p.length
+                sequence_id += 1
+
+        def closed() -> None:
+            nonlocal held, flags
+            if held:
+                before = np.concatenate([[0], np.cumsum(np.concatenate(flags))])
+                placed(packer.add(Piece(key, 0, b"".join(held), before)))
+            held, flags = [], []
+
+        def batch_of() -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+        for batch in (p for b in batches for p in pieces(b)):
+            for conv, turn, role, text in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                if held and (conv is None or conv != key[0] or sum(map(len, held)) >= 4 * tokens):
+                    closed()
+                if not held:
+                    key = (conv, turn)
+                ids = encoder.of(text) + end
+                held.append(ids)
+                flags.append(np.full(len(ids) // 4, role in trained, np.int64))
+            yield batch_of()
+            rows = []
+        closed()
+        placed(packer.rest())
+        yield batch_of()
+
+    named = small_batches(turns).select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    order = ["conv_id", "turn", "role", "text"]
+    return named.repartitionByRange("conv_id", "turn").sortWithinPartitions(*order).mapInArrow(pack, TURNS)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = zip(*rows, strict=True) if rows else [[]] * 7
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [c.split()[0] for c in SCHEMA.split(", ")])

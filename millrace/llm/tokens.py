@@ -7,8 +7,7 @@ the whole text; parts seen before come from a dictionary.  Texts with unusual wh
 from __future__ import annotations
 
 import re
-import sys
-from struct import pack
+from array import array
 
 from tokenizers import Tokenizer
 
@@ -35,79 +34,89 @@ def _simple(word: str) -> tuple[str, str] | None:
     return (body, mark) if body.isalpha() and (body.isascii() or max(body) <= "\u00ff") else None
 
 
+_kept: dict[tuple[str, str], "_Encoder"] = {}
+
+
 def kept_encoder(kind: type, path: str):
     """The encoder of this Python worker, so that later tasks of the worker find the words of earlier ones."""
-    store = sys.__dict__.setdefault("_millrace_encoders", {})
-    if (kind.__name__, path) not in store:
-        store[kind.__name__, path] = kind(path)
-    return store[kind.__name__, path]
+    if (kind.__name__, path) not in _kept:
+        _kept[kind.__name__, path] = kind(path)
+    return _kept[kind.__name__, path]
 
 
 def _bytes(ids: list[int]) -> bytes:
-    return pack(f"<{len(ids)}I", *ids)
+    return array("I", ids).tobytes()
 
 
-class ByteLevelEncoder(dict):
-    """Little-endian unsigned 32-bit ids of texts under a byte-level BPE file without a normalizer.
-
-    Such a tokenizer cuts before every space that stands between two other characters, and around a line feed that
-    does.  A key is a word without its leading space, or a line feed and a word.
-    """
+class _Encoder(dict):
+    """Ids of words, kept in two generations of at most ``most`` words: what is asked again moves to the younger one."""
 
     def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model, self.most = self.tokenizer.model, most
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: _bytes([t.id for t in self.model.tokenize(m)]) for m in (".", ",")}
+        # A text that may hold the string of a special token is the library's to cut.
+        self.special = sorted({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
 
     def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self.fresh(word)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        if parts := _simple(word):
-            body, mark = parts
-            ids = [t.id for t in self.model.tokenize(BYTE_LETTERS[0x20] + _letters(body))]
-            found = _bytes(ids + [t.id for t in self.model.tokenize(mark)] * bool(mark))
-        else:
-            found = self.whole(word if word.startswith("\n") else " " + word)
         self[word] = found
         return found
 
     def whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def odd(self, text: str) -> bool:
+        return any(x in text for x in self.special)
+
+
+class ByteLevelEncoder(_Encoder):
+    """Little-endian unsigned 32-bit ids of texts under a byte-level BPE file without a normalizer.
+
+    Such a tokenizer cuts before every space that stands between two other characters, and around a line feed that
+    does.  A key is a word without its leading space, or a line feed and a word.
+    """
+
+    def fresh(self, word: str) -> bytes:
+        if parts := _simple(word):
+            body, mark = parts
+            if mark:
+                return self[body] + self.marks[mark]
+            return _bytes([t.id for t in self.model.tokenize(BYTE_LETTERS[0x20] + _letters(body))])
+        return self.whole(word if word.startswith("\n") else " " + word)
+
     def of(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(c in text for c in "\t\r\x0b\x0c\x1c\x1d\x1e\x1f") if text.isascii() else OTHER_SPACE.search(text):
             return self.whole(text)
         words = text.replace("\n", " \n").split(" ")
-        if "" in words or "\n" in words:
+        if "" in words or "\n" in words or self.odd(text):
             return self.whole(text)
         return self.whole(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
 
-class WordLevelEncoder(dict):
+class WordLevelEncoder(_Encoder):
     """The same for a BPE file with word ends that drops white space: every word stands alone."""
 
-    def __init__(self, path: str, most: int = 400_000):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model, self.most = self.tokenizer.model, most
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-            self[""] = b""
+    def fresh(self, word: str) -> bytes:
+        if not word:
+            return b""
         if parts := _simple(word):
             body, mark = parts
-            ids = [t.id for t in self.model.tokenize(_letters(body.lower()))]
-            ids += [t.id for t in self.model.tokenize(mark)] * bool(mark)
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        self[word] = found = _bytes(ids)
-        return found
+            if mark:
+                return self[body] + self.marks[mark]
+            return _bytes([t.id for t in self.model.tokenize(_letters(body.lower()))])
+        return self.whole(word)
 
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
+        if not text:
+            return b""
+        return self.whole(text) if self.odd(text) else b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))

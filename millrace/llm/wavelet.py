@@ -2,6 +2,8 @@
 
 A file is Parquet with a row for each block of about ``BLOCK_TOKENS`` ids: ``shard, block, doc_ids, lengths`` and
 ``planes``, the matrix.  A block answers access, count and occurrence lookups by itself; documents do not cross blocks.
+Over files, ``token_at`` gives the ids at positions, ``count_token`` counts an id and ``occurrences`` finds it, all from the
+planes that they need and without decoding a block.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from millrace.llm.tokens import ByteLevelEncoder, kept_encoder
 from millrace.llm.words import pieces, small_batches
 
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 17  # a plane of a block stays in a processor's cache
 STEP = 512  # bits between two entries of a rank directory
 HEAD = "<4sII"  # mark, bits of an id, ids
 MARK = b"WVM1"
@@ -44,7 +46,10 @@ class WaveletMatrix:
             packed[: -(-n // 8)] = np.packbits(ones, bitorder="little")
             planes.append(packed)
             ranks.append(_directory(packed))
-            now = np.concatenate([now[~ones], now[ones]])
+            following, zeros = np.empty_like(now), n - int(ranks[-1][-1])
+            np.compress(~ones, now, out=following[:zeros])
+            np.compress(ones, now, out=following[zeros:])
+            now = following
         return cls(n, planes, ranks)
 
     def to_bytes(self) -> bytes:
@@ -121,6 +126,18 @@ class WaveletMatrix:
             i = self._nth_bit(k, one, i - self.zeros[k] if one else i)
         return i
 
+    def places(self, value: int) -> np.ndarray:
+        """All positions of ``value``, in order: ``select`` for all its occurrences at once."""
+        low, high = self._span(value, self.n)
+        at = np.arange(low, high)
+        for k in range(len(self.planes) - 1, -1, -1):
+            if not len(at):
+                break
+            bits = np.unpackbits(self.planes[k], count=self.n, bitorder="little")
+            one = value >> len(self.planes) - 1 - k & 1
+            at = np.flatnonzero(bits == one)[at - self.zeros[k] if one else at]
+        return at
+
     def _nth_bit(self, k: int, one: int, nth: int) -> int:
         ranks = self.ranks[k].astype(np.int64)
         before = ranks if one else np.arange(len(ranks)) * STEP - ranks
@@ -137,8 +154,9 @@ def _directory(packed: np.ndarray) -> np.ndarray:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode every whole text, end it with ``end_id``, and write the ids in ascending ``doc_id`` order below ``path``.
 
-    A NULL text is an empty one; NULL ids come first; rows that repeat an id are written one after another in the
-    order of their texts.  A block is closed by the document that fills it, so only one document can make it longer.
+    A NULL text is an empty one; NULL ids come first; rows that repeat an id (or have none) are written one after another
+    by a hash of their texts, then by the texts, and may span several files.  A block is closed by the document that fills
+    it, so only one document can make it longer; a very long text makes a block of its own length.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,17 +183,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
         if ids:
             yield closed()
 
-    ordered = small_batches(docs).select(F.col("doc_id").cast("bigint"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    named = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("_hash"))
+    ordered = named.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash", "text").select("doc_id", "text")
     ordered.mapInArrow(encode, SCHEMA).write.option("compression", "zstd").parquet(path)
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` of every document in files of ``write_tokens``, decoded from the planes.
-
-    ``start`` is the number of ids of all documents before it.  The ids before a block are added up per shard and then
-    over shards, of which there are as many as tasks that wrote.
-    """
-    blocks = spark.read.schema(SCHEMA).parquet(path)
+def _begins(blocks: DataFrame) -> DataFrame:
+    """``shard, block, _begin``: the number of ids before each block."""
     in_shard = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sizes = blocks.select("shard", "block", "n_tokens")
@@ -183,7 +197,17 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_shard_start")
     )
     begins = sizes.select("shard", "block", F.coalesce(F.sum("n_tokens").over(in_shard), F.lit(0)).alias("_block_start"))
-    begins = begins.join(shards, "shard").select("shard", "block", (F.col("_shard_start") + F.col("_block_start")).alias("_begin"))
+    return begins.join(shards, "shard").select("shard", "block", (F.col("_shard_start") + F.col("_block_start")).alias("_begin"))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of every document in files of ``write_tokens``, decoded from the planes.
+
+    ``start`` is the number of ids of all documents before it.  The ids before a block are added up per shard and then
+    over shards, of which there are as many as tasks that wrote.
+    """
+    blocks = spark.read.schema(SCHEMA).parquet(path)
+    begins = _begins(blocks)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,3 +241,58 @@ def count_token(spark: SparkSession, path: str, token: int) -> DataFrame:
 
     blocks = spark.read.schema(SCHEMA).parquet(path).select("shard", "block", "planes")
     return blocks.mapInArrow(count, "shard int, block int, n bigint")
+
+
+def token_at(positions: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``position, token, doc_id`` of every distinct ``position`` (from 0 over all documents) that the files hold.
+
+    Positions find their block through stretches of ``block_tokens`` ids, of which a block covers few, and are answered by
+    the block's planes without decoding it.  NULL positions and those outside have no row.
+    """
+    blocks = positions.sparkSession.read.schema(SCHEMA).parquet(path)
+    ends = F.col("_begin") + F.col("n_tokens")
+    stretch = lambda c: F.floor(c / block_tokens)
+    spans = _begins(blocks).join(blocks.select("shard", "block", "n_tokens"), ["shard", "block"]).filter("n_tokens > 0").withColumn(
+        "_stretch", F.explode(F.sequence(stretch(F.col("_begin")), stretch(ends - 1))))
+    asked = positions.select(F.col("position").cast("bigint").alias("position")).distinct().withColumn("_stretch", stretch(F.col("position")))
+    found = asked.join(spans, "_stretch").filter((F.col("position") >= F.col("_begin")) & (F.col("position") < ends))
+    # At most one entry for each id of a block.
+    grouped = found.groupBy("shard", "block", "_begin").agg(F.collect_list("position").alias("positions"))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
+                matrix, at = WaveletMatrix.from_bytes(row["planes"]), np.array(row["positions"]) - row["_begin"]
+                docs = np.searchsorted(np.cumsum(row["lengths"]), at, "right")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["positions"], pa.int64()), pa.array([matrix.access(int(i)) for i in at], pa.int64()),
+                     pa.array([row["doc_ids"][d] for d in docs], pa.int64())], ["position", "token", "doc_id"])
+
+    return grouped.join(blocks, ["shard", "block"]).mapInArrow(answer, "position bigint, token bigint, doc_id bigint")
+
+
+def occurrences(spark: SparkSession, path: str, token: int) -> DataFrame:
+    """``nth, position, doc_id, place``: every occurrence of one id, numbered from 0, with its place in its document.
+
+    The numbers before a block come from the rank directories, the positions from the planes upwards.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
+                at = WaveletMatrix.from_bytes(row["planes"]).places(token)
+                ends = np.cumsum(row["lengths"])
+                docs = np.searchsorted(ends, at, "right")
+                starts = (ends - row["lengths"])[docs] if len(docs) else at
+                n = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["shard"]] * n, pa.int32()), pa.array([row["block"]] * n, pa.int32()), pa.array(np.arange(n), pa.int64()),
+                     pa.array(at, pa.int64()), pa.array([row["doc_ids"][d] for d in docs], pa.int64()), pa.array(at - starts, pa.int64())],
+                    ["shard", "block", "_nth", "_at", "doc_id", "place"])
+
+    blocks = spark.read.schema(SCHEMA).parquet(path)
+    counts = count_token(spark, path, token).withColumnRenamed("n", "n_tokens")
+    begins = _begins(blocks).join(_begins(counts).withColumnRenamed("_begin", "_before"), ["shard", "block"])
+    found = blocks.mapInArrow(find, "shard int, block int, _nth bigint, _at bigint, doc_id bigint, place bigint")
+    return found.join(begins, ["shard", "block"]).select(
+        (F.col("_before") + F.col("_nth")).alias("nth"), (F.col("_begin") + F.col("_at")).alias("position"), "doc_id", "place")
