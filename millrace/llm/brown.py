@@ -4,7 +4,9 @@ A text is its lower-cased words and an end.  Units are the words that occur ``LE
 forms (a hash of the last letters and the length) of rarer and unseen words.  The ``HEADS`` most frequent words and the
 forms of all others are exchanged first, one after another, until none moves.  From these classes on all units move, half of
 them at a time, each to the class that raises the likelihood of the class bigrams most, while it rises by ``GAIN`` or more.
-Counts of neighbouring units lie in buckets on Spark; a unit's class, a byte, and its hash travel to the tasks.
+Moves of a half that lower it together are left out, or tried in smaller parts where ``PARTED`` allows for them.
+Texts are cut into words once: slices of documents with the words' numbers and hashes are written, and all later steps read
+those.  Counts of neighbouring units lie in buckets on Spark; a unit's class, a byte, and its hash travel to the tasks.
 ``P(word | previous word) = P(class | previous class) * P(word | class)``, both smoothed.
 
 Counts are complete: the most frequent words' counts travel to the tasks, those of all other words are joined.
@@ -12,6 +14,7 @@ Counts are complete: the most frequent words' counts travel to the tasks, those
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +36,11 @@ PAIRS = 1 << 18  # pairs that a task adds up at a time
 TOGETHER = 256  # units whose gains are computed at a time
 GAIN = 1e-4  # of the likelihood of the class bigrams, in two halves
 COUNTED = 1 << 17  # words whose counts travel to the tasks
-MOST = 500_000  # words that a task holds at a time
+MOST = 200_000  # words that a task holds at a time
 END = np.int64(-1)  # in place of a hash
-ALPHA, MU, PASSES = 0.5, 2.0, 10
+ALPHA, MU = 0.5, 2.0
+SLICE = 1 << 18  # bytes of texts in a slice
+PARTED = 1  # parts of this depth whose moves lower the likelihood together stay; at 1 these are the halves
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -48,8 +53,7 @@ class Words(dict):
 
     def __init__(self):
         super().__init__()
-        self.hashes: list[int] = []
-        self.forms: list[int] = []
+        self.hashes, self.forms = array("q"), array("H")
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
@@ -63,34 +67,88 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
+SLICED = "doc_ids array<bigint>, train array<boolean>, lengths array<bigint>, codes binary, hashes binary, forms binary"
+
+
+def tokenised(docs: DataFrame) -> DataFrame:
+    """Slices of ``docs`` (``doc_id, text, train``): a row holds documents, their words as numbers, and the words' hashes and forms."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in (p for b in batches for p in pieces(b, SLICE)):
+            if len(words) > MOST:
+                words = Words()
+            coded = [words.of(text) for text in binary(batch.column(1))]
+            flat = np.concatenate(coded) if coded else np.zeros(0, np.int64)
+            used = np.zeros(len(words), bool)
+            used[flat] = True
+            own = np.flatnonzero(used)
+            number = np.cumsum(used, dtype=np.uint32) - 1
+            hashes, forms = np.array(words.hashes, np.int64)[own], np.array(words.forms, np.uint16)[own]
+            parts = [x.tobytes() for x in (number[flat].astype(np.uint32), hashes, forms)]
+            lists = [pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([batch.column(2).to_pylist()], pa.list_(pa.bool_())),
+                     pa.array([[len(c) for c in coded]], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*lists, *(pa.array([x], pa.binary()) for x in parts)], [c.split()[0] for c in SLICED.split(", ")])
+
+    return materialize(small_batches(docs).select("doc_id", "text", "train").mapInArrow(cut, SLICED), "slices")
+
+
+@dataclass
+class Slice:
+    doc_ids: list[int | None]
+    train: np.ndarray
+    lengths: np.ndarray  # words of each document
+    codes: np.ndarray
+    hashes: np.ndarray  # of the numbers in ``codes``
+    forms: np.ndarray
+
+    def chain(self, of: np.ndarray, end: int, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """``of`` each word, an ``end`` before the first document and one behind each."""
+        out = np.full(len(codes) + len(lengths) + 1, end, np.int64)
+        out[np.arange(len(codes)) + np.repeat(np.arange(len(lengths)), lengths) + 1] = of[codes]
+        return out
+
+    def learnt(self) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and codes of the documents that are learnt from."""
+        return self.lengths[self.train], self.codes[np.repeat(self.train, self.lengths)]
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[Slice]:
+    for k in range(batch.num_rows):
+        ids, train, lengths = (batch.column(c)[k].as_py() for c in range(3))
+        codes, hashes, forms = (np.frombuffer(batch.column(c)[k].as_buffer(), t) for c, t in ((3, np.uint32), (4, np.int64), (5, np.uint16)))
+        yield Slice(ids, np.array(train, bool), np.array(lengths, np.int64), codes, hashes, forms)
+
+
+def word_counts(cut: DataFrame) -> DataFrame:
     """``h, form, n`` of every word (by its hash) and of the end; counted in the tasks before anything is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n, ends = Words(), np.zeros(1 << 12, np.int64), 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size, ends = 0, 0
 
         def counted() -> pa.RecordBatch:
-            k = len(words)
-            columns = [pa.array(words.hashes, pa.int64()), pa.array(words.forms, pa.int32()), pa.array(n[:k])]
+            hashes, forms, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            h, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+            columns = [pa.array(h), pa.array(forms[first].astype(np.int32)), pa.array(np.bincount(back, n).astype(np.int64))]
             return pa.RecordBatch.from_arrays(columns, ["h", "form", "n"])
 
-        for batch in (p for b in batches for p in pieces(b)):
-            for text in binary(batch.column(0)):
-                codes = words.of(text)
-                ends += 1
-                if len(words) > len(n):
-                    n = np.concatenate([n, np.zeros(max(len(words), len(n)), np.int64)])
-                n += np.bincount(codes, minlength=len(n)) if len(codes) > len(n) // 8 else 0
-                if len(codes) <= len(n) // 8:
-                    np.add.at(n, codes, 1)
-                if len(words) > MOST:
-                    yield counted()
-                    words, n = Words(), np.zeros(1 << 12, np.int64)
-        yield counted()
+        for one in (x for b in batches for x in slices(b)):
+            lengths, codes = one.learnt()
+            n = np.bincount(codes, minlength=len(one.hashes))
+            ends += len(lengths)
+            seen = np.flatnonzero(n)
+            held.append((one.hashes[seen], one.forms[seen], n[seen]))
+            size += len(seen)
+            if size > MOST:
+                yield counted()
+                held, size = [], 0
+        if size:
+            yield counted()
         if ends:
             yield pa.RecordBatch.from_arrays([pa.array([int(END)]), pa.array([FORMS], pa.int32()), pa.array([ends])], ["h", "form", "n"])
 
-    parts = texts.select("text").mapInArrow(count, "h bigint, form int, n bigint")
+    parts = cut.mapInArrow(count, "h bigint, form int, n bigint")
     return parts.groupBy("h").agg(F.first("form").alias("form"), F.sum("n").alias("n"))
 
 
@@ -116,17 +174,6 @@ class Heads:
         return int(self.of(np.array([h], np.int64), np.array([otherwise]))[0])
 
 
-class Units(Words):
-    """Words numbered, with their units."""
-
-    def __init__(self, heads: Heads):
-        super().__init__()
-        self.heads = heads
-
-    def units(self) -> np.ndarray:
-        return self.heads.of(np.array(self.hashes, np.int64), HEADS + np.array(self.forms, np.int64))
-
-
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with their sums."""
     keys, n = np.concatenate(keys), np.concatenate(n)
@@ -136,14 +183,32 @@ def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-SIDES = ["keys0", "n0", "keys1", "n1"]
+SIDES = ["units", "ends0", "by0", "n0", "ends1", "by1", "n1"]
 
 
-def unit_pairs(texts: DataFrame, heads: Heads, tokens: int) -> DataFrame:
-    """``keys0, n0, keys1, n1``: counts of neighbouring units, packed; a text follows an end.
+@dataclass
+class Bucket:
+    """Units with their neighbours to the right (side 0) and left (side 1): place of the unit, neighbour, count."""
+
+    units: np.ndarray
+    sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-    A key is a unit times the number of units plus the unit to its right (``keys0``) or left (``keys1``).  A row is a
-    bucket of units, with all pairs of each; as ends stand around the texts, each unit has both.
+
+def buckets_of(batch: pa.RecordBatch) -> Iterator[Bucket]:
+    for k in range(batch.num_rows):
+        read = lambda c, t: np.frombuffer(batch.column(c)[k].as_buffer(), t)  # noqa: B023, E731
+        sides = []
+        for ends, by, n in (("ends0", "by0", "n0"), ("ends1", "by1", "n1")):
+            ends = read(ends, np.int64)
+            sides.append((np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), read(by, np.int32), read(n, np.int64)))
+        yield Bucket(read("units", np.int64), sides)
+
+
+def unit_pairs(cut: DataFrame, heads: Heads, tokens: int) -> DataFrame:
+    """Counts of neighbouring units, packed; a text follows an end.
+
+    A row is a bucket of units with all pairs of each: ``units``, and for either side where the pairs of each unit end, the
+    neighbours and the counts.  As ends stand around the texts, each unit has both sides.
     """
     size, buckets = heads.size, max(8, -(-tokens // BUCKET))
     schema = "bucket int, side int, keys binary, n binary"
@@ -164,19 +229,15 @@ def unit_pairs(texts: DataFrame, heads: Heads, tokens: int) -> DataFrame:
                 yield int(k), side, own[at].tobytes(), n[at].astype(np.int32).tobytes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, keys, n, held = Units(heads), [], [], 0
-        for batch in (p for b in batches for p in pieces(b)):
-            coded = [words.of(text) for text in binary(batch.column(0))]
-            of = np.append(words.units(), size - 1)
-            ended = np.concatenate([np.append(c, len(of) - 1) for c in coded])
-            units = of[np.concatenate([[len(of) - 1], ended])].astype(np.int64)
+        keys, n, held = [], [], 0
+        for one in (x for b in batches for x in slices(b)):
+            of = heads.of(one.hashes, HEADS + one.forms.astype(np.int64))
+            units = one.chain(of, size - 1, *one.learnt())
             pairs, times = np.unique(units[:-1] * size + units[1:], return_counts=True)
             keys, n, held = [*keys, pairs], [*n, times], held + len(pairs)
             if held > PAIRS:
                 yield rows(packed(keys, n))
                 keys, n, held = [], [], 0
-            if len(words) > MOST:
-                words = Units(heads)
         if held:
             yield rows(packed(keys, n))
 
@@ -188,24 +249,30 @@ def unit_pairs(texts: DataFrame, heads: Heads, tokens: int) -> DataFrame:
                 part[0].append(np.frombuffer(keys, np.int64))
                 part[1].append(np.frombuffer(n, np.int32).astype(np.int64))
         for bucket in sorted({b for b, _ in parts}):
-            sides = [x for side in (0, 1) for x in _summed(*parts.pop((bucket, side)))]
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sides], SIDES)
-
-    parts = texts.select("text").mapInArrow(count, schema).repartition(min(buckets, 4096), "bucket")
+            out = []
+            for side in (0, 1):
+                keys, n = _summed(*parts.pop((bucket, side)))
+                units = keys // size
+                ends = np.append(np.flatnonzero(units[1:] != units[:-1]) + 1, len(units))
+                out += [units[ends - 1]] * (side == 0) + [ends.astype(np.int64), (keys % size).astype(np.int32), n]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in out], SIDES)
+
+    parts = cut.mapInArrow(count, schema).repartition(min(buckets, 4096), "bucket")
     return materialize(parts.mapInArrow(merge, ", ".join(f"{c} binary" for c in SIDES)), "pairs")
 
 
-def table_of(pairs: DataFrame, size: int, of: np.ndarray, width: int) -> np.ndarray:
-    """Counts of pairs of the groups ``of`` units, of which there are ``width``."""
+def table_of(pairs: DataFrame, of: np.ndarray, width: int) -> np.ndarray:
+    """Counts of pairs of the groups ``of`` units, of which there are ``width``; added up in the tasks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys = np.frombuffer(keys, np.int64)
-                cells, sums = _summed([of[keys // size].astype(np.int64) * width + of[keys % size]], [np.frombuffer(n, np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums)], ["cell", "n"])
-
-    parts = pairs.select("keys0", "n0").mapInArrow(count, "cell bigint, n bigint")
+        sums = np.zeros(width * width)
+        for bucket in (x for b in batches for x in buckets_of(b)):
+            at, by, n = bucket.sides[0]
+            sums += np.bincount(of[bucket.units].astype(np.int64)[at] * width + of[by], n, width * width)
+        cells = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums[cells])], ["cell", "n"])
+
+    parts = pairs.select("units", "ends0", "by0", "n0", *SIDES[4:]).mapInArrow(count, "cell bigint, n double")
     sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # width squared at most
     table = np.zeros(width * width)
     table[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
@@ -216,7 +283,7 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-12))
 
 
-def exchanged(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
+def exchanged(bigrams: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     """The class of each unit.  The last unit keeps the last class for itself."""
     units, free = len(bigrams), classes - 1
     weight = bigrams.sum(1) + bigrams.sum(0)
@@ -228,7 +295,8 @@ def exchanged(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     right, left = bigrams @ member, bigrams.T @ member  # of a unit, by the class of its neighbour
     table = member.T @ right
     own = np.diag(bigrams)
-    for _ in range(passes):
+    moved = 1
+    while moved:
         moved = 0
         for u in range(units - 1):
             if not weight[u]:
@@ -254,8 +322,6 @@ def exchanged(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
                 right[:, b] += bigrams[:, u]
                 left[:, a] -= bigrams[u]
                 left[:, b] += bigrams[u]
-        if not moved:
-            break
     return of
 
 
@@ -311,39 +377,53 @@ def likelihood(table: np.ndarray) -> float:
     return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
 
-def all_exchanged(pairs: DataFrame, size: int, of: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
-    """The class of each unit, from the classes ``of`` on, and the counts of the class bigrams."""
+def _parted(units: np.ndarray, bits: int, part: int) -> np.ndarray:
+    """Units of one of ``2 ** bits`` parts, dealt by a hash."""
+    return (units * 0x9E3779B1 >> 16 & (1 << bits) - 1) == part
+
+
+def all_exchanged(pairs: DataFrame, size: int, of: np.ndarray, classes: int = CLASSES, gain: float = GAIN) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each unit, from the classes ``of`` on, and the counts of the class bigrams.
+
+    The units of a part choose their classes under the same table.  Where that lowers the likelihood, as neighbours moved at
+    once, the two parts of the part are tried one after the other, down to ``PARTED`` cuts.
+    """
     of = of.astype(np.uint8)
-    table = table_of(pairs, size, of, classes)
-    def moves(of: np.ndarray, table: np.ndarray, half: int):
+    table = table_of(pairs, of, classes)
+
+    def moves(of: np.ndarray, table: np.ndarray, bits: int, part: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    k0, n0, k1, n1 = (np.frombuffer(batch.column(c)[row].as_py(), np.int64) for c in SIDES)
-                    units, at = np.unique(k0 // size, return_inverse=True)
-                    v, back = k0 % size, np.searchsorted(units, k1 // size)
-                    count = lambda i, x, n: np.bincount(i * classes + of[x], n, len(units) * classes).reshape(-1, classes)
-                    r, l = count(at, v, n0), count(back, k1 % size, n1)
-                    own = np.bincount(at, n0 * (v == units[at]), len(units))
-                    rows = np.flatnonzero((units < size - 1) & (units * 0x9E3779B1 >> 16 & 1 == half))
-                    parts = [rows[k : k + TOGETHER] for k in range(0, len(rows), TOGETHER)]
-                    best = [best_classes(table, r[p], l[p], own[p], of[units[p]].astype(np.int64)) for p in parts]
-                    to, chosen = np.concatenate([np.zeros(0, np.int64), *best]), units[rows]
-                    moved = to != of[chosen]
-                    yield pa.RecordBatch.from_arrays([pa.array(chosen[moved]), pa.array(to[moved])], ["unit", "to"])
+            for bucket in (x for b in batches for x in buckets_of(b)):
+                units, (right, left) = bucket.units, bucket.sides
+                count = lambda at, by, n: np.bincount(at * classes + of[by], n, len(units) * classes).reshape(-1, classes)  # noqa: B023, E731
+                r, l = count(*right), count(*left)
+                own = np.bincount(right[0], right[2] * (right[1] == units[right[0]]), len(units))
+                rows = np.flatnonzero((units < size - 1) & _parted(units, bits, part))
+                groups = [rows[k : k + TOGETHER] for k in range(0, len(rows), TOGETHER)]
+                best = [best_classes(table, r[g], l[g], own[g], of[units[g]].astype(np.int64)) for g in groups]
+                to, chosen = np.concatenate([np.zeros(0, np.int64), *best]), units[rows]
+                moved = to != of[chosen]
+                yield pa.RecordBatch.from_arrays([pa.array(chosen[moved]), pa.array(to[moved])], ["unit", "to"])
 
         return run
 
+    def step(bits: int, part: int) -> int:
+        nonlocal of, table
+        found = pairs.mapInArrow(moves(of, table, bits, part), "unit bigint, to bigint").toArrow()
+        if not found.num_rows:
+            return 0
+        trial = of.copy()
+        trial[found.column("unit").to_numpy()] = found.column("to").to_numpy()
+        new = table_of(pairs, trial, classes)
+        if likelihood(new) > likelihood(table):
+            of, table = trial, new
+            return found.num_rows
+        return step(bits + 1, part) + step(bits + 1, part + (1 << bits)) if bits < PARTED else 0
+
     while True:
-        before, moved = likelihood(table), 0
-        for half in (0, 1):
-            found = pairs.mapInArrow(moves(of, table, half), "unit bigint, to bigint").toArrow()
-            trial = of.copy()
-            trial[found.column("unit").to_numpy()] = found.column("to").to_numpy()
-            new = table_of(pairs, size, trial, classes)
-            if found.num_rows and likelihood(new) > likelihood(table):
-                of, table, moved = trial, new, moved + found.num_rows
-        if not moved or likelihood(table) - before < GAIN * abs(before):
+        before = likelihood(table)
+        moved = step(1, 0) + step(1, 1)
+        if not moved or likelihood(table) - before < gain * abs(before):
             return of.astype(np.int64), table
 
 
@@ -361,7 +441,12 @@ class Model:
 
 def learnt(texts: DataFrame) -> Model:
     """A model of the rows of ``texts`` (column ``text``)."""
-    vocab = materialize(word_counts(small_batches(texts)), "vocab")
+    return learnt_from(tokenised(texts.select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.lit(True).alias("train"))))
+
+
+def learnt_from(cut: DataFrame) -> Model:
+    """A model of the documents of the slices ``cut`` that are learnt from."""
+    vocab = materialize(word_counts(cut), "vocab")
     size = vocab.agg(F.sum("n").alias("n"), F.count("*").alias("v")).head()
     top = vocab.filter(F.col("h") != int(END)).orderBy(F.desc("n"), "h").limit(COUNTED).select("h", "n").toArrow()
     hashes, n = (top.column(c).to_numpy() for c in ("h", "n"))
@@ -380,8 +465,8 @@ def learnt(texts: DataFrame) -> Model:
     coarse = np.arange(heads.size)
     coarse[numbers[HEADS:]] = HEADS + own_forms[HEADS:]
     coarse[-1] = UNITS - 1
-    packed = unit_pairs(texts, heads, int(size.n or 0))
-    first = exchanged(table_of(packed, heads.size, coarse, UNITS))
+    packed = unit_pairs(cut, heads, int(size.n or 0))
+    first = exchanged(table_of(packed, coarse, UNITS))
     classes, pairs = all_exchanged(packed, heads.size, first[coarse])
     member = np.zeros((heads.size, CLASSES))
     member[np.arange(heads.size), classes] = 1
@@ -398,38 +483,44 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     Scores are log10 probabilities of the text and its end.  A NULL or empty text is an end alone; ids may be NULL or
     repeated; an empty table gives no rows.  A word never learnt shares the place of one unseen word in its class.
     """
-    heads, counts, classes, transition, weight = model.heads, model.counts, model.classes, model.transition, model.weight
+    named = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.lit(False).alias("train"))
+    return scored_from(tokenised(named), model)
+
+
+def scored_from(cut: DataFrame, model: Model) -> DataFrame:
+    """``scored`` for the documents of the slices ``cut``."""
+    heads, classes, transition, weight = model.heads, model.classes, model.transition, model.weight
     below = np.log10(model.tokens + model.types + 1)
-    end_n = counts.get(int(END), 0)
-    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "model": pa.float64(),
-             "tail": pa.list_(pa.int64()), "times": pa.list_(pa.int64())}
+    end_n = model.counts.get(int(END), 0)
+    known = np.array(sorted(model.counts.items()), np.int64).reshape(-1, 2)
+    fields = [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("model", pa.float64())]
+    names = [f for f, _ in fields] + ["tail", "times"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, row, last = Units(heads), TaskContext.get().partitionId() << 33, int(classes[-1])
-        for batch in (p for b in batches for p in pieces(b)):
-            coded = [words.of(t) for t in binary(batch.column(1))]
-            own_class = classes[words.units()]
-            hashes = np.array(words.hashes, np.int64)
-            n = np.fromiter((counts.get(h, -1) for h in words.hashes), np.int64, len(words))
-            rows: list[tuple] = []
-            for doc, codes in zip(batch.column(0).to_pylist(), coded, strict=True):
-                chain = np.concatenate([[last], own_class[codes], [last]])
-                moves = float(transition[chain[:-1], chain[1:]].sum()) - float(weight[chain[1:]].sum())
-                seen = n[codes]
-                known = seen[seen >= 0]
-                base = float(np.log10(known + 1).sum()) + np.log10(end_n + 1) - below * (len(codes) + 1)
-                emitted = float(np.log10(known + ALPHA).sum()) + np.log10(end_n + ALPHA)
-                tail, times = np.unique(hashes[codes[seen < 0]], return_counts=True)
-                rows.append((row, doc, len(codes) + 1, len(known) + (end_n > 0), base, moves + emitted, tail, times))
-                row += 1
-            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
-            if len(words) > MOST:
-                words = Units(heads)
+        row, last = TaskContext.get().partitionId() << 33, int(classes[-1])
+        for one in (x for b in batches for x in slices(b)):
+            docs, words = len(one.lengths), np.repeat(np.arange(len(one.lengths)), one.lengths)
+            own_class = classes[heads.of(one.hashes, HEADS + one.forms.astype(np.int64))]
+            chain = one.chain(own_class, last, one.lengths, one.codes)
+            tokens = np.repeat(np.arange(docs), one.lengths + 1)
+            of_doc = lambda at, x=None: np.bincount(at, x, docs)  # noqa: B023, E731
+            moves = of_doc(tokens, transition[chain[:-1], chain[1:]] - weight[chain[1:]])
+            at = np.minimum(np.searchsorted(known[:, 0], one.hashes), len(known) - 1)
+            n = np.where(known[at, 0] == one.hashes, known[at, 1], -1)
+            seen = n >= 0
+            logs = lambda more: np.where(seen, np.log10(np.where(seen, n, 0) + more), 0.0)[one.codes]  # noqa: B023, E731
+            here = seen[one.codes]
+            base = of_doc(words, logs(1)) + np.log10(end_n + 1) - below * (one.lengths + 1)
+            emitted = of_doc(words, logs(ALPHA)) + np.log10(end_n + ALPHA)
+            asked, times = np.unique(words[~here] * len(one.hashes) + one.codes[~here], return_counts=True)
+            ends = np.concatenate([[0], np.cumsum(of_doc(asked // max(1, len(one.hashes))))]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (one.hashes[asked % max(1, len(one.hashes))], times.astype(np.int64))]
+            values = (np.arange(row, row + docs), one.doc_ids, one.lengths + 1, of_doc(words, here).astype(np.int64) + (end_n > 0), base, moves + emitted)
+            row += docs
+            yield pa.RecordBatch.from_arrays([*(pa.array(v, t) for v, (_, t) in zip(values, fields, strict=True)), *lists], names)
 
     schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, tail array<bigint>, times array<bigint>"
-    named = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = materialize(named.mapInArrow(score, schema), "rows")
+    rows = materialize(cut.mapInArrow(score, schema), "rows")
     # Words beyond those whose counts the tasks have: their counts are joined, a row for each text and word.
     asked = rows.select("row", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("row", F.col("t.tail").alias("h"), F.col("t.times").alias("k"))
     c = F.coalesce("n", F.lit(0))
@@ -447,6 +538,7 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
-    """``scored`` under a model of the rows that are not held out."""
-    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return scored(named, learnt(named.filter(~held_out()).select("text")))
+    """``scored`` under a model of the rows that are not held out; the texts are cut into words once."""
+    named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", (~held_out()).alias("train"))
+    cut = tokenised(named)
+    return scored_from(cut, learnt_from(cut))

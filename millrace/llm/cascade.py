@@ -1,14 +1,17 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule looks at one text and may reject it.  On a sample of the rows every rule is timed and its rejections counted,
-and the rules are then tried in the order of rejections per second, so that most bad texts meet a cheap rule
-first and good texts alone pay for all.  A text is kept if no rule rejects it, whatever the order.
+Each rule looks at one text and may reject it.  On a sample of the rows that pass the base, every rule is timed on texts
+whose base counts are there already, as they are in the cascade, and the set of rules that reject a text is kept.  The rules
+are ordered greedily: the next one rejects most per second of the texts that those before it let through.  So most bad texts
+meet a cheap rule first and good texts alone pay for all.  A text is kept if no rule rejects it, whatever the order.
 """
 
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Iterator
+from copy import copy
 from functools import cached_property
 
 import numpy as np
@@ -105,33 +108,54 @@ def base_failed(t: Text) -> bool:
     return len(t.words) < 20 or 100 * t.repeat_words > 30 * len(t.words)
 
 
-def measured(docs: DataFrame, rules: dict[str, Callable[[Text], bool]] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``rule, seconds, rejected, texts``: cost and selectivity of each rule on about ``sample_rows`` rows dealt by a hash."""
+def counted(t: Text) -> tuple[int, ...]:
+    """The base counts of a text, in the order of the result."""
+    return len(t.words), t.word_chars, t.symbols, t.dup_lines, t.repeat_words
+
+
+def measured(
+    docs: DataFrame, rules: dict[str, Callable[[Text], bool]] = RULES, sample_rows: int = SAMPLE_ROWS
+) -> tuple[dict[str, float], dict[int, int]]:
+    """Seconds of each rule, and how many texts each set of rules (a bit for each, in their order) rejects.
+
+    Taken from those of about ``sample_rows`` rows, dealt by a hash of id and text, that pass the base.
+    """
     share = min(1.0, sample_rows / max(1, docs.count()))
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0)).select("text")
+    chosen = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0)).select("text")
 
     def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spent, masks = dict.fromkeys(rules, 0.0), Counter()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            spent, rejected = [], []
-            for rule in rules.values():
-                fresh = [Text(x) for x in texts]  # what a rule needs counts as its own cost
-                began = time.perf_counter()
-                rejected.append(sum(map(rule, fresh)))
-                spent.append(time.perf_counter() - began)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rules)), pa.array(spent, pa.float64()), pa.array(rejected, pa.int64()), pa.array([len(texts)] * len(rules), pa.int64())],
-                ["rule", "seconds", "rejected", "texts"],
-            )
-
-    parts = chosen.mapInArrow(tried, "rule string, seconds double, rejected bigint, texts bigint")
-    return parts.groupBy("rule").agg(*(F.sum(c).alias(c) for c in ("seconds", "rejected", "texts")))
+            for body in batch.column(0).to_pylist():
+                t = Text(body)
+                counted(t)  # computed for every row, so no rule pays for it
+                if base_failed(t):
+                    continue
+                mask = 0
+                for k, (name, rule) in enumerate(rules.items()):
+                    own = copy(t)  # what a rule needs beyond the base counts as its own cost
+                    began = time.perf_counter()
+                    mask |= bool(rule(own)) << k
+                    spent[name] += time.perf_counter() - began
+                masks[mask] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*rules, *[None] * len(masks)], pa.string()), pa.array([*[None] * len(rules), *masks], pa.int64()),
+             pa.array([*spent.values(), *masks.values()], pa.float64())], ["rule", "mask", "amount"])
+
+    parts = chosen.mapInArrow(tried, "rule string, mask bigint, amount double")
+    rows = parts.groupBy("rule", "mask").agg(F.sum("amount").alias("amount")).collect()  # rules, and sets of them in the sample
+    return {r.rule: r.amount for r in rows if r.rule is not None}, {r.mask: int(r.amount) for r in rows if r.rule is None}
 
 
 def ordered_rules(docs: DataFrame, rules: dict[str, Callable[[Text], bool]] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[str]:
-    """Names of the rules, by rejections per second, highest first; rules unseen on an empty sample come last."""
-    worth = {r.rule: (r.rejected + 0.5) / (r.seconds + 1e-6) for r in measured(docs, rules, sample_rows).collect()}  # a row per rule
-    return sorted(rules, key=lambda name: (-worth.get(name, 0.0), name))
+    """Names of the rules: the next one rejects most per second of what is left; equal ones by name, so all of an empty sample."""
+    seconds, masks = measured(docs, rules, sample_rows)
+    bit, order = {name: 1 << k for k, name in enumerate(rules)}, []
+    while len(order) < len(rules):
+        worth = {n: (sum(c for m, c in masks.items() if m & bit[n]) + 0.01) / (seconds.get(n, 0.0) + 1e-6) for n in rules if n not in order}
+        order.append(min(worth, key=lambda n: (-worth[n], n)))
+        masks = {m: c for m, c in masks.items() if not m & bit[order[-1]]}
+    return order
 
 
 def quality(
@@ -152,9 +176,9 @@ def quality(
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 t = Text(body)
-                failed = base_failed(t)
+                base, failed = counted(t), base_failed(t)
                 hit = None if failed else next((name for name, rule in cascade if rule(t)), None)
-                rows.append((doc, len(t.words), t.word_chars, t.symbols, t.dup_lines, t.repeat_words, failed, not failed and hit is None, hit))
+                rows.append((doc, *base, failed, not failed and hit is None, hit))
             columns = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.string()]
             yield pa.RecordBatch.from_arrays(

@@ -1,9 +1,10 @@
 """Benchmark passages in documents, up to a budget of edits, by the q-gram lemma.
 
-A text that holds an item of ``m`` characters with at most ``k`` edits shares at least ``m - q + 1 - k * q`` of its
+A text that holds an item of ``m`` bytes with at most ``k`` edits shares at least ``m - q + 1 - k * q`` of its
 q-grams, all on diagonals (place in the text less place in the item) at most ``k`` apart.  Shared q-grams are counted
 in overlapping bands of diagonals, so that every run of ``k + 1`` diagonals lies inside one of them; bands that reach
 the bound are verified by an alignment within the band.  Texts are compared as lower-case words with single spaces.
+Items of less than ``LEAST_BYTES`` are found where their words stand in the text without any edit.  An item counts as a whole.
 
 The items come to the tasks in blocks of bounded size, each block against all texts; nothing is shuffled.
 """
@@ -21,7 +22,7 @@ from millrace.llm.words import LOWER, pieces, small_batches
 
 Q = 8  # bytes, so that a q-gram is one 64-bit number
 EDIT_SHARE = 0.1
-LEAST_CHARS = 40
+LEAST_BYTES = 40  # of words; shorter items are looked up word by word
 BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 16
 TABLE_BITS = 22
@@ -78,7 +79,13 @@ def aligned(item: bytes, text: bytes, low: int, high: int) -> tuple[int, int, in
 class Items:
     """A block of benchmark items with the index of their q-grams."""
 
-    def __init__(self, rows: list[tuple[int, bytes]]):
+    def __init__(self, known: list[tuple[int | None, bytes]]):
+        rows = [x for x in known if len(x[1]) >= LEAST_BYTES]
+        # Short items by their first word.
+        self.short: dict[bytes, list[tuple[int | None, list[bytes]]]] = {}
+        for item_id, text in known:
+            if text and len(text) < LEAST_BYTES:
+                self.short.setdefault(text.split()[0], []).append((item_id, text.split()))
         self.ids = [i for i, _ in rows]
         self.texts = [t for _, t in rows]
         self.lengths = np.array([len(t) for t in self.texts], np.int64)
@@ -138,8 +145,9 @@ class Items:
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """``item_id, edits, start, end`` of the best place of every item that the text holds within its budget."""
         body, best = normal(text), {}
+        exact = self.exact(body)
         if not self.ids:
-            return []
+            return exact
         for item, band in self.bands(body):
             if item in best and not best[item][0]:
                 continue
@@ -151,21 +159,33 @@ class Items:
             edits, start, end = aligned(self.texts[item], body, low, high)
             if edits <= self.budgets[item]:
                 best[item] = min(best.get(item, (edits, start, end)), (edits, start, end))
-        return [(self.ids[k], *best[k]) for k in sorted(best)]
+        return [(self.ids[k], *best[k]) for k in sorted(best)] + exact
+
+    def exact(self, body: bytes) -> list[tuple[int | None, int, int, int]]:
+        """``matches`` of the short items: the first place where all their words stand."""
+        if not self.short:
+            return []
+        words, at, found = body.split(), 0, {}
+        for i, word in enumerate(words):
+            for k, (item_id, item) in enumerate(self.short.get(word, ())):
+                if (word, k) not in found and words[i : i + len(item)] == item:
+                    found[word, k] = (item_id, 0, at, at + len(b" ".join(item)))
+            at += len(word) + 1
+        return list(found.values())
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
     """The items in blocks dealt by a hash, about ``block_bytes`` of text each, one at a time.
 
-    Rows without an id or with fewer than ``LEAST_CHARS`` characters of words are no passages and left out.
+    Rows without a word are no items.  Rows without an id are items like all others, reported under a NULL id.
     """
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     n = -(-total // block_bytes) if total > block_bytes else 1
     for k in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         known = ((r.item_id, normal(r.text)) for r in part.collect())  # about block_bytes
-        yield Items(sorted(x for x in known if len(x[1]) >= LEAST_CHARS))
+        yield Items(sorted((x for x in known if x[1]), key=lambda x: (x[0] is not None, x[0] or 0, x[1])))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:

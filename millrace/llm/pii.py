@@ -102,15 +102,19 @@ def _searched(docs: DataFrame) -> DataFrame:
     tidy = lambda c: F.lower(F.trim(F.regexp_replace(c, r"[\x20\x09-\x0D]+", " ")))
 
     def contexts(name: str, kind: Column | None) -> Column:
-        """Matches with the words beside them in the text, whatever else matches there, so that all kinds compare."""
+        """Matches with the words beside them in the text, whatever else matches there, so that all kinds compare.
+
+        Words are taken whole, as far as two matches away on the left and one on the right.
+        """
         part = lambda x, i: F.coalesce(F.get(f"{x}_{name}", i), F.lit(""))
 
         def context(m: Column, i: Column) -> Column:
-            left = F.right(F.concat(part("m", i - 2), part("g", i - 1), part("m", i - 1), part("g", i)), F.lit(200))
-            right = F.left(F.concat(part("g", i + 1), part("m", i + 1), part("g", i + 2)), F.lit(200))
-            two = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]+({word})[\x20\x09-\x0D]*$", 0)
-            one = F.regexp_extract(left, rf"({word})[\x20\x09-\x0D]*$", 0)
-            after = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*({word})", 0)
+            # The words before a match are read backwards, so that either side is searched from its beginning only.
+            left = F.reverse(F.concat(part("m", i - 2), part("g", i - 1), part("m", i - 1), part("g", i)))
+            right = F.concat(part("g", i + 1), part("m", i + 1), part("g", i + 2))
+            two = F.reverse(F.regexp_extract(left, rf"^[\x20\x09-\x0D]*+({word}+)[\x20\x09-\x0D]++({word}+)", 0))
+            one = F.reverse(F.regexp_extract(left, rf"^[\x20\x09-\x0D]*+({word}+)", 0))
+            after = F.regexp_extract(right, rf"^[\x20\x09-\x0D]*+({word}+)", 0)
             return F.struct(
                 m.alias("instance"), F.get(f"s_{name}", i).alias("start"), (_kind_of(m) if kind is None else kind).cast("int").alias("kind"),
                 F.when(two != "", F.concat(F.lit("l:"), tidy(two))).alias("left"),

@@ -34,6 +34,11 @@ def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), tokens=2048, end_id=1)
 
 
+def conversation_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """The operator of op4 on instruction data: only what the assistant says bears loss, and all three limits bind."""
+    return packing.pack_conversations(_table(spark, sf, "conversations"), public_tokenizers.path("word_bpe_49k.json"), tokens=2048, segments=16, loss=1024, end_id=1)
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return cascade.quality(_table(spark, sf, "documents")).drop("rule")
 
@@ -50,7 +55,7 @@ def page_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
-    return toxicity.scored(docs, toxicity.learnt(docs, _table(spark, sf, "labels"))).drop("passages")
+    return toxicity.scored(docs, toxicity.learnt(docs, _table(spark, sf, "labels")))
 
 
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_sentencepiece": op12_sentencepiece,
     "op13_resampling": op13_resampling,
     "page_language_id": page_language_id,
+    "conversation_packing": conversation_packing,
 }
 
 # The crc32 table by its rule: eight halvings of each byte, with the fixed polynomial.

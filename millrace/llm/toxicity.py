@@ -4,8 +4,8 @@ Words get log-odds of toxic against other texts with an informative Dirichlet pr
 those that stand out for toxic texts keep them as scores; every other token scores a small negative number, the log-odds
 that a token is none of them.  One pass over a text finds all maximal scoring segments.  The scores of random text
 follow an extreme-value law, whose decay rate comes from the scores themselves and whose scale from texts that are not
-toxic; a segment's expected number of chance equals grades it, and the best segment of a text, calibrated by logistic
-regression on labelled texts kept out of the word counts, gives the text's score.
+toxic; a segment's expected number of chance equals grades it.  A text's statistic adds up the grades of all its segments
+that stand out, and is calibrated by logistic regression on labelled texts kept out of the word counts.
 """
 
 from __future__ import annotations
@@ -74,9 +74,12 @@ class Model:
         return len(words), segments([(i, self.scores[w]) for i, w in enumerate(words) if w in self.scores], self.drift)
 
     def statistic(self, n: int, parts: list[tuple[int, int, float]]) -> float:
-        """Minus the log of the expected number of chance segments as good as the best one."""
-        best = max((s for _, _, s in parts), default=0.0)
-        return max(FLOOR, self.rate * best - math.log(self.scale * max(n, 1))) if parts else FLOOR
+        """Minus the log of the expected number of chance equals, added up over the segments with less than one of them.
+
+        Where there is none, that of the best segment.
+        """
+        grades = [self.rate * s - math.log(self.scale * max(n, 1)) for _, _, s in parts]
+        return max(FLOOR, sum(g for g in grades if g > 0) or max(grades)) if parts else FLOOR
 
     def score(self, statistic: float) -> float:
         if not self.scores or not self.slope:
@@ -98,8 +101,9 @@ def learnt(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     chosen = materialize(chosen, "labelled")
     # The sample has a documented bound, about 16 bytes a row.
     texts = small_batches(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    texts = materialize(texts.filter("text IS NOT NULL").dropDuplicates(["text"]), "sample")
-    tuned = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0
+    # Equal texts count once, toxic if any of them is.
+    texts = materialize(texts.filter("text IS NOT NULL").groupBy("text").agg(F.max("toxic").alias("toxic")), "sample")
+    tuned = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(4)) == 0
     model = _word_scores(texts.filter(~tuned))
     if model.scores:
         _calibrate(model, texts.filter(tuned))
@@ -164,17 +168,19 @@ def _calibrate(model: Model, texts: DataFrame) -> None:
             rows = []
             for text, toxic in zip(binary(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 n, parts = model.found(text)
-                best = max((s for _, _, s in parts), default=0.0)
-                rows.append((toxic, n, best))
+                rows.append((toxic, n, [s for _, _, s in parts]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.float64()))], ["toxic", "n", "best"]
+                [pa.array([r[k] for r in rows], t) for k, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.list_(pa.float64())))], ["toxic", "n", "found"]
             )
 
-    rows = materialize(texts.select("text", "toxic").mapInArrow(measure, "toxic int, n bigint, best double"), "measured")
-    clean = rows.filter("toxic = 0").agg(F.count("*").alias("k"), F.sum(F.col("n") * F.exp(-model.rate * F.col("best"))).alias("s")).head()
+    rows = materialize(texts.select("text", "toxic").mapInArrow(measure, "toxic int, n bigint, found array<double>"), "measured")
+    best = F.coalesce(F.array_max("found"), F.lit(0.0))
+    clean = rows.filter("toxic = 0").agg(F.count("*").alias("k"), F.sum(F.col("n") * F.exp(-model.rate * best)).alias("s")).head()
     if clean.k and clean.s:
         model.scale = clean.k / clean.s  # the maximum-likelihood estimate
-    x = F.when(F.col("best") > 0, F.greatest(F.lit(FLOOR), model.rate * F.col("best") - F.log(model.scale * F.greatest("n", F.lit(1))))).otherwise(FLOOR)
+    grades = F.transform("found", lambda s: model.rate * s - F.log(model.scale * F.greatest("n", F.lit(1))))
+    added = F.aggregate(F.filter(grades, lambda g: g > 0), F.lit(0.0), lambda a, g: a + g)
+    x = F.when(F.size("found") == 0, FLOOR).otherwise(F.greatest(F.lit(FLOOR), F.coalesce(F.nullif(added, F.lit(0.0)), F.array_max(grades))))
     bins = rows.groupBy(F.round(x * 4).alias("x")).agg(F.sum("toxic").alias("y"), F.count("*").alias("n")).collect()  # quarter steps
     at = np.array([b.x / 4 for b in bins])
     y, n = np.array([float(b.y) for b in bins]), np.array([float(b.n) for b in bins])

@@ -98,14 +98,41 @@ def test_pairs_of_units_are_exact(spark, monkeypatch):
     for t in texts:
         chain = [size - 1, *(unit(w) for w in brown.words_of((t or "").encode())), size - 1]
         want.update(zip(chain[:-1], chain[1:], strict=True))
+    cut = brown.tokenised(table(spark, documents()).selectExpr("doc_id", "text", "true AS train"))
+    batches = brown.unit_pairs(cut, model.heads, 5000).toArrow().to_batches()
+    held = [bucket for b in batches for bucket in brown.buckets_of(b)]
     for side in (0, 1):
         got = Counter()
-        for r in brown.unit_pairs(table(spark, documents()).select("text"), model.heads, 5000).collect():
-            for key, n in zip(np.frombuffer(r[f"keys{side}"], np.int64).tolist(), np.frombuffer(r[f"n{side}"], np.int64).tolist(), strict=True):
-                got[divmod(key, size)[:: -1 if side else 1]] += n
+        for bucket in held:
+            at, by, n = bucket.sides[side]
+            for pair, times in zip(zip(bucket.units[at].tolist(), by.tolist(), strict=True), n.tolist(), strict=True):
+                got[pair[:: -1 if side else 1]] += times
         assert got == want
 
 
+def test_halves_of_moves_never_lower_the_likelihood(spark, monkeypatch):
+    """Two kinds of words that only follow each other, from classes that are three fifths right; tables belong to their classes."""
+    rng = random.Random(17)
+    kinds = [[f"{k}w{i:03d}" for i in range(300)] for k in range(2)]
+    texts = [(" ".join(rng.choice(kinds[(i + k) % 2]) for k in range(100)),) for i in range(300)]
+    cut = brown.tokenised(spark.createDataFrame(texts, "text string").selectExpr("1L AS doc_id", "text", "true AS train"))
+    heads = brown.Heads(np.array([r.h for r in brown.word_counts(cut).filter(f"h <> {int(brown.END)}").orderBy("h").collect()]))
+    pairs = brown.unit_pairs(cut, heads, 30_000)
+    number = lambda w: heads.get((brown.xxhash.xxh3_64_intdigest(w.encode()) + (1 << 63)) % (1 << 64) - (1 << 63), 0)
+    start = np.zeros(heads.size, np.int64)
+    for k in range(2):
+        for i, w in enumerate(kinds[k]):
+            start[number(w)] = k if i % 5 < 3 else 1 - k
+    start[-1] = 2
+    seen = []
+    inner = brown.likelihood
+    monkeypatch.setattr(brown, "likelihood", lambda t: seen.append(inner(t)) or seen[-1])
+    of, counts = brown.all_exchanged(pairs, heads.size, start, 3, gain=0.0)
+    assert inner(counts) == max(seen) > inner(brown.table_of(pairs, start, 3)) and np.allclose(counts, brown.table_of(pairs, of, 3))
+    sides = [{of[number(w)] for w in kinds[k]} for k in range(2)]
+    assert all(len(x) == 1 for x in sides) and sides[0] != sides[1]
+
+
 @pytest.mark.parametrize("counted", [5, 1 << 17])
 def test_counts_and_base_scores_are_exact(spark, monkeypatch, counted):
     """``counted`` words travel to the tasks, the rest is joined; small vocabularies in the tasks are dealt with as well."""

@@ -83,3 +83,19 @@ def test_periodic_text():
     item = decontam.normal("ab cd ef gh " * 6)
     held = decontam.Items([(1, item)])
     assert held.matches("ab cd ef gh " * 400)[0][1] == 0 and held.matches("ab cd " * 400) == []
+
+
+def test_short_items_are_found_exactly(spark):
+    """Items too short for q-grams are no longer left out: their words must stand in the text, without edits."""
+    items = [(1, "Paris!"), (2, "the blue whale"), (None, "a small  NULL id"), (4, " ?! "), (5, None), (6, "blue"), (7, "Paris")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = ["I saw The Blue, whale in paris.", "the blue whales", "parish", "x a small null ID y", "", None, "blue" * 3]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    got = sorted((r.doc_id, -1 if r.item_id is None else r.item_id, r.edits, r.start, r.end) for r in decontam.contaminated(docs, bench).collect())
+    assert got == [(0, 1, 0, 24, 29), (0, 2, 0, 6, 20), (0, 6, 0, 10, 14), (0, 7, 0, 24, 29), (1, 6, 0, 4, 8), (3, -1, 0, 2, 17)]
+    assert sorted(r.doc_id for r in decontam.without_contaminated(docs, bench).collect()) == [2, 4, 5, 6]
+    rng = random.Random(3)
+    long = prose(rng, 30)
+    both = spark.createDataFrame([(1, long), (2, "zq zq")], "item_id bigint, text string")
+    rows = spark.createDataFrame([(1, f"x {long} zq zq", None, None, None), (2, prose(rng, 40), None, None, None)], DOCS)
+    assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(rows, both).collect()) == [(1, 1), (1, 2)]

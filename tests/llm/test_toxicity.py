@@ -78,3 +78,23 @@ def test_without_labels_or_documents(spark):
     model = toxicity.learnt(docs, none)
     assert {r.score for r in toxicity.scored(docs, model).collect()} == {0.0}
     assert toxicity.scored(spark.createDataFrame([], DOCS), model).count() == 0
+
+
+def test_all_passages_count(spark):
+    """Several passages that stand out give a higher statistic than the best of them alone."""
+    model = toxicity.Model(scores={b"bad": 3.0}, drift=-0.5, rate=1.0, scale=0.01, slope=1.0, middle=5.0)
+    one, two = b"x " * 50 + b"bad bad bad", b"bad bad bad " + b"x " * 50 + b"bad bad bad"
+    (n, a), (m, b) = model.found(one), model.found(two)
+    assert (len(a), len(b)) == (1, 2) and model.statistic(m, b) > 1.8 * model.statistic(n, a) > 0
+    weak = model.found(b"x " * 5000 + b"bad")
+    assert model.statistic(*weak) == 3.0 - __import__("math").log(0.01 * 5001) < 0
+
+
+def test_labels_of_equal_texts(spark):
+    """Equal texts count once and as toxic if any is, whichever row comes first."""
+    rows, labels = _corpus(300)
+    twice = rows + [(1000 + r[0], *r[1:]) for r in rows]
+    marks = labels + [(1000 + d, q, 0) for d, q, _ in labels]
+    models = [toxicity.learnt(spark.createDataFrame(x, DOCS).repartition(k), spark.createDataFrame(y, "doc_id bigint, quality int, toxic int"))
+              for x, y, k in ((twice, marks, 2), (twice[::-1], marks[::-1], 5))]
+    assert models[0].scores == models[1].scores and models[0].middle == models[1].middle
