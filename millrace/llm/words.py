@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -61,8 +62,10 @@ def binary(column: pa.Array) -> list[bytes | None]:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``; its session hands rows to Python in batches of ``BATCH_ROWS``, so that texts take little memory outside the heap."""
+    """``df``; its session hands rows to Python in batches of ``BATCH_ROWS`` and about ``BATCH_BYTES``, so that texts and
+    packed rows take little memory outside the heap."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
