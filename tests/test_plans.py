@@ -15,7 +15,7 @@ from workload.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 PYTHON = re.compile("BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|PythonRDD|ExistingRDD")
 ONE_TASK_WINDOWS = {"contig_index", "contig_offsets", "variant_density", "variant_density_chunks", "region_pack", "region_assign",
-                    "reads_per_region", "variants_per_region", "board_numbered", "people_ids", "people_at_distance", "density_rejects"}
+                    "reads_per_region", "variants_per_region", "board_numbered", "people_ids", "people_at_distance", "density_rejects", "density_text", "separation_lines"}
 
 
 def _plan(df):
@@ -28,7 +28,7 @@ def test_no_python_and_no_cross_join(spark, name):
     assert not PYTHON.search(plan)
     assert "CartesianProduct" not in plan
     # One-row sides only: aggregates without keys.
-    one_row = {"list_trim", "phone_stats", "separation_summary"}
+    one_row = {"list_trim", "phone_stats", "separation_summary", "separation_lines"}
     assert name in one_row or "BroadcastNestedLoopJoin" not in plan
     # Windows in one task are over dictionaries and per-partition counts only.
     if name not in ONE_TASK_WINDOWS:
