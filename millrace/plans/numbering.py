@@ -74,15 +74,16 @@ def next_above(rows: DataFrame, key: str, ahead: int, place: str = "place") -> D
 
     ``key`` does not fall as ``place`` rises.  Keys and the values to be exceeded go through one global sort, in which the
     answer of a row is the next key behind it; where a sort partition has none left, the first one of a later partition is.
-    Rows that nothing exceeds are left out.
+    Rows that nothing exceeds are left out.  Windows run from behind, so that a row adds to the minimum of those after it;
+    a frame up to the last row would be read again for every row.
     """
     keys = rows.select(F.col(key).alias("_key"), F.lit(0).alias("_kind"), F.col(place).alias("_place"))
     asked = rows.select((F.col(key) + ahead).alias("_key"), F.lit(1).alias("_kind"), F.col(place).alias("_place"))
     merged = _sorted(keys.unionByName(asked), [F.col("_key"), F.col("_kind"), F.col("_place")])
     found = F.when(F.col("_kind") == 0, F.col("_place"))
-    later = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
     carried = merged.groupBy("_part").agg(F.min(found).alias("_first")).select(F.col("_part").alias("_own_part"), F.min("_first").over(later).alias("_carried"))
-    behind = Window.partitionBy("_part").orderBy("_slot").rowsBetween(1, Window.unboundedFollowing)
+    behind = Window.partitionBy("_part").orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
     here = merged.withColumn("_here", F.min(found).over(behind)).filter("_kind = 1")
     answered = here.join(carried, F.col("_part") == F.col("_own_part")).select(F.col("_place").alias(place), F.coalesce("_here", "_carried").alias("next"))
     return answered.filter("next IS NOT NULL")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import pytest
 
 from millrace.operators import graph, reads, social, words
-from millrace.plans.numbering import numbered
+from millrace.plans.numbering import next_above, numbered
 from millrace.plans.storage import checkpoint_folder, exists, materialize, release, scratch
 from pyspark.sql import functions as F
 from workload.queries import QUERIES
@@ -64,6 +66,16 @@ def test_numbering_of_one_hot_group(spark):
     assert len(got) == 5000
 
 
+def test_look_ups_read_each_row_once(spark):
+    """No frame ends at the last row, as Spark reads such a frame again for every row."""
+    sums = list(accumulate((i * 7919) % 13 for i in range(3000)))
+    rows = spark.createDataFrame(list(enumerate(sums)), "place bigint, before bigint")
+    found = next_above(rows, "before", 40)
+    assert "unboundedfollowing" not in _plan(found).lower()
+    want = {i: bisect_right(sums, s + 40) for i, s in enumerate(sums) if s + 40 < sums[-1]}
+    assert {r.place: r.next for r in found.collect()} == want
+
+
 def test_intermediate_tables_can_be_removed(spark):
     with scratch(spark):
         path = materialize(spark.range(3), "x").inputFiles()[0]
