@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.status import clean_status, has_hangul, has_hiragana
 from millrace.operators import langs, social
+from millrace.plans.storage import materialize
 from millrace.streaming.board import report_text, stream_board, write_windows
 from millrace.streaming.progress import Progress, drain, job_metrics
 from millrace.streaming.sources import STATUS_SCHEMA, stream_markers, stream_statuses
@@ -217,3 +221,43 @@ def test_language_detection(spark, threshold):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == {1: "en", 2: "nl", 3: "ja", 4: "unknown", 5: "en", 6: "unknown"}
+
+
+@pytest.mark.parametrize(("broadcast", "collide"), [(100_000, False), (100_000, True), (0, False)])
+def test_language_detection_with_more_languages_than_a_row_holds(spark, monkeypatch, broadcast, collide):
+    """Both joins give what a plain count gives, for 40 languages, rows without one, repeated ids and equal hashes."""
+    monkeypatch.setattr(langs, "BROADCAST_ROWS", broadcast)
+    if collide:
+        monkeypatch.setattr(langs.F, "xxhash64", lambda c: F.lit(7).cast("bigint") + F.length(c))
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdeé", k=rng.randint(1, 6)))
+    docs = [(i, None if i % 41 == 40 else f"l{i % 41:02}", " ".join(word() for _ in range(12))) for i in range(120)]
+    docs += [(5, "l05", docs[5][2]), (None, "l01", "aa bb"), (200, "l02", None), (201, "l02", "zzz"), (202, None, "yyy"), (203, "l03", "")]
+    cut = lambda text: [f"_{w}_"[i : i + 3] for w in re.findall(r"[^\W\d_]+", (text or "").lower()) for i in range(len(w))]
+    seen = Counter((lang, g) for _, lang, text in docs for g in cut(text))
+    kinds, want = len({g for _, g in seen}), {}
+    for lang in sorted({x for x, _ in seen if x}):
+        total = sum(n for (x, _), n in seen.items() if x == lang)
+        for key, _, text in docs:
+            grams = cut(text) * sum(d == (key, _, text) for d in docs)
+            if key is not None and any((lang, g) in seen for g in grams):
+                score = sum(math.log(seen[lang, g] + 1) for g in grams if (lang, g) in seen) - len(cut(text)) * math.log(total + kinds)
+                want.setdefault(key, []).append((-round(score, 6), lang))
+    rows = spark.createDataFrame(docs, "doc_id int, lang string, text string")
+    found = langs.detect_lang(rows, langs.lang_profiles(rows))
+    got = [tuple(r) for r in found.collect()]
+    assert Counter(got) == Counter((key, min(want[key])[1] if key in want else "unknown") for key, _, _ in docs)
+
+
+def test_texts_are_added_up_as_they_are_cut(spark):
+    """No shuffle of a text's trigrams: they are joined by broadcast, whatever the session's threshold, before the first exchange."""
+    rows = spark.createDataFrame([(1, "en", "the cat"), (2, "de", "die katze")], "doc_id int, lang string, text string")
+    learnt = materialize(langs.lang_profiles(rows), "learnt")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = langs.detect_lang(rows, learnt)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    cut = plan[: plan.index("Generate explode")]
+    assert cut.rindex("BroadcastHashJoin [_code") > cut.rindex("Exchange hashpartitioning")
