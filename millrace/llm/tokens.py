@@ -11,6 +11,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
+MOST_MARKS = 10_000
+
 
 def _byte_letters() -> dict[int, str]:
     """The letters that byte-level BPE files use for bytes: printable Latin-1 stands for itself, the rest from U+0100 on."""
@@ -28,10 +30,13 @@ def _letters(text: str) -> str:
     return text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
 
 
-def _simple(word: str) -> tuple[str, str] | None:
-    """A word of Latin-1 letters and the full stop or comma after it, which are two parts to the tokenizers; else None."""
-    body, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-    return (body, mark) if body.isalpha() and (body.isascii() or max(body) <= "\u00ff") else None
+# What may follow a word as a part of its own: ASCII marks but the apostrophe, which begins contractions.
+MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+
+
+def _latin(body: str) -> bool:
+    """Latin-1 letters alone; with the marks after them they are two parts to the tokenizers."""
+    return body.isalpha() and (body.isascii() or max(body) <= "\u00ff")
 
 
 _kept: dict[tuple[str, str], "_Encoder"] = {}
@@ -54,9 +59,9 @@ class _Encoder(dict):
     def __init__(self, path: str, most: int = 400_000):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.most = self.tokenizer.model, most
+        self.tokenize, self.most = self.tokenizer.model.tokenize, most
         self.older: dict[str, bytes] = {}
-        self.marks = {m: _bytes([t.id for t in self.model.tokenize(m)]) for m in (".", ",")}
+        self.marks: dict[str, bytes] = {}
         # A text that may hold the string of a special token is the library's to cut.
         self.special = sorted({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()})
 
@@ -70,6 +75,18 @@ class _Encoder(dict):
         self[word] = found
         return found
 
+    def part(self, letters: str) -> bytes:
+        """Ids of a part that the tokenizer does not cut, in the letters of its file."""
+        return array("I", [t.id for t in self.tokenize(letters)]).tobytes()
+
+    def mark(self, mark: str) -> bytes:
+        found = self.marks.get(mark)
+        if found is None:
+            if len(self.marks) >= MOST_MARKS:
+                self.marks.clear()
+            found = self.marks[mark] = self.part(mark)
+        return found
+
     def whole(self, text: str) -> bytes:
         return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
@@ -85,12 +102,14 @@ class ByteLevelEncoder(_Encoder):
     """
 
     def fresh(self, word: str) -> bytes:
-        if parts := _simple(word):
-            body, mark = parts
-            if mark:
-                return self[body] + self.marks[mark]
-            return _bytes([t.id for t in self.model.tokenize(BYTE_LETTERS[0x20] + _letters(body))])
-        return self.whole(word if word.startswith("\n") else " " + word)
+        line = word.startswith("\n")
+        body = (word[1:] if line else word).rstrip(MARKS)
+        if _latin(body):
+            mark = word[len(body) + line :]
+            if line:
+                return self.mark(BYTE_LETTERS[0x0A]) + self.part(_letters(body)) + (self.mark(mark) if mark else b"")
+            return self[body] + self.mark(mark) if mark else self.part(BYTE_LETTERS[0x20] + _letters(body))
+        return self.whole(word if line else " " + word)
 
     def of(self, text: str | None) -> bytes:
         if not text:
@@ -109,11 +128,12 @@ class WordLevelEncoder(_Encoder):
     def fresh(self, word: str) -> bytes:
         if not word:
             return b""
-        if parts := _simple(word):
-            body, mark = parts
-            if mark:
-                return self[body] + self.marks[mark]
-            return _bytes([t.id for t in self.model.tokenize(_letters(body.lower()))])
+        body = word.rstrip(MARKS)
+        if _latin(body):
+            if len(body) < len(word):
+                return self[body] + self.mark(word[len(body) :])
+            lower = body.lower()
+            return self.part(_letters(body)) if lower == body else self[lower]
         return self.whole(word)
 
     def of(self, text: str | None) -> bytes:

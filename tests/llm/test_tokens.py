@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import packing, wavelet
+from millrace.llm import packing, tokens, wavelet
 from millrace.llm.tokens import ByteLevelEncoder, WordLevelEncoder
 from tests.llm.rows import DOCS, documents, table
 
@@ -40,6 +41,19 @@ def test_word_by_word_equals_whole_text(kind, path):
     assert [x for x in texts if encoder.of(x) != whole(x)] == []
 
 
+@pytest.mark.parametrize(("kind", "path"), [(ByteLevelEncoder, BYTES), (WordLevelEncoder, WORDS)])
+def test_marked_words_are_put_together(kind, path, monkeypatch):
+    """Words with marks behind them, words of other cases and first words of lines have their ids without the library's cuts."""
+    rng, whole, encoder = random.Random(4), _whole(path), kind(path, most=40)
+    monkeypatch.setattr(tokens, "MOST_MARKS", 5)
+    asked, cut = [], encoder.whole
+    monkeypatch.setattr(encoder, "whole", lambda text: asked.append(text) or cut(text))
+    word = lambda: rng.choice(["ab", "Ab", "É", "straße", "THE"]) + "".join(rng.choices(tokens.MARKS.replace("|", ""), k=rng.randint(0, 5)))
+    texts = ["".join(word() + rng.choice(" \n") for _ in range(9)) + "x" for _ in range(500)]
+    assert [x for x in texts if encoder.of(x) != whole(x)] == []
+    assert all(x == re.split("[ \n]", y)[0] for x, y in zip(asked, texts, strict=True)) if kind is ByteLevelEncoder else not asked
+
+
 def test_matrix_answers_like_a_list():
     rng = np.random.default_rng(5)
     for n, top in ((0, 1), (1, 1), (700, 3), (1500, 50_000), (513, 2**20)):
