@@ -78,7 +78,8 @@ class WaveletMatrix:
         for k, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
             ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             back = np.empty_like(now)
-            back[~ones], back[ones] = now[:zeros], now[zeros:] | now.dtype.type(1 << k)
+            # Positions first: assigning through a mask takes twice the time.
+            back[np.flatnonzero(~ones)], back[np.flatnonzero(ones)] = now[:zeros], now[zeros:] | now.dtype.type(1 << k)
             now = back
         return now
 
