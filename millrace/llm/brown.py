@@ -117,14 +117,24 @@ class Heads:
 
 
 class Units(Words):
-    """Words numbered, with their units."""
+    """Words numbered, with their units.  Units and hashes are kept as arrays, so that a batch looks up its new words only."""
 
     def __init__(self, heads: Heads):
         super().__init__()
         self.heads = heads
+        self._units, self._hashes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def units(self) -> np.ndarray:
-        return self.heads.of(np.array(self.hashes, np.int64), HEADS + np.array(self.forms, np.int64))
+        done = len(self._units)
+        if done < len(self):
+            hashes, forms = np.array(self.hashes[done:], np.int64), np.array(self.forms[done:], np.int64)
+            self._hashes = np.concatenate([self._hashes, hashes])
+            self._units = np.concatenate([self._units, self.heads.of(hashes, HEADS + forms)])
+        return self._units
+
+    def hashed(self) -> np.ndarray:
+        self.units()
+        return self._hashes
 
 
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -405,12 +415,12 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
              "tail": pa.list_(pa.int64()), "times": pa.list_(pa.int64())}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, row, last = Units(heads), TaskContext.get().partitionId() << 33, int(classes[-1])
+        words, n, row, last = Units(heads), np.zeros(0, np.int64), TaskContext.get().partitionId() << 33, int(classes[-1])
         for batch in (p for b in batches for p in pieces(b)):
             coded = [words.of(t) for t in binary(batch.column(1))]
             own_class = classes[words.units()]
-            hashes = np.array(words.hashes, np.int64)
-            n = np.fromiter((counts.get(h, -1) for h in words.hashes), np.int64, len(words))
+            hashes = words.hashed()
+            n = np.concatenate([n, np.fromiter((counts.get(h, -1) for h in words.hashes[len(n) :]), np.int64, len(words) - len(n))])
             rows: list[tuple] = []
             for doc, codes in zip(batch.column(0).to_pylist(), coded, strict=True):
                 chain = np.concatenate([[last], own_class[codes], [last]])
@@ -425,7 +435,7 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
             columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
             if len(words) > MOST:
-                words = Units(heads)
+                words, n = Units(heads), np.zeros(0, np.int64)
 
     schema = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, tail array<bigint>, times array<bigint>"
     named = small_batches(docs).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))

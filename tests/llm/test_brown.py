@@ -16,6 +16,11 @@ def _words(text):
     return [w.decode() for w in brown.words_of((text or "").encode())] + ["\0"]
 
 
+def _hash(word):
+    value = brown.xxhash.xxh3_64_intdigest(word)
+    return value - (1 << 64 if value >> 63 else 0)
+
+
 def _likelihood(bigrams, of, classes):
     table = np.zeros((classes, classes))
     np.add.at(table, (of[:, None], of[None, :]), bigrams)
@@ -23,6 +28,21 @@ def _likelihood(bigrams, of, classes):
     return f(table.ravel()) - f(table.sum(0)) - f(table.sum(1))
 
 
+def test_a_batch_looks_up_its_new_words_only(monkeypatch):
+    rng = random.Random(6)
+    words = [("w%d" % k).encode() for k in range(3000)]
+    heads = brown.Heads(np.array([_hash(w) for w in words[:1500]], np.int64))
+    asked, plain = [], brown.Heads.of
+    monkeypatch.setattr(brown.Heads, "of", lambda self, hashes, otherwise: asked.extend(hashes) or plain(self, hashes, otherwise))
+    units = brown.Units(heads)
+    for _ in range(20):
+        units.of(b" ".join(rng.choices(words, k=300)))
+        units.units()
+    assert len(asked) == len(units)
+    assert units.hashed().tolist() == units.hashes
+    assert units.units().tolist() == plain(heads, np.array(units.hashes, np.int64), brown.HEADS + np.array(units.forms, np.int64)).tolist()
+
+
 def test_gain_is_the_change_of_the_likelihood():
     rng = np.random.default_rng(3)
     bigrams = rng.integers(0, 5, (9, 9)).astype(float)
