@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import binary, pieces, small_batches, words_of
+from millrace.llm.words import cut, gathered, small_batches, words_of
 from millrace.plans.storage import materialize
 
 HEADS, FORMS, CLASSES = 1024, 512, 64
@@ -43,6 +44,16 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
+def _hash(word: bytes) -> int:
+    value = xxhash.xxh3_64_intdigest(word)
+    return value - (1 << 64) if value >> 63 else value
+
+
+@lru_cache(1 << 15)
+def _form(end: bytes, length: int) -> int:
+    return xxhash.xxh3_64_intdigest(end + bytes([length])) % FORMS
+
+
 class Words(dict):
     """Numbers words as they come; ``hashes`` and ``forms`` are in that order."""
 
@@ -52,9 +63,8 @@ class Words(dict):
         self.forms: list[int] = []
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        self.hashes.append(value - (1 << 64) if value >> 63 else value)
-        self.forms.append(xxhash.xxh3_64_intdigest(word[-3:] + bytes([min(len(word), 12)])) % FORMS)
+        self.hashes.append(_hash(word))
+        self.forms.append(_form(word[-3:], min(len(word), 12)))
         self[word] = number = len(self)
         return number
 
@@ -62,6 +72,14 @@ class Words(dict):
         words = words_of(text)
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
+    def all_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of many texts one after another, and where each text ends; a distinct word is looked up once."""
+        words, ends = cut(texts)
+        distinct = words.dictionary
+        distinct = distinct.cast(pa.large_binary() if pa.types.is_large_string(distinct.type) else pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
+        return numbers[words.indices.to_numpy()], ends
+
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """``h, form, n`` of every word (by its hash) and of the end; counted in the tasks before anything is shuffled."""
@@ -74,18 +92,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
             columns = [pa.array(words.hashes, pa.int64()), pa.array(words.forms, pa.int32()), pa.array(n[:k])]
             return pa.RecordBatch.from_arrays(columns, ["h", "form", "n"])
 
-        for batch in (p for b in batches for p in pieces(b)):
-            for text in binary(batch.column(0)):
-                codes = words.of(text)
-                ends += 1
-                if len(words) > len(n):
-                    n = np.concatenate([n, np.zeros(max(len(words), len(n)), np.int64)])
-                n += np.bincount(codes, minlength=len(n)) if len(codes) > len(n) // 8 else 0
-                if len(codes) <= len(n) // 8:
-                    np.add.at(n, codes, 1)
-                if len(words) > MOST:
-                    yield counted()
-                    words, n = Words(), np.zeros(1 << 12, np.int64)
+        for batch in gathered(batches):
+            codes, _ = words.all_of(batch.column(0))
+            ends += batch.num_rows
+            if len(words) > len(n):
+                n = np.concatenate([n, np.zeros(max(len(words), len(n)), np.int64)])
+            np.add.at(n, codes, 1)
+            if len(words) > MOST:
+                yield counted()
+                words, n = Words(), np.zeros(1 << 12, np.int64)
         yield counted()
         if ends:
             yield pa.RecordBatch.from_arrays([pa.array([int(END)]), pa.array([FORMS], pa.int32()), pa.array([ends])], ["h", "form", "n"])
@@ -140,7 +155,7 @@ class Units(Words):
 def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order with their sums."""
     keys, n = np.concatenate(keys), np.concatenate(n)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, n = keys[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(n, first) if len(first) else n
@@ -166,20 +181,18 @@ def unit_pairs(texts: DataFrame, heads: Heads, tokens: int) -> DataFrame:
     def packed(keys: list[np.ndarray], n: list[np.ndarray]) -> Iterator[tuple]:
         keys, n = _summed(keys, n)
         for side, own in ((0, keys), (1, keys % size * size + keys // size)):
-            bucket = own // size % buckets
+            bucket = (own // size % buckets).astype(np.uint16 if buckets <= 1 << 16 else np.int64)  # 16 bits are sorted in linear time
             order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
             for k in np.flatnonzero(np.diff(ends)):
                 at = order[ends[k] : ends[k + 1]]
                 yield int(k), side, own[at].tobytes(), n[at].astype(np.int32).tobytes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, keys, n, held = Units(heads), [], [], 0
-        for batch in (p for b in batches for p in pieces(b)):
-            coded = [words.of(text) for text in binary(batch.column(0))]
-            of = np.append(words.units(), size - 1)
-            ended = np.concatenate([np.append(c, len(of) - 1) for c in coded])
-            units = of[np.concatenate([[len(of) - 1], ended])].astype(np.int64)
+        for batch in gathered(batches):
+            codes, ends = words.all_of(batch.column(0))
+            units = np.insert(words.units()[codes].astype(np.int64), np.concatenate([[0], ends]), size - 1)
             pairs, times = np.unique(units[:-1] * size + units[1:], return_counts=True)
             keys, n, held = [*keys, pairs], [*n, times], held + len(pairs)
             if held > PAIRS:
@@ -209,11 +222,14 @@ def table_of(pairs: DataFrame, size: int, of: np.ndarray, width: int) -> np.ndar
     """Counts of pairs of the groups ``of`` units, of which there are ``width``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(width * width, np.int64)
         for batch in batches:
             for keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = np.frombuffer(keys, np.int64)
-                cells, sums = _summed([of[keys // size].astype(np.int64) * width + of[keys % size]], [np.frombuffer(n, np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(sums)], ["cell", "n"])
+                left = keys // size
+                np.add.at(table, of[left].astype(np.int64) * width + of[keys - left * size], np.frombuffer(n, np.int64))
+        cells = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], ["cell", "n"])
 
     parts = pairs.select("keys0", "n0").mapInArrow(count, "cell bigint, n bigint")
     sums = parts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # width squared at most
@@ -297,21 +313,28 @@ def best_classes(table: np.ndarray, r: np.ndarray, l: np.ndarray, own: np.ndarra
         k, c = k[c != a[k]], c[c != a[k]]
         if len(k):
             n, e = x[k, c], np.arange(len(k))
-            each = _xlogx(t.T[c] + n[:, None]) - _xlogx(t).T[c]
+            # Most counts are small: logarithms are taken once for a class and count.
+            alike, which = np.unique(n.astype(np.int64) * len(t) + c, return_inverse=True)
+            each = (_xlogx(t.T[alike % len(t)] + (alike // len(t))[:, None]) - _xlogx(t).T[alike % len(t)])[which]
             each[e, a[k]] = _xlogx(t[a[k], c]) - _xlogx(t[a[k], c] - n)
             first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             gains[k[first]] += np.add.reduceat(each, first, axis=0)
     for x, y, t in ((r, l, table.T[a]), (l, r, table[a])):  # neighbours of its own class
-        t = t - y
-        t[i, a] -= x[i, a] + own[:, 0]
-        gains += _xlogx(t + x[i, a][:, None]) - _xlogx(t)
-    d = np.tile(np.diag(table), (len(a), 1))
+        k = np.flatnonzero(x[i, a])
+        t = t[k] - y[k]
+        t[np.arange(len(k)), a[k]] -= x[k, a[k]] + own[k, 0]
+        gains[k] += _xlogx(t + x[k, a[k]][:, None]) - _xlogx(t)
+    d, logs = np.tile(np.diag(table), (len(a), 1)), np.tile(_xlogx(np.diag(table)), (len(a), 1))
     d[i, a] -= r[i, a] + l[i, a] + own[:, 0]
-    gains += _xlogx(d + r + l + own) - _xlogx(d + r) - _xlogx(d + l) + _xlogx(d)
+    logs[i, a] = _xlogx(d[i, a])
+    gains += _xlogx(d + r + l + own) - _xlogx(d + r) - _xlogx(d + l) + logs
     for x, sums in ((r, table.sum(1)), (l, table.sum(0))):
-        more, sums = x.sum(1, keepdims=True) + own, np.tile(sums, (len(a), 1))
-        sums[i, a] -= more[:, 0]
-        gains -= _xlogx(sums + more) - _xlogx(sums)
+        more = x.sum(1) + own[:, 0]
+        alike, which = np.unique(more, return_inverse=True)
+        with_unit, without = _xlogx(sums + alike[:, None])[which], np.tile(_xlogx(sums), (len(a), 1))
+        with_unit[i, a] = without[i, a]
+        without[i, a] = _xlogx(sums[a] - more)
+        gains -= with_unit - without
     gains = gains[:, :-1]  # the last class is the end's
     b = gains.argmax(1)
     return np.where(gains[i, b] > gains[i, a] + 1e-9, b, a)
@@ -325,22 +348,32 @@ def all_exchanged(pairs: DataFrame, size: int, of: np.ndarray, classes: int = CL
     """The class of each unit, from the classes ``of`` on, and the counts of the class bigrams."""
     of = of.astype(np.uint8)
     table = table_of(pairs, size, of, classes)
+
+    def neighbours(keys: np.ndarray, n: np.ndarray, of: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The units of one half in a bucket, their neighbours' counts by class, and how often they neighbour themselves."""
+        units = keys // size
+        first = np.flatnonzero(np.concatenate([[True], units[1:] != units[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        units, lengths = units[first], np.diff(np.append(first, len(keys)))
+        mine = (units < size - 1) & (units * 0x9E3779B1 >> 16 & 1 == half)
+        picked = np.repeat(mine, lengths)
+        units, lengths, n = units[mine], lengths[mine], n[picked]
+        i = np.repeat(np.arange(len(units)), lengths)
+        v = keys[picked] - units[i] * size
+        counts = np.bincount(i * classes + of[v], n, len(units) * classes).reshape(-1, classes)
+        return units, counts, np.bincount(i, n * (v == units[i]), len(units))
+
     def moves(of: np.ndarray, table: np.ndarray, half: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
                     k0, n0, k1, n1 = (np.frombuffer(batch.column(c)[row].as_py(), np.int64) for c in SIDES)
-                    units, at = np.unique(k0 // size, return_inverse=True)
-                    v, back = k0 % size, np.searchsorted(units, k1 // size)
-                    count = lambda i, x, n: np.bincount(i * classes + of[x], n, len(units) * classes).reshape(-1, classes)
-                    r, l = count(at, v, n0), count(back, k1 % size, n1)
-                    own = np.bincount(at, n0 * (v == units[at]), len(units))
-                    rows = np.flatnonzero((units < size - 1) & (units * 0x9E3779B1 >> 16 & 1 == half))
-                    parts = [rows[k : k + TOGETHER] for k in range(0, len(rows), TOGETHER)]
+                    units, r, own = neighbours(k0, n0, of, half)
+                    _, l, _ = neighbours(k1, n1, of, half)
+                    parts = [slice(k, k + TOGETHER) for k in range(0, len(units), TOGETHER)]
                     best = [best_classes(table, r[p], l[p], own[p], of[units[p]].astype(np.int64)) for p in parts]
-                    to, chosen = np.concatenate([np.zeros(0, np.int64), *best]), units[rows]
-                    moved = to != of[chosen]
-                    yield pa.RecordBatch.from_arrays([pa.array(chosen[moved]), pa.array(to[moved])], ["unit", "to"])
+                    to = np.concatenate([np.zeros(0, np.int64), *best])
+                    moved = to != of[units]
+                    yield pa.RecordBatch.from_arrays([pa.array(units[moved]), pa.array(to[moved])], ["unit", "to"])
 
         return run
 
@@ -411,29 +444,35 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     heads, counts, classes, transition, weight = model.heads, model.counts, model.classes, model.transition, model.weight
     below = np.log10(model.tokens + model.types + 1)
     end_n = counts.get(int(END), 0)
-    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "model": pa.float64(),
-             "tail": pa.list_(pa.int64()), "times": pa.list_(pa.int64())}
+    kinds = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "model": pa.float64()}
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n, row, last = Units(heads), np.zeros(0, np.int64), TaskContext.get().partitionId() << 33, int(classes[-1])
-        for batch in (p for b in batches for p in pieces(b)):
-            coded = [words.of(t) for t in binary(batch.column(1))]
-            own_class = classes[words.units()]
-            hashes = words.hashed()
+        for batch in gathered(batches, 8 << 20):
+            codes, ends = words.all_of(batch.column(1))
+            chain = np.insert(classes[words.units()][codes], np.concatenate([[0], ends]), last)
             n = np.concatenate([n, np.fromiter((counts.get(h, -1) for h in words.hashes[len(n) :]), np.int64, len(words) - len(n))])
-            rows: list[tuple] = []
-            for doc, codes in zip(batch.column(0).to_pylist(), coded, strict=True):
-                chain = np.concatenate([[last], own_class[codes], [last]])
-                moves = float(transition[chain[:-1], chain[1:]].sum()) - float(weight[chain[1:]].sum())
-                seen = n[codes]
-                known = seen[seen >= 0]
-                base = float(np.log10(known + 1).sum()) + np.log10(end_n + 1) - below * (len(codes) + 1)
-                emitted = float(np.log10(known + ALPHA).sum()) + np.log10(end_n + ALPHA)
-                tail, times = np.unique(hashes[codes[seen < 0]], return_counts=True)
-                rows.append((row, doc, len(codes) + 1, len(known) + (end_n > 0), base, moves + emitted, tail, times))
-                row += 1
-            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds))
+            seen = n[codes]
+            known = seen[seen >= 0]
+            steps, emissions = transition[chain[:-1], chain[1:]], weight[chain[1:]]
+            bases, emitted = np.log10(known + 1), np.log10(known + ALPHA)
+            # Each text's words that the task knows not, a text and word once.
+            rows, at = np.arange(batch.num_rows + 1), np.concatenate([[0], ends])
+            texts = np.repeat(rows[:-1], np.diff(at))[seen < 0]
+            keys, times = np.unique(texts * len(words) + codes[seen < 0], return_counts=True)
+            tails = np.searchsorted(keys, rows * len(words)).astype(np.int32)
+            befores = np.concatenate([[0], np.cumsum(seen >= 0)])[at]
+            scores = []
+            for k, (a, b, c, d) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), befores[:-1].tolist(), befores[1:].tolist(), strict=True)):
+                moves = float(steps[a + k : b + k + 1].sum()) - float(emissions[a + k : b + k + 1].sum())
+                base = float(bases[c:d].sum()) + np.log10(end_n + 1) - below * (b - a + 1)
+                scores.append((base, moves + (float(emitted[c:d].sum()) + np.log10(end_n + ALPHA))))
+            base, model = zip(*scores, strict=True) if scores else ([], [])
+            hashes = words.hashed()[keys % max(1, len(words))]
+            columns = [row + rows[:-1], batch.column(0), np.diff(at) + 1, np.diff(befores) + (end_n > 0), base, model]
+            lists = [pa.ListArray.from_arrays(tails, pa.array(x, pa.int64())) for x in (hashes, times)]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)), *lists], [*kinds, "tail", "times"])
+            row += batch.num_rows
             if len(words) > MOST:
                 words, n = Units(heads), np.zeros(0, np.int64)
 

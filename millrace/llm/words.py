@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
@@ -19,6 +20,17 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(LOWER).split() if text else []
 
 
+def cut(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """``words_of`` for many texts: their words one after another, each distinct one held once, and where each text ends."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, ends = lists.flatten(), np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)
+    held = pc.greater(pc.binary_length(words), 0)  # white space at either end of a text gives an empty one
+    if held.false_count:
+        ends = np.concatenate([[0], np.cumsum(held.to_numpy(zero_copy_only=False))])[ends]
+        words = words.filter(held)
+    return words.dictionary_encode(), ends
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
@@ -74,3 +86,16 @@ def pieces(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatc
     rows = max(1, min(batch.num_rows, int(batch.num_rows * most / max(1, batch.nbytes))))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes, so that a word is met once in more of them."""
+    held, size = [], 0
+    for part in (p for b in batches for p in pieces(b)):
+        if held and size + part.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(part)
+        size += part.nbytes
+    if held:
+        yield pa.concat_batches(held)

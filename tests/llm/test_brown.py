@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import brown
@@ -43,6 +44,37 @@ def test_a_batch_looks_up_its_new_words_only(monkeypatch):
     assert units.units().tolist() == plain(heads, np.array(units.hashes, np.int64), brown.HEADS + np.array(units.forms, np.int64)).tolist()
 
 
+def test_words_of_many_texts_are_cut_at_once():
+    """The words of each text by itself, and a distinct word is looked up once."""
+    odd = [None, "", " ", "A b", " a  b\n", "\x0b\x0ca\x1cb\x85c\r\td", "É é\xa0x", "a" * 20 + " a\0 \0"]
+    texts = odd + [r[1] for r in documents()] + ["ab cd " * 500, "AB cd"]
+    for column in (pa.array(texts, pa.string()), pa.array(texts, pa.large_string()), pa.array(["x y", *texts], pa.string())[1:]):
+        asked = []
+
+        class Counted(brown.Words):
+            def __getitem__(self, word):
+                asked.append(word)
+                return super().__getitem__(word)
+
+        words, plain = Counted(), brown.Words()
+        codes, ends = words.all_of(column)
+        names, each = list(words), [brown.words_of(None if t is None else t.encode()) for t in texts]
+        assert [[names[k] for k in c] for c in np.split(codes, ends)] == [*each, []]
+        assert sorted(asked) == sorted({w for ws in each for w in ws})
+        assert [(words.hashes[words[w]], words.forms[words[w]]) for w in names] == [(plain.hashes[plain[w]], plain.forms[plain[w]]) for w in names]
+
+
+def test_logarithms_are_taken_once_for_a_count(monkeypatch):
+    """Many units with the same small counts need hardly more logarithms than one for each of their cells."""
+    rng, taken, plain = np.random.default_rng(2), [], brown._xlogx
+    table = rng.integers(1, 1000, (64, 64)) * 1.0
+    r, l = ((rng.random((256, 64)) < 0.3) * 1.0 for _ in range(2))
+    a = rng.integers(0, 63, 256)
+    monkeypatch.setattr(brown, "_xlogx", lambda x: taken.append(x.size) or plain(x))
+    brown.best_classes(table + 256, r, l, np.zeros(256), a)
+    assert sum(taken) < 256 * 64 * 10
+
+
 def test_gain_is_the_change_of_the_likelihood():
     rng = np.random.default_rng(3)
     bigrams = rng.integers(0, 5, (9, 9)).astype(float)
