@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 MOST_MARKS = 10_000
@@ -24,6 +27,8 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 # White space other than the space and the line feed.
 OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+# A space or line feed that does not stand between two other characters, or other white space.
+UNUSUAL = r"\A[ \n]|[ \n]\z|[ \n][ \n]|" + OTHER_SPACE.pattern
 
 
 def _letters(text: str) -> str:
@@ -121,6 +126,31 @@ class ByteLevelEncoder(_Encoder):
             return self.whole(text)
         return self.whole(words[0]) + b"".join(map(self.__getitem__, words[1:]))
 
+    def first(self, word: str) -> bytes:
+        """Ids of the first word of a text, which has no space before it."""
+        body = word.rstrip(MARKS)
+        if _latin(body):
+            return self.part(_letters(body)) + (self.mark(word[len(body) :]) if len(body) < len(word) else b"")
+        return self.whole(word)
+
+    def all_of(self, texts: pa.Array) -> list[bytes | memoryview]:
+        """``of`` for many texts: a distinct word of them is looked up once."""
+        texts = texts.fill_null("")
+        unusual = pc.match_substring_regex(texts, "|".join([UNUSUAL, *map(re.escape, self.special)]))
+        unusual = pc.or_(unusual, pc.equal(pc.binary_length(texts), 0))
+        lists = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(unusual)), "\n", " \n"), " ")
+        ends, words = np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64), lists.flatten()
+        starts, distinct = np.concatenate([[0], ends[:-1]])[: len(ends)], words.dictionary_encode()
+        codes = distinct.indices.to_numpy().copy()
+        ids = list(map(self.__getitem__, distinct.dictionary.to_pylist()))
+        codes[starts] = len(ids) + np.arange(len(starts))
+        ids += map(self.first, words.take(pa.array(starts)).to_pylist())
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))[codes]
+        coded = memoryview(pa.array(ids, pa.binary()).take(pa.array(codes)).buffers()[2] or b"")
+        at = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])].tolist()
+        usual = iter([coded[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+        return [self.of(t.as_py()) if odd else next(usual) for t, odd in zip(texts, unusual.to_pylist(), strict=True)]
+
 
 class WordLevelEncoder(_Encoder):
     """The same for a BPE file with word ends that drops white space: every word stands alone."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import ByteLevelEncoder, kept_encoder
-from millrace.llm.words import pieces, small_batches
+from millrace.llm.words import gathered, small_batches
 
 BLOCK_TOKENS = 1 << 17  # a plane of a block stays in a processor's cache
 STEP = 512  # bits between two entries of a rank directory
@@ -171,12 +171,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bl
             names = [c.split()[0] for c in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names)
 
-        for batch in (p for b in batches for p in pieces(b)):
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                coded = encoder.of(text) + end
+        for batch in gathered(batches):
+            for doc, coded in zip(batch.column(0).to_pylist(), encoder.all_of(batch.column(1)), strict=True):
                 ids.append(doc)
-                lengths.append(len(coded) // 4)
-                parts.append(coded)
+                lengths.append(len(coded) // 4 + 1)
+                parts += [coded, end]
                 held += lengths[-1]
                 if held >= block_tokens:
                     yield closed()

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -54,6 +55,21 @@ def test_marked_words_are_put_together(kind, path, monkeypatch):
     assert all(x == re.split("[ \n]", y)[0] for x, y in zip(asked, texts, strict=True)) if kind is ByteLevelEncoder else not asked
 
 
+def test_many_texts_equal_whole_texts(monkeypatch):
+    """A distinct word is looked up once for all texts; only unusual ones are the library's to cut."""
+    rng, whole, encoder = random.Random(3), _whole(BYTES), ByteLevelEncoder(BYTES, most=50)
+    bits = [" ", " ", "\n", "\t", "ab", "Éa", ".", "'s", "12", "é", "語", "x-y", "<|"]
+    texts = [None, *ODD, *(r[1] for r in documents()), *("".join(rng.choices(bits, k=rng.randint(1, 8))) for _ in range(3000))]
+    for column in (pa.array(texts, pa.string()), pa.array(texts, pa.large_string()), pa.array(["x y", *texts])[1:], pa.array([], pa.string()), pa.array([""])):
+        assert [bytes(x) for x in encoder.all_of(column)] == [whole(x) for x in column.to_pylist()]
+    assert encoder.all_of(pa.array(["ab. cd\nef"] * 3)) == [whole("ab. cd\nef")] * 3
+    asked, plain = [], ByteLevelEncoder(BYTES)
+    monkeypatch.setattr(plain, "of", asked.append)
+    monkeypatch.setattr(plain, "fresh", lambda word: asked.append(word) or b"")
+    plain.all_of(pa.array(["The ab cd\nab, ab"] * 100))
+    assert sorted(asked) == sorted(["The", "ab", "cd", "\nab,"])
+
+
 def test_matrix_answers_like_a_list():
     rng = np.random.default_rng(5)
     for n, top in ((0, 1), (1, 1), (700, 3), (1500, 50_000), (513, 2**20)):
