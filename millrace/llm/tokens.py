@@ -146,7 +146,7 @@ class ByteLevelEncoder(_Encoder):
         codes[starts] = len(ids) + np.arange(len(starts))
         ids += map(self.first, words.take(pa.array(starts)).to_pylist())
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))[codes]
-        coded = memoryview(pa.array(ids, pa.binary()).take(pa.array(codes)).buffers()[2] or b"")
+        coded = memoryview(pa.array(ids, pa.binary()).take(pa.array(codes)).buffers()[2] or b"").cast("B")
         at = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], ends])].tolist()
         usual = iter([coded[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
         return [self.of(t.as_py()) if odd else next(usual) for t, odd in zip(texts, unusual.to_pylist(), strict=True)]
