@@ -8,6 +8,7 @@ bucket gives one star of candidate pairs, from a centre to its other members.  C
 A star alone can miss a link between two members that are both unlike the centre.  So, after the stars' components
 are known, members of a bucket whose components differ are compared as well, as far as an upper bound on their
 similarity allows: the shingles that a document shares with no other one in question cannot be in an intersection.
+A large bucket is dealt to cells of a bounded size, and a cell counts the intersections of all its pairs at once.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ SHINGLE = 5
 SIMILARITY_PCT = 80
 BANDS = 24
 ROWS = 4  # at similarity 0.8 a pair misses all 24 bands of 4 with probability 3e-6
+CELL = 2 << 20  # shingles, 16 MB, of a bucket's rows that ask, and of those that answer, in one cell of the comparison
+CELL_ROWS = 8192
+COMMON = 256  # a shingle that one in so many pairs of a cell share is counted by a product of matrices
+BLOCK = 1 << 22  # numbers in a matrix, or shared shingles counted at once
 
 
 def _probes(bins: int) -> np.ndarray:
@@ -136,7 +141,8 @@ def link_groups(reps: DataFrame, docs: DataFrame, shingle: int, pct: int) -> Dat
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     texts = named.join(asked.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     # Rows that repeat an id and a text repeat its set; one of them is enough.
-    sets = materialize(shingle_sets(texts.dropDuplicates(["doc_id", "text"]), shingle), "sets")
+    sets = shingle_sets(texts.dropDuplicates(["doc_id", "text"]), shingle)
+    sets = materialize(sets.withColumn("n", F.size("shingles").cast("bigint")).withColumn("set", F.xxhash64("shingles")), "sets")
     links = materialize(confirmed(pairs, sets, pct), "links")
     labels = materialize(components(links), "labels")
 
@@ -145,35 +151,149 @@ def link_groups(reps: DataFrame, docs: DataFrame, shingle: int, pct: int) -> Dat
 
 
 def _unlike_centre(members: DataFrame, labels: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """Links ``a, b`` between different components of one bucket.
+    """Links ``a, b`` between different components of one bucket, one of each two components of a cell.
 
-    ``m``, the shingles of a document that another document in question has too, bounds every intersection.  The full
-    sets are compared inside the join, and only where that bound and the sizes allow a link, so that what comes out
-    are links.  All but the largest component of a bucket ask, all members answer.
+    The centre is left out, as its star has been confirmed.  ``m``, the shingles of a document that another document in
+    question has too, bounds every intersection.  All but the largest component of a bucket ask, all members answer.
     """
-    tagged = members.select("bucket", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left")
-    tagged = tagged.withColumn("component", F.coalesce("component", "id"))
-    parts = tagged.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
-    split = materialize(split.filter("parts > 1").drop("parts"), "split")
-    opened = materialize(tagged.join(split, "bucket"), "opened")
+    tagged = members.filter((F.col("centre.id") != F.col("id")) | (F.col("centre.n") != F.col("n"))).select("bucket", "id", "n")
+    tagged = tagged.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    opened = materialize(_split(tagged.withColumn("component", F.coalesce("component", "id"))).drop("main"), "opened")
     asked = opened.select("id").distinct()
-    shared = (
-        sets.join(asked, "id", "left_semi").select("id", F.explode("shingles").alias("s"))
-        .groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id")).filter("df = 1")
-        .groupBy("id").agg(F.count("*").alias("own"))
+    own = (
+        sets.join(asked, "id", "left_semi").select("id", "set", F.explode("shingles").alias("s"))
+        .groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id"), F.min("set").alias("set")).filter("df = 1")
+        .groupBy("id", "set").agg(F.count("*").alias("own"))
+    )
+    m = F.col("n") - F.coalesce("own", F.lit(0))
+    # Unlike sets have a union of one more than their intersection at least.
+    sized = opened.join(sets.select("id", "n", "set"), ["id", "n"]).join(materialize(own, "own"), ["id", "set"], "left").filter(
+        (100 * m >= pct * F.col("n")) & (100 * m >= pct * (m + 1))
     )
-    shared = materialize(shared, "own")
-    sized = opened.join(shared, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
-    sized = sized.filter(100 * F.col("m") >= pct * F.col("n"))
-    sized = sized.select("bucket", "id", "n", "m", "component", F.col("component") != F.col("main"))
-    carried = materialize(sized.toDF("bucket", "id", "n", "m", "component", "asks").join(sets, "id"), "carried")
-    ask = carried.filter("asks").select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "m", "component", "shingles")))
-    have = carried.select("bucket", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "m", "component", "shingles")))
-    possible = _linked(F.least("m_a", "m_b"), F.col("n_a"), F.col("n_b"), pct)
-    linked = _linked(F.size(F.array_intersect("shingles_a", "shingles_b")), F.col("n_a"), F.col("n_b"), pct)
-    met = (ask["bucket"] == have["bucket"]) & (F.col("component_a") != F.col("component_b")) & possible & linked
-    return ask.join(have, met).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    left = materialize(_split(sized.select("bucket", "id", "n", "component", "set")), "left")
+    cells = _in_cells(left.withColumn("asks", F.col("component") != F.col("main")))
+    carried = cells.join(sets.select("id", "set", "shingles"), ["id", "set"]).drop("set")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches):
+            found = _cell_links(cell, pct)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    dealt = carried.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with several components, and ``main``, the largest of them."""
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    split = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
+    return rows.join(materialize(split.filter("parts > 1").drop("parts"), "split"), "bucket")
+
+
+def _in_cells(rows: DataFrame) -> DataFrame:
+    """``bucket, i, j`` with the rows that ask and answer there: every one that asks meets every one that answers in one cell.
+
+    A bucket is one cell up to ``CELL`` shingles or ``CELL_ROWS`` rows that ask or answer; beyond, either is dealt to parts.
+    """
+    def many(of: Column) -> Column:
+        return F.greatest(F.ceil(F.sum(F.when(of, F.col("n"))) / CELL), F.ceil(F.count_if(of) / CELL_ROWS), F.lit(1)).cast("int")
+
+    parts = rows.groupBy("bucket").agg(many(F.col("asks")).alias("asking"), many(F.lit(True)).alias("answering"))
+    at = rows.join(materialize(parts, "parts"), "bucket")
+    at = at.withColumn("_i", F.pmod(F.hash("id", "set"), "asking")).withColumn("_j", F.pmod(F.hash("set", "id"), "answering"))
+    answers = F.transform(F.sequence(F.lit(0), F.col("asking") - 1), lambda i: F.struct(i.alias("i"), F.col("_j").alias("j")))
+    asks = F.transform(F.sequence(F.lit(0), F.col("answering") - 1), lambda j: F.struct(F.col("_i").alias("i"), j.alias("j")))
+    at = at.withColumn("_at", F.explode(F.when(F.col("asks"), F.array_union(answers, asks)).otherwise(answers)))
+    return at.select(
+        "bucket", "_at.i", "_at.j", "id", "set", "component",
+        (F.col("asks") & (F.col("_at.i") == F.col("_i"))).alias("asks"), (F.col("_at.j") == F.col("_j")).alias("answers"),
+    )
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each cell, which come one cell after another."""
+    held, last = [], None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], axis=1)
+        ends = [*(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for start, end in zip([0, *ends], ends, strict=False):
+            if start == end:
+                continue
+            if (key := keys[start].tobytes()) != last and held:
+                yield pa.concat_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _cell_links(cell: pa.RecordBatch, pct: int) -> np.ndarray:
+    """Rows ``a, b``: of each two components with links between rows that ask and rows that answer, one link."""
+    asks, answers = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "answers"))
+    ask, have = np.flatnonzero(asks), np.flatnonzero(answers)
+    ids, component = (cell.column(c).to_numpy() for c in ("id", "component"))
+    shingles = cell.column("shingles")
+    sizes = shingles.value_lengths().to_numpy().astype(np.int64)
+    kinds, kind = np.unique(component, return_inverse=True)
+    found: dict[int, tuple[int, int]] = {}
+    for x, y, common in _intersections(shingles.flatten().to_numpy(), sizes, ask, have):
+        linked = (100 + pct) * common >= pct * (sizes[x][:, None] + sizes[y])
+        at, to = np.nonzero(linked & (kind[x][:, None] != kind[y]))
+        a, b = x[at], y[to]
+        of_two = np.minimum(kind[a], kind[b]) * len(kinds) + np.maximum(kind[a], kind[b])
+        for two, k in zip(*(u.tolist() for u in np.unique(of_two, return_index=True)), strict=True):
+            found.setdefault(two, (ids[a[k]], ids[b[k]]))
+    return np.array(list(found.values()), np.int64).reshape(-1, 2)
+
+
+def _intersections(shingles: np.ndarray, sizes: np.ndarray, ask: np.ndarray, have: np.ndarray) -> Iterator[tuple]:
+    """Blocks of ``ask`` and ``have`` and how many shingles their rows share, from all rows' shingles and their numbers.
+
+    Shingles that many of the pairs share are a product of two matrices, others are counted from lists of their rows.
+    """
+    number = np.unique(shingles, return_inverse=True)[1]
+    starts = np.cumsum(sizes) - sizes
+    wide = int(number.max(initial=-1)) + 1
+
+    def taken(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the rows, and the number of the shingle."""
+        of = np.repeat(np.arange(len(rows)), sizes[rows])
+        within = np.arange(len(of)) - np.repeat(np.cumsum(sizes[rows]) - sizes[rows], sizes[rows])
+        return of, number[np.repeat(starts[rows], sizes[rows]) + within]
+
+    in_ask, in_have = (np.bincount(taken(rows)[1], minlength=wide) for rows in (ask, have))
+    often = np.flatnonzero(in_ask * in_have * COMMON >= max(1, len(ask) * len(have)))
+    column = np.full(wide, -1)
+    column[often] = np.arange(len(often))
+    rare = (in_ask > 0) & (in_have > 0) & (column < 0)
+    step = max(1, min(1024, BLOCK // max(1, len(often))))
+
+    def dense(of: np.ndarray, which: np.ndarray, rows: int) -> np.ndarray:
+        out = np.zeros((rows, len(often)), np.float32)
+        at = column[which] >= 0
+        out[of[at], column[which[at]]] = 1
+        return out
+
+    for x in (ask[k : k + step] for k in range(0, len(ask), step)):
+        of, which = taken(x)
+        left = dense(of, which, len(x))
+        of, which = of[rare[which]], which[rare[which]]
+        order = np.argsort(which, kind="stable")
+        of, held = of[order], np.bincount(which, minlength=wide)
+        first = np.cumsum(held) - held
+        for y in (have[k : k + step] for k in range(0, len(have), step)):
+            to, which = taken(y)
+            common = (left @ dense(to, which, len(y)).T).astype(np.int64)
+            to, which = to[held[which] > 0], which[held[which] > 0]
+            ends = np.cumsum(held[which])
+            cuts = np.searchsorted(ends, np.arange(BLOCK, ends[-1] + BLOCK if len(ends) else 0, BLOCK), side="right")
+            for part in np.split(np.arange(len(which)), cuts):
+                many = held[which[part]]
+                within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                np.add.at(common, (of[np.repeat(first[which[part]], many) + within], np.repeat(to[part], many)), 1)
+            yield x, y, common
 
 
 def near_duplicates(

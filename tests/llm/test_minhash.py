@@ -5,6 +5,7 @@ import random
 import pytest
 
 from millrace.llm import links, minhash
+from millrace.plans.storage import materialize
 from tests.llm.rows import DOCS, documents, prose, table
 
 
@@ -66,6 +67,63 @@ def test_group_of_near_copies_around_the_threshold(spark):
     _check(spark, rows, 4)
 
 
+def _family(rng, base, share):
+    """The words with a share of them changed."""
+    words = list(base)
+    for at in rng.sample(range(len(words)), round(share * len(words))):
+        words[at] = f"x{rng.randrange(10**6)}"
+    return words
+
+
+def test_a_bucket_is_compared_in_cells(spark, monkeypatch):
+    """The same links whatever the cells are, and no join of a bucket's members with each other, which takes their square."""
+    rng, plans = random.Random(5), {}
+    base = prose(rng, 150).split()
+    rows = []
+    for i in range(0, 160, 2):
+        words = _family(rng, base, rng.choice([0.02, 0.05, 0.1]))
+        rows += [(i, " ".join(words)), (i + 1, " ".join(_family(rng, words, 0.02)))]
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialize(df, label)
+
+    monkeypatch.setattr(minhash, "materialize", seen)
+    _check(spark, rows, 4)
+    assert "array_intersect" not in plans["more"]
+    for cell in (300, 5000):
+        monkeypatch.setattr(minhash, "CELL", cell)
+        monkeypatch.setattr(minhash, "CELL_ROWS", 7)
+        _check(spark, rows, 4)
+
+
+def test_ids_of_several_texts_are_compared_by_each(spark):
+    """Pairs of a family of unlike texts; each id has a long text of its own beside."""
+    rng = random.Random(6)
+    base = prose(rng, 150).split()
+    rows = []
+    for i in range(0, 60, 2):
+        words = _family(rng, base, 0.06)
+        rows += [(i, " ".join(words)), (i + 1, " ".join(_family(rng, words, 0.015)))]
+        rows += [(k, prose(rng, 400)) for k in (i, i + 1)]
+    _check(spark, rows, 4)
+
+
+@pytest.mark.parametrize(("common", "block"), [(1, 1 << 22), (4, 100), (256, 7)])
+def test_intersections(monkeypatch, common, block):
+    import numpy as np
+
+    monkeypatch.setattr(minhash, "COMMON", common)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    base = rng.integers(-(2**62), 2**62, 50)
+    sets = [np.unique(np.r_[rng.choice(base, rng.integers(0, 50)), rng.integers(0, 40, rng.integers(1, 9))]) for _ in range(40)]
+    ask, have = np.arange(3, 20), np.array([0, 5, 6, *range(15, 40)])
+    blocks = minhash._intersections(np.concatenate(sets), np.array([len(s) for s in sets]), ask, have)
+    got = {(a, b): n for x, y, common in blocks for a, row in zip(x, common) for b, n in zip(y, row, strict=True)}
+    assert got == {(a, b): len(np.intersect1d(sets[a], sets[b])) for a in ask for b in have}
+
+
 def test_signature_is_a_min_per_bin_and_fills_the_rest():
     import numpy as np
 
